@@ -11,10 +11,11 @@ from tallybrook.operators.keyed import first_by_key
 VISIT_KEY = ["dt", "mid"]
 
 
-def visits(logs: DataFrame) -> DataFrame:
+def visits(logs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Start logs (``common`` struct, ``ts`` in epoch ms) as flat visit rows."""
     at = times.from_epoch_ms(F.col("ts"))
     return logs.select(
+        *(keep or []),
         *[F.col(f"common.{f}").alias(f) for f in ("mid", "uid", "ar", "ch", "vc")],
         times.day(at).alias("dt"),
         times.hour(at).alias("hr"),

@@ -50,33 +50,38 @@ def allocate_cents(
         .when(complete, F.lit(0))
         .otherwise(F.col("_part"))
     )
-    return rows.withColumn(out, share.cast("bigint")).drop("_part", *totals)
+    return rows.select(*lines.columns, share.cast("bigint").alias(out))
+
+
+def wide_cents() -> tuple[Column, Column, Column]:
+    """Amount, original total and paid total of a wide row in cents; unset ones are 0."""
+
+    def known(value: Column) -> Column:
+        return F.coalesce(value, F.lit(0).cast("bigint"))
+
+    return (
+        known(cents(F.col("sku_price")) * F.col("sku_num")),
+        known(cents(F.col("original_total_amount"))),
+        known(cents(F.col("final_total_amount"))),
+    )
 
 
 def allocate(wide: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Fill ``final_detail_amount`` of wide rows (money as DECIMAL(18,2)).
 
     ``hot`` may name orders with very many lines (``skew.hot_keys``); those are split
-    over tasks by ranges of ``order_detail_id``.
+    over tasks by ranges of ``order_detail_id``. Ids are unique within an order.
     """
-    rows = wide.withColumns(
-        {
-            "amount_cents": cents(F.col("sku_price")) * F.col("sku_num"),
-            "original_cents": cents(F.col("original_total_amount")),
-            "final_cents": cents(F.col("final_total_amount")),
-        }
-    )
+    names = ("amount_cents", "original_cents", "final_cents")
+    rows = wide.withColumns(dict(zip(names, wide_cents())))
     order = ["order_detail_id"]
     chunk = F.floor(F.col("order_detail_id") / CHUNK_IDS)
-    if hot is None:
-        shared = allocate_cents(rows, order)
-    else:
-        shared = by_heat(
-            rows,
-            "order_id",
-            hot,
-            lambda df: allocate_cents(df, order),
-            lambda df: allocate_cents(df, order, chunk),
-        )
+    shared = by_heat(
+        rows,
+        "order_id",
+        hot,
+        lambda df: allocate_cents(df, order),
+        lambda df: allocate_cents(df, order, chunk),
+    )
     filled = shared.withColumn("final_detail_amount", from_cents(F.col("final_detail_cents")))
-    return filled.drop("amount_cents", "original_cents", "final_cents", "final_detail_cents")
+    return filled.drop(*names, "final_detail_cents")

@@ -46,8 +46,10 @@ def route_canal(
     """
     keep = keep or []
     env = parse_json(df, schemas.CANAL, value, keep)
-    rows = env.select(*keep, "table", F.explode("data").alias("value"))
-    return rows.select(
+    # The outer form, with a filter after it, keeps Spark from testing the array
+    # before it is unfolded, which would parse the envelope twice.
+    rows = env.select(*keep, "table", F.explode_outer("data").alias("value"))
+    return rows.where(F.col("value").isNotNull()).select(
         *keep,
         _topic(F.col("table")).alias("topic"),
         _key(F.col("table"), F.col("value"), key_fields).alias("key"),

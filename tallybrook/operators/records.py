@@ -11,10 +11,12 @@ def parse_json(
 ) -> DataFrame:
     """Read ``value`` as a record of ``schema``; ``keep`` names other columns to carry.
 
-    Text that is no JSON object gives a row of nulls.
+    Text that is no JSON object gives a row of nulls. The record is unfolded by a
+    generator, which later filters and projections are not merged into: otherwise
+    Spark would parse the text again for every field they name.
     """
     record = F.from_json(F.col(value), schema)
-    return df.select(*(keep or []), record.alias("_r")).select(*(keep or []), "_r.*")
+    return df.select(*(keep or []), F.inline_outer(F.array(record)))
 
 
 def to_json(df: DataFrame, columns: list[str] | None = None) -> Column:

@@ -9,13 +9,23 @@ _CHUNK = "_chunk"
 
 
 def running_totals(
-    df: DataFrame, group: str, order: list[str], totals: dict[str, Column]
+    df: DataFrame,
+    group: str,
+    order: list[str],
+    totals: dict[str, Column],
+    overall: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Add running sums, each up to and including the row, in one window."""
+    """Add running sums, each up to and including the row, and sums over the group."""
     w = Window.partitionBy(group).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    return df.withColumns({name: F.sum(expr).over(w) for name, expr in totals.items()})
+    all_rows = Window.partitionBy(group)
+    return df.withColumns(
+        {
+            **{name: F.sum(expr).over(w) for name, expr in totals.items()},
+            **{name: F.sum(expr).over(all_rows) for name, expr in (overall or {}).items()},
+        }
+    )
 
 
 def chunked_running_totals(
@@ -24,19 +34,20 @@ def chunked_running_totals(
     order: list[str],
     totals: dict[str, Column],
     chunk: Column,
+    overall: dict[str, Column] | None = None,
 ) -> DataFrame:
     """The same sums for groups too large for one task.
 
     ``chunk`` is not null and never falls as ``order`` rises. Rows are shuffled and
     summed by group and chunk; only one total per chunk is ordered within the group.
     """
+    overall = overall or {}
     rows = df.withColumn(_CHUNK, chunk)
     per_chunk = rows.groupBy(group, _CHUNK).agg(
-        *[F.sum(expr).alias(name) for name, expr in totals.items()]
-    )
-    earlier = Window.partitionBy(group).orderBy(_CHUNK).rowsBetween(
-        Window.unboundedPreceding, -1
+        *[F.sum(expr).alias(name) for name, expr in {**totals, **overall}.items()]
     )
+    all_chunks = Window.partitionBy(group)
+    earlier = all_chunks.orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     before = per_chunk.select(
         F.col(group).alias("_group"),
         F.col(_CHUNK).alias("_at"),
@@ -44,6 +55,7 @@ def chunked_running_totals(
             F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"_before_{name}")
             for name in totals
         ],
+        *[F.sum(name).over(all_chunks).alias(name) for name in overall],
     )
     inside = Window.partitionBy(group, _CHUNK).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
@@ -52,6 +64,8 @@ def chunked_running_totals(
     joined = sums.join(
         before, (F.col(group) == F.col("_group")) & (F.col(_CHUNK) == F.col("_at"))
     )
-    return joined.withColumns(
-        {n: F.col(n) + F.col(f"_before_{n}") for n in totals}
-    ).drop("_group", "_at", _CHUNK, *[f"_before_{n}" for n in totals])
+    done = [
+        (F.col(c) + F.col(f"_before_{c}")).alias(c) if c in totals else F.col(c)
+        for c in [*df.columns, *totals, *overall]
+    ]
+    return joined.select(*done)

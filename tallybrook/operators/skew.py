@@ -13,6 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# A table below this estimate fits a task or two, whatever its keys.
+SMALL_BYTES = 64 << 20
 HOT_ROWS = 1_000_000
 SAMPLE_EVERY = 1024
 MAX_HOT_KEYS = 10_000
@@ -24,30 +26,39 @@ def hot_keys(
     sample_by: list[str],
     hot_rows: int = HOT_ROWS,
     sample_every: int = SAMPLE_EVERY,
-) -> DataFrame:
-    """Keys of about ``hot_rows`` rows or more, at most ``MAX_HOT_KEYS`` of them.
+    small_bytes: int = SMALL_BYTES,
+) -> DataFrame | None:
+    """Keys of about ``hot_rows`` rows or more, at most ``MAX_HOT_KEYS``; None if none.
 
-    Only the sampled rows are shuffled, reduced to counts first. The bound makes
-    the result safe to broadcast; keys past it go the ordinary route.
+    Unless the table is small, runs one job that reads ``key`` and ``sample_by`` and
+    shuffles counts of the sampled rows. The bound makes the keys safe to broadcast;
+    keys past it go the ordinary route.
     """
+    if estimated_bytes(df) < small_bytes:
+        return None
     picked = F.pmod(F.xxhash64(key, *sample_by), F.lit(sample_every)) == 0
     enough = max(1, hot_rows // sample_every)
     counts = df.where(picked).groupBy(key).count().where(F.col("count") >= enough)
+    if counts.isEmpty():
+        return None
     return counts.orderBy(F.desc("count"), key).limit(MAX_HOT_KEYS).select(key)
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate of a plan; runs nothing."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def by_heat(
     df: DataFrame,
     key: str,
-    hot: DataFrame,
+    hot: DataFrame | None,
     usual: Callable[[DataFrame], DataFrame],
     heavy: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
-    """``usual`` over rows of ordinary keys and ``heavy`` over rows of hot ones.
-
-    Where no key is hot, adaptive execution finds the broadcast empty and drops
-    the heavy branch before it starts.
-    """
+    """``usual`` over rows of ordinary keys and ``heavy`` over rows of hot ones."""
+    if hot is None:
+        return usual(df)
     few = F.broadcast(hot)
     return usual(df.join(few, key, "left_anti")).unionByName(
         heavy(df.join(few, key, "left_semi"))

@@ -237,3 +237,30 @@ WHERE list_has_any(
 ORDER BY n_chars, doc_id LIMIT 10
 """,
 }
+
+STREAM_ORACLE: dict[str, str] = {
+    "dau_stream": """
+SELECT DISTINCT user_id AS mid, strftime(ts, '%Y-%m-%d') AS dt FROM events
+""",
+    "cdc_stream": f"SELECT topic, key FROM ({BATCH_ORACLE['cdc_maxwell_route']})",
+    "sku_dimension_stream": BATCH_ORACLE["sku_enrich"],
+    "order_fact_stream": f"""
+WITH {_USERS}
+SELECT o.o_orderkey AS id,
+       CASE WHEN row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1
+            THEN '1' ELSE '0' END AS if_first_order,
+       strftime(o.o_orderdate, '%Y-%m-%d') AS create_date,
+       strftime(o.o_orderdate, '%H') AS create_hour,
+       n.n_name AS province_name, u.gender_name AS user_gender
+FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey
+LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey AND n.n_regionkey <> 4
+LEFT JOIN users u ON u.id = o.o_custkey
+""",
+    "order_wide_stream": """
+SELECT o_orderkey AS order_id, count(*) AS n_lines,
+       CAST(round(min(o_totalprice) * 100) AS DOUBLE) / 100 AS paid
+FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey
+""",
+    "trademark_amount_stream": f"SELECT tm_id, tm_name, amount FROM ({_TRADEMARK})",
+    "spu_amount_stream": BATCH_ORACLE["spu_amount_sum"],
+}

@@ -7,12 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybrook.functions import times
 from tallybrook.functions.money import cents, from_cents
-from tallybrook.operators.allocation import allocate_cents
+from tallybrook.operators.allocation import CHUNK_IDS, allocate_cents
 from tallybrook.operators.cdc import route_canal, route_maxwell
 from tallybrook.operators.activity import first_visits
 from tallybrook.operators.keyed import distinct_by_key, latest_by_key
@@ -30,7 +30,6 @@ from tallybrook.plans.tables import (
     Tables,
     as_details,
     number_lines,
-    original_totals,
 )
 from tallybrook.session import work_path
 from tallybrook.sources.relations import read_query
@@ -89,7 +88,7 @@ def cdc_canal_route(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _envelopes(t: Tables) -> DataFrame:
+def maxwell_envelopes(t: Tables) -> DataFrame:
     """Maxwell envelopes of four source tables."""
     orders = t.read("orders").select(
         F.lit("order_info").alias("table"),
@@ -123,7 +122,7 @@ def _envelopes(t: Tables) -> DataFrame:
 
 
 def cdc_maxwell_route(spark: SparkSession, folder: str) -> DataFrame:
-    return route_maxwell(_envelopes(Tables(spark, folder))).select("topic", "key", "type")
+    return route_maxwell(maxwell_envelopes(Tables(spark, folder))).select("topic", "key", "type")
 
 
 def topic_fanout(spark: SparkSession, folder: str) -> DataFrame:
@@ -270,27 +269,18 @@ def detail_sku(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _with_original(details: DataFrame, split: bool) -> DataFrame:
-    if split:
-        # One row per hot order, of which there are few.
-        return details.join(F.broadcast(original_totals(details)), "order_id")
-    line = cents(F.col("order_price")) * F.col("sku_num")
-    return details.withColumn(
-        "original_cents", F.sum(line).over(Window.partitionBy("order_id"))
-    )
-
-
-def _wide(t: Tables, orders: DataFrame, sku: DataFrame | None, finish=None) -> DataFrame:
+def wide_rows(t: Tables, orders: DataFrame, sku: DataFrame | None, finish=None) -> DataFrame:
     """Orders joined with priced, numbered lines; ``finish`` runs on each route."""
     hot = t.hot_orders()
 
     def build(split: bool) -> Callable[[DataFrame], DataFrame]:
         def run(lines: DataFrame) -> DataFrame:
-            details = _with_original(as_details(number_lines(lines, split)), split)
+            details = as_details(number_lines(lines, split, priced=True))
             if sku is not None:
                 details = add_sku(details, sku)
             mine = orders
             if split:
+                # One row per hot order, of which there are few.
                 keys = F.broadcast(hot.withColumnRenamed("order_id", "id"))
                 mine = F.broadcast(orders.join(keys, "id", "left_semi"))
             extra = {"original_cents": F.col("original_cents")}
@@ -310,7 +300,7 @@ def _share(wide: DataFrame, split: bool) -> DataFrame:
             "final_cents": cents(F.col("final_total_amount")),
         }
     )
-    chunk = F.floor(F.col("order_detail_id") / (1 << 20)) if split else None
+    chunk = F.floor(F.col("order_detail_id") / CHUNK_IDS) if split else None
     shared = allocate_cents(rows, ["order_detail_id"], chunk)
     return shared.withColumn("final_detail_amount", from_cents(F.col("final_detail_cents")))
 
@@ -333,7 +323,7 @@ def _order_facts(t: Tables) -> DataFrame:
 
 def order_wide_join(spark: SparkSession, folder: str) -> DataFrame:
     t = Tables(spark, folder)
-    wide = _wide(t, _order_facts(t), t.stored_skus())
+    wide = wide_rows(t, _order_facts(t), t.stored_skus())
     total = from_cents(F.col("original_cents"))
     return _surface(wide.withColumn("original_total_amount", total).select(*WIDE_COLUMNS))
 
@@ -341,7 +331,7 @@ def order_wide_join(spark: SparkSession, folder: str) -> DataFrame:
 def order_wide_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Wide rows delivered twice, kept once."""
     t = Tables(spark, folder)
-    wide = _wide(t, t.orders(), None)
+    wide = wide_rows(t, t.orders(), None)
     twice = wide.withColumn("_delivery", F.explode(F.array(F.lit(0), F.lit(1))))
     once = distinct_by_key(twice.drop("_delivery"), ["order_id", "order_detail_id"])
     return _surface(
@@ -353,38 +343,45 @@ def order_wide_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def order_amount_split(spark: SparkSession, folder: str) -> DataFrame:
     t = Tables(spark, folder)
-    shares = _wide(t, t.orders(), None, _share)
+    shares = wide_rows(t, t.orders(), None, _share)
     return _surface(shares.select("order_id", "order_detail_id", "final_detail_amount"))
 
 
-def _shares_with_sku(t: Tables) -> DataFrame:
-    shares = _wide(t, t.orders(), None, _share)
-    return shares.select("create_time", "sku_id", "final_detail_amount")
+def _shares_by_sku(t: Tables) -> DataFrame:
+    """Shares summed per sku first, so that only sums meet the sku dimension."""
+    shares = wide_rows(t, t.orders(), None, _share)
+    return shares.groupBy("sku_id").agg(
+        F.min("create_time").alias("create_time"),
+        F.sum("final_detail_amount").alias("final_detail_amount"),
+    )
 
 
 def spu_amount_sum(spark: SparkSession, folder: str) -> DataFrame:
     t = Tables(spark, folder)
-    rows = lookup(
-        _shares_with_sku(t),
-        t.stored_skus(),
-        "sku_id",
-        {"spu_id": "spu_id", "spu_name": "spu_name"},
-    )
+    named = lookup(t.plain_skus(), t.spus(), "spu_id", {"spu_name": "spu_name"})
+    names = {"spu_id": "spu_id", "spu_name": "spu_name"}
+    rows = lookup(_shares_by_sku(t), t.stored_skus(named), "sku_id", names)
     return spu_amounts(rows).withColumn("amount", F.col("amount").cast("double"))
 
 
 def trademark_amount_sum(spark: SparkSession, folder: str) -> DataFrame:
     t = Tables(spark, folder)
-    rows = lookup(
-        _shares_with_sku(t),
-        t.stored_skus(),
-        "sku_id",
-        {"tm_id": "tm_id", "tm_name": "tm_name"},
-    )
+    named = lookup(t.plain_skus(), t.trademarks(), "tm_id", {"tm_name": "tm_name"})
+    names = {"tm_id": "tm_id", "tm_name": "tm_name"}
+    rows = lookup(_shares_by_sku(t), t.stored_skus(named), "sku_id", names)
     sums = trademark_amounts(rows, F.lit(STAT_TIME))
     return sums.withColumn("amount", F.col("amount").cast("double"))
 
 
+def shares_with_names(t: Tables) -> DataFrame:
+    """Wide rows with their shares and the columns the marts read."""
+    shares = wide_rows(t, t.orders(), None, _share)
+    lines = shares.select("order_id", "order_detail_id", "create_time", "sku_id",
+                          "final_detail_amount")
+    names = {c: c for c in ("spu_id", "spu_name", "tm_id", "tm_name")}
+    return lookup(lines, t.stored_skus(), "sku_id", names)
+
+
 def idempotent_sink(spark: SparkSession, folder: str) -> DataFrame:
     """Trademark sums written as the same batch twice, present once."""
     path = work_path(spark, "results")

@@ -6,14 +6,14 @@ same in any engine. Dimension rows left out on purpose exercise unknown keys.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybrook.functions.money import cents, money
 from tallybrook.operators.lookup import enrich_sku
-from tallybrook.operators.running import chunked_running_totals
+from tallybrook.operators.running import chunked_running_totals, running_totals
 from tallybrook.operators.skew import hot_keys
 from tallybrook.operators.users import label_users
 
@@ -36,13 +36,20 @@ def name_id(name: Column) -> Column:
     return F.conv(F.substring(F.md5(name), 1, 15), 16, 10).cast("bigint")
 
 
-@dataclass(frozen=True)
+def _brand_id(column: str) -> Column:
+    return F.split_part(column, F.lit("#"), F.lit(2)).cast("bigint")
+
+
+@dataclass
 class Tables:
     spark: SparkSession
     folder: str
+    _read: dict[str, DataFrame] = field(default_factory=dict)
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._read[name]
 
     def orders(self) -> DataFrame:
         """Order facts without the fields the tables cannot supply."""
@@ -85,35 +92,41 @@ class Tables:
         )
         return label_users(rows, F.lit(AS_OF).cast("date"))
 
-    def skus(self) -> DataFrame:
-        """The sku dimension with frozen names."""
-        part = self.read("part")
-        sku = part.select(
+    def plain_skus(self) -> DataFrame:
+        """Skus as their source table has them."""
+        return self.read("part").select(
             F.col("p_partkey").alias("id"),
             name_id(F.col("p_name")).alias("spu_id"),
             money(F.col("p_retailprice")).alias("price"),
             F.col("p_name").alias("sku_name"),
-            F.split_part("p_brand", F.lit("#"), F.lit(2)).cast("bigint").alias("tm_id"),
+            _brand_id("p_brand").alias("tm_id"),
             name_id(F.col("p_type")).alias("category3_id"),
             F.col("p_size"),
         )
-        types = part.select(F.col("p_type").alias("name")).distinct()
-        category3 = types.where(F.col("name") != NO_CATEGORY).withColumn(
-            "id", name_id(F.col("name"))
-        )
-        brands = part.select(F.col("p_brand").alias("tm_name")).distinct()
-        trademark = brands.where(F.col("tm_name") != NO_TRADEMARK).withColumn(
-            "id", F.split_part("tm_name", F.lit("#"), F.lit(2)).cast("bigint")
-        )
-        names = part.select(F.col("p_name").alias("spu_name")).distinct()
-        spu = names.where(~F.col("spu_name").endswith(NO_SPU_SUFFIX)).withColumn(
-            "id", name_id(F.col("spu_name"))
-        )
-        return enrich_sku(sku, category3, trademark, spu)
 
-    def stored_skus(self) -> DataFrame:
+    def categories(self) -> DataFrame:
+        names = self.read("part").select(F.col("p_type").alias("name")).distinct()
+        known = names.where(F.col("name") != NO_CATEGORY)
+        return known.withColumn("id", name_id(F.col("name")))
+
+    def trademarks(self) -> DataFrame:
+        names = self.read("part").select(F.col("p_brand").alias("tm_name")).distinct()
+        known = names.where(F.col("tm_name") != NO_TRADEMARK)
+        return known.withColumn("id", _brand_id("tm_name"))
+
+    def spus(self) -> DataFrame:
+        names = self.read("part").select(F.col("p_name").alias("spu_name")).distinct()
+        known = names.where(~F.col("spu_name").endswith(NO_SPU_SUFFIX))
+        return known.withColumn("id", name_id(F.col("spu_name")))
+
+    def skus(self) -> DataFrame:
+        """The sku dimension with frozen names."""
+        return enrich_sku(self.plain_skus(), self.categories(), self.trademarks(), self.spus())
+
+    def stored_skus(self, skus: DataFrame | None = None) -> DataFrame:
         """The sku dimension as facts see it, some skus missing."""
-        return self.skus().where(F.col("p_size") != NO_SKU_SIZE).drop("p_size")
+        every = self.skus() if skus is None else skus
+        return every.where(F.col("p_size") != NO_SKU_SIZE).drop("p_size")
 
     def lines(self) -> DataFrame:
         """Order lines, not yet numbered."""
@@ -121,7 +134,7 @@ class Tables:
             F.col("l_orderkey").alias("order_id"), *LINE_ORDER
         )
 
-    def hot_orders(self) -> DataFrame:
+    def hot_orders(self) -> DataFrame | None:
         return hot_keys(self.lines(), "order_id", ["l_partkey", "l_suppkey", "l_quantity"])
 
     def prices(self) -> DataFrame:
@@ -132,18 +145,20 @@ class Tables:
         )
 
 
-def number_lines(lines: DataFrame, split: bool = False) -> DataFrame:
+def number_lines(lines: DataFrame, split: bool = False, priced: bool = False) -> DataFrame:
     """Add ``seq``, the line's number within its order.
 
-    With ``split`` the lines of one order are spread over tasks, by line number and
-    then by range of part key, the first two columns of the line order.
+    ``priced`` lines also get ``original_cents``, price times number summed over
+    the order. With ``split`` the lines of one order are spread over tasks, by line
+    number and then by range of part key, the first two columns of the line order.
     """
-    if split:
-        chunk = F.struct("l_linenumber", F.floor(F.col("l_partkey") / _PARTS_PER_CHUNK))
-        one = {"seq": F.lit(1).cast("bigint")}
-        return chunked_running_totals(lines, "order_id", LINE_ORDER, one, chunk)
-    w = Window.partitionBy("order_id").orderBy(*LINE_ORDER)
-    return lines.withColumn("seq", F.row_number().over(w).cast("bigint"))
+    one = {"seq": F.lit(1).cast("bigint")}
+    amount = cents(F.col("order_price")) * F.col("l_quantity").cast("bigint")
+    total = {"original_cents": amount} if priced else None
+    if not split:
+        return running_totals(lines, "order_id", LINE_ORDER, one, total)
+    chunk = F.struct("l_linenumber", F.floor(F.col("l_partkey") / _PARTS_PER_CHUNK))
+    return chunked_running_totals(lines, "order_id", LINE_ORDER, one, chunk, total)
 
 
 def as_details(numbered: DataFrame) -> DataFrame:
@@ -156,10 +171,3 @@ def as_details(numbered: DataFrame) -> DataFrame:
         F.col("l_quantity").cast("bigint").alias("sku_num"),
         *rest,
     )
-
-
-def original_totals(details: DataFrame) -> DataFrame:
-    """Price times number summed over each order, in cents, one row per order."""
-    return details.groupBy("order_id").agg(
-        F.sum(cents(F.col("order_price")) * F.col("sku_num")).alias("original_cents")
-    )

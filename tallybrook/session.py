@@ -22,11 +22,17 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+# Settings that only count when the session is made.
+STATIC_SETTINGS = {
+    # Recording the Python line of every column expression slows plan building.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def builder(app_name: str = "tallybrook") -> SparkSession.Builder:
     """A session builder with the toolkit's settings applied."""
     b = SparkSession.builder.appName(app_name)
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **STATIC_SETTINGS}.items():
         b = b.config(key, value)
     return b
 

@@ -72,6 +72,7 @@ def read_topic(
     reader = spark.readStream.schema(_LOG_SCHEMA).option("recursiveFileLookup", "true")
     if max_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_per_trigger)
+    _make_folder(spark, store.path(topic))
     return reader.parquet(store.path(topic)).select(
         F.lit(topic).alias("topic"),
         "key",
@@ -82,6 +83,12 @@ def read_topic(
     )
 
 
+def _make_folder(spark: SparkSession, path: str) -> None:
+    """A file stream needs its folder to be there before the first message."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
 def read_topic_log(spark: SparkSession, store: TopicStore, topic: str | None = None) -> DataFrame:
     """All messages so far, of one topic or of every topic, as a batch."""
     if store.backend == "kafka":

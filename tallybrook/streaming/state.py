@@ -1,0 +1,116 @@
+"""State kept per key between batches, where built-in operators do not reach.
+
+Each processor looks at its rows once, in arrival order, and holds a constant
+amount of memory and state per key however many rows the key has.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+
+from tallybrook.functions.money import from_cents
+from tallybrook.operators.allocation import wide_cents
+
+SPLIT_TTL_MS = 600_000
+_CENTS = ("_amount_cents", "_original_cents", "_final_cents")
+
+
+def share_of(amount: int, original: int, final: int, reached: int, given: int) -> int | None:
+    """What a line gets in cents, after earlier lines reached and were given so much."""
+    if reached + amount == original:
+        return final - given
+    if original == 0:
+        return None
+    return (2 * final * amount + original) // (2 * original)
+
+
+class ShareOrder(StatefulProcessor):
+    """Shares of one order's lines; the state is two sums, dropped when idle."""
+
+    def __init__(self, ttl_ms: int) -> None:
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.sums = handle.getValueState(
+            "sums", "reached BIGINT, given BIGINT", ttlDurationMs=self.ttl_ms
+        )
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        reached, given = self.sums.get() if self.sums.exists() else (0, 0)
+        for row in rows:
+            fields = row.asDict()
+            amount, original, final = (fields.pop(c) for c in _CENTS)
+            share = share_of(amount, original, final, reached, given)
+            reached += amount
+            given += share or 0
+            yield Row(**fields, _share_cents=share)
+        self.sums.update((reached, given))
+
+    def close(self) -> None:
+        pass
+
+
+def allocate_stream(wide: DataFrame, ttl_ms: int = SPLIT_TTL_MS) -> DataFrame:
+    """``final_detail_amount`` for a stream of wide rows, in order of arrival.
+
+    The rule is that of ``operators.allocation``; lines of an order may arrive in
+    different batches while its state lives, ``ttl_ms`` after the last one.
+    """
+    columns: list[Column] = [F.col(c) for c in wide.columns if c != "final_detail_amount"]
+    rows = wide.select(*columns, *[c.alias(n) for n, c in zip(_CENTS, wide_cents())])
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop(*_CENTS).schema]
+    shared = rows.groupBy("order_id").transformWithState(
+        statefulProcessor=ShareOrder(ttl_ms),
+        outputStructType=", ".join([*kept, "_share_cents BIGINT"]),
+        outputMode="Append",
+        timeMode="ProcessingTime",
+    )
+    amount = from_cents(F.col("_share_cents")).alias("final_detail_amount")
+    return shared.select("*", amount).drop("_share_cents")
+
+
+class MarkFirstOrder(StatefulProcessor):
+    """Marks the earliest order of a user's first batch; the state is a flag."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.consumed = handle.getValueState("consumed", "if_consumed STRING")
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.consumed.update((initialState.if_consumed,))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        known = self.consumed.exists() and self.consumed.get()[0] == "1"
+        best: Row | None = None
+        for row in rows:
+            if not known and best is None:
+                best = row
+                continue
+            if not known and (row.create_time, row.id) < (best.create_time, best.id):
+                best, row = row, best
+            yield Row(**row.asDict(), if_first_order="0")
+        if best is not None:
+            self.consumed.update(("1",))
+            yield Row(**best.asDict(), if_first_order="1")
+
+    def close(self) -> None:
+        pass
+
+
+def flag_first_orders_stream(orders: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """``if_first_order`` for a stream of orders; see ``operators.orders``.
+
+    ``known`` (``user_id, if_consumed``, one row per user) fills the state on the
+    query's first start.
+    """
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in orders.schema]
+    return orders.groupBy("user_id").transformWithState(
+        statefulProcessor=MarkFirstOrder(),
+        outputStructType=", ".join([*kept, "if_first_order STRING"]),
+        outputMode="Append",
+        timeMode="None",
+        initialState=None if known is None else known.groupBy("user_id"),
+    )
