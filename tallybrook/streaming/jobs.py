@@ -194,7 +194,7 @@ def dws_wide(
         reach,
         ttl,
     )
-    shared = allocate_stream(wide.drop("order_at"))
+    shared = allocate_stream(wide, at="order_at")
     return w.start(
         send_stream(topic_rows(shared, WIDE_TOPIC), w.topics, "dws_wide"), "dws_wide"
     )

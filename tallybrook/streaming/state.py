@@ -16,7 +16,8 @@ from tallybrook.functions.money import from_cents
 from tallybrook.operators.allocation import wide_cents
 
 SPLIT_TTL_MS = 600_000
-_CENTS = ("_amount_cents", "_original_cents", "_final_cents")
+_AT = "_at"
+_WORK = ("_amount_cents", "_original_cents", "_final_cents", "_at_ms")
 
 
 def share_of(amount: int, original: int, final: int, reached: int, given: int) -> int | None:
@@ -29,45 +30,64 @@ def share_of(amount: int, original: int, final: int, reached: int, given: int) -
 
 
 class ShareOrder(StatefulProcessor):
-    """Shares of one order's lines; the state is two sums, dropped when idle."""
+    """Shares of one order's lines; the state is two sums and when they expire."""
 
     def __init__(self, ttl_ms: int) -> None:
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.sums = handle.getValueState(
-            "sums", "reached BIGINT, given BIGINT", ttlDurationMs=self.ttl_ms
+            "sums", "reached BIGINT, given BIGINT, expires_ms BIGINT"
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        reached, given = self.sums.get() if self.sums.exists() else (0, 0)
+        reached, given, before = self.sums.get() or (0, 0, 0)
+        expires = before
         for row in rows:
             fields = row.asDict()
-            amount, original, final = (fields.pop(c) for c in _CENTS)
+            amount, original, final, at = (fields.pop(c) for c in _WORK)
+            fields.pop(_AT)
             share = share_of(amount, original, final, reached, given)
             reached += amount
             given += share or 0
+            expires = max(expires, at + self.ttl_ms)
             yield Row(**fields, _share_cents=share)
-        self.sums.update((reached, given))
+        self.sums.update((reached, given, expires))
+        if expires > before:
+            self.handle.registerTimer(expires)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        # Timers set before the order's last lines are of no account.
+        sums = self.sums.get()
+        if sums is not None and sums[2] <= expiredTimerInfo.getExpiryTimeInMs():
+            self.sums.clear()
+        return iter(())
 
     def close(self) -> None:
         pass
 
 
-def allocate_stream(wide: DataFrame, ttl_ms: int = SPLIT_TTL_MS) -> DataFrame:
+def allocate_stream(wide: DataFrame, at: str, ttl_ms: int = SPLIT_TTL_MS) -> DataFrame:
     """``final_detail_amount`` for a stream of wide rows, in order of arrival.
 
-    The rule is that of ``operators.allocation``; lines of an order may arrive in
-    different batches while its state lives, ``ttl_ms`` after the last one.
+    The rule is that of ``operators.allocation``. Lines of an order may arrive in
+    different batches: its state lives until the watermark of ``at``, the arrival
+    time, is ``ttl_ms`` past the last of them. ``at`` itself is not passed on.
     """
-    columns: list[Column] = [F.col(c) for c in wide.columns if c != "final_detail_amount"]
-    rows = wide.select(*columns, *[c.alias(n) for n, c in zip(_CENTS, wide_cents())])
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop(*_CENTS).schema]
+    columns: list[Column] = [
+        F.col(c) for c in wide.columns if c not in ("final_detail_amount", at)
+    ]
+    work = [*wide_cents(), F.unix_millis(F.col(at))]
+    rows = wide.select(
+        *columns, F.col(at).alias(_AT), *[c.alias(n) for n, c in zip(_WORK, work)]
+    )
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop(_AT, *_WORK).schema]
     shared = rows.groupBy("order_id").transformWithState(
         statefulProcessor=ShareOrder(ttl_ms),
         outputStructType=", ".join([*kept, "_share_cents BIGINT"]),
         outputMode="Append",
-        timeMode="ProcessingTime",
+        timeMode="EventTime",
     )
     amount = from_cents(F.col("_share_cents")).alias("final_detail_amount")
     return shared.select("*", amount).drop("_share_cents")
@@ -83,7 +103,7 @@ class MarkFirstOrder(StatefulProcessor):
         self.consumed.update((initialState.if_consumed,))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        known = self.consumed.exists() and self.consumed.get()[0] == "1"
+        known = self.consumed.get() == ("1",)
         best: Row | None = None
         for row in rows:
             if not known and best is None:
