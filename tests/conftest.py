@@ -1,0 +1,29 @@
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+from tallybrook.session import builder  # noqa: E402
+
+DATA = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    s = (
+        builder("tests")
+        .master("local[4]")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.host", "127.0.0.1")
+        .config("spark.driver.memory", "4g")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .getOrCreate()
+    )
+    s.sparkContext.setLogLevel("ERROR")
+    yield s
+    s.stop()
