@@ -1,0 +1,44 @@
+import re
+
+from tallybrook.operators.search import match_search
+
+
+def test_any_term_whole_text_sorted(spark):
+    docs = [
+        (1, "Red River, blue sea", 3.0),
+        (2, "redder rivers", 1.0),
+        (3, "x " * 20000 + "RED", 2.0),
+        (4, None, 0.0),
+        (5, "d'été_rouge", 5.0),
+    ]
+    df = spark.createDataFrame(docs, "id INT, name STRING, score DOUBLE")
+    out = match_search(df, "name", "red SEA!", ["score", "id"])
+    assert [r.id for r in out.collect()] == [3, 1]
+    assert [r.id for r in match_search(df, "name", "ÉTÉ", ["score"]).collect()] == [5]
+    assert match_search(df, "name", " ... ", ["score"]).count() == 0
+
+
+def test_han_text_matches_by_character(spark):
+    df = spark.createDataFrame(
+        [(1, "红海行动", 9.0), (2, "湄公河行动", 8.0), (3, "operation", 7.0)],
+        "id INT, name STRING, score DOUBLE",
+    )
+    assert [r.id for r in match_search(df, "name", "红海战役", ["score"]).collect()] == [1]
+    assert [r.id for r in match_search(df, "name", "行", ["score"]).collect()] == [2, 1]
+
+
+def test_page_size(spark):
+    df = spark.range(40).selectExpr("id", "'a b' AS name")
+    assert match_search(df, "name", "b", ["id"]).count() == 10
+    assert match_search(df, "name", "b", ["id"], size=None).count() == 40
+
+
+def test_terms_against_python(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    want = {
+        r.doc_id
+        for r in docs.collect()
+        if {"the", "house"} & set(re.split(r"[\W_]+", r.text.lower()))
+    }
+    got = match_search(docs, "text", "house the", ["doc_id"], size=None)
+    assert {r.doc_id for r in got.collect()} == want
