@@ -265,19 +265,25 @@ def detail_sku(spark: SparkSession, folder: str) -> DataFrame:
     out = add_sku(as_details(numbered), t.stored_skus())
     return out.select(
         F.col("id").alias("detail_id"),
-        *["spu_id", "tm_id", "category3_id", "spu_name", "tm_name", "category3_name"],
+        *SKU_COLUMNS,
     )
 
 
 def wide_rows(t: Tables, orders: DataFrame, sku: DataFrame | None, finish=None) -> DataFrame:
-    """Orders joined with priced, numbered lines; ``finish`` runs on each route."""
+    """Orders joined with priced, numbered lines; ``finish`` runs on each route.
+
+    Price and sku names are put together before they meet the lines: that join
+    stands alone on its key, so adaptive execution can split a part most lines
+    name, and the lines are shuffled by part once and by order once.
+    """
     hot = t.hot_orders()
+    parts = t.prices()
+    if sku is not None:
+        parts = lookup(parts, sku, "l_partkey", {c: c for c in SKU_COLUMNS})
 
     def build(split: bool) -> Callable[[DataFrame], DataFrame]:
         def run(lines: DataFrame) -> DataFrame:
             details = as_details(number_lines(lines, split, priced=True))
-            if sku is not None:
-                details = add_sku(details, sku)
             mine = orders
             if split:
                 # One row per hot order, of which there are few.
@@ -289,7 +295,7 @@ def wide_rows(t: Tables, orders: DataFrame, sku: DataFrame | None, finish=None)
 
         return run
 
-    lines = t.lines().join(t.prices(), "l_partkey")
+    lines = t.lines().join(parts, "l_partkey")
     return by_heat(lines, "order_id", hot, build(False), build(True))
 
 
@@ -305,6 +311,7 @@ def _share(wide: DataFrame, split: bool) -> DataFrame:
     return shared.withColumn("final_detail_amount", from_cents(F.col("final_detail_cents")))
 
 
+SKU_COLUMNS = ("spu_id", "tm_id", "category3_id", "spu_name", "tm_name", "category3_name")
 WIDE_COLUMNS = [
     "order_detail_id", "order_id", "order_status", "create_time", "user_id", "sku_id",
     "sku_price", "sku_num", "sku_name", "original_total_amount", "final_total_amount",
@@ -316,9 +323,11 @@ WIDE_COLUMNS = [
 
 def _order_facts(t: Tables) -> DataFrame:
     """Orders with everything the wide fact takes from them."""
-    orders = add_user(t.orders_with_province_id(), t.users())
-    orders = add_date_parts(add_province(orders, t.province()))
-    return flag_first_orders(orders)
+    # Everything known about a user first, then one join with the orders.
+    labels = {"age_group": "user_age_group", "gender_name": "user_gender"}
+    people = lookup(t.homes(), t.users(), "user_id", labels)
+    orders = t.orders().join(people, "user_id", "left")
+    return flag_first_orders(add_date_parts(add_province(orders, t.province())))
 
 
 def order_wide_join(spark: SparkSession, folder: str) -> DataFrame:

@@ -61,12 +61,14 @@ class Tables:
             F.col("o_orderdate").alias("create_time"),
         )
 
-    def orders_with_province_id(self) -> DataFrame:
-        home = self.read("customer").select(
+    def homes(self) -> DataFrame:
+        return self.read("customer").select(
             F.col("c_custkey").alias("user_id"),
             F.col("c_nationkey").cast("bigint").alias("province_id"),
         )
-        return self.orders().join(home, "user_id", "left")
+
+    def orders_with_province_id(self) -> DataFrame:
+        return self.orders().join(self.homes(), "user_id", "left")
 
     def province(self) -> DataFrame:
         known = self.read("nation").where(F.col("n_regionkey") != NO_PROVINCE_REGION)

@@ -1,0 +1,83 @@
+"""What Spark makes of the operators."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallybrook.operators.keyed import first_by_key
+from tallybrook.operators.lookup import lookup
+from tallybrook.plans.queries import BATCH_QUERIES
+from tests.conftest import DATA
+
+
+def planned(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("name", sorted(BATCH_QUERIES))
+def test_no_cross_joins_single_task_windows_or_python(spark, no_broadcast, name):
+    plan = planned(BATCH_QUERIES[name](spark, DATA))
+    for bad in ("CartesianProduct", "BroadcastNestedLoop", "Python", "Pandas", "BroadcastExchange"):
+        assert bad not in plan
+    if name != "match_search":
+        assert "SinglePartition" not in plan
+
+
+def test_one_row_per_key_is_cut_before_the_shuffle(spark):
+    plan = planned(BATCH_QUERIES["dau_first_visit"](spark, DATA))
+    assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    plan = planned(BATCH_QUERIES["dim_lookup_by_keys"](spark, DATA))
+    assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan
+    plan = planned(BATCH_QUERIES["order_date_parts"](spark, DATA))
+    assert re.findall(r"ReadSchema: (\S+)", plan) == [
+        "struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>"
+    ]
+
+
+def test_lines_are_shuffled_once_by_part_and_once_by_order(spark, no_broadcast):
+    plan = planned(BATCH_QUERIES["order_amount_split"](spark, DATA))
+    keys = re.findall(r"Exchange hashpartitioning\((\w+)#", plan)
+    # Each once for the lines and once for the table they meet.
+    assert sorted(keys) == ["l_partkey", "l_partkey", "order_id", "order_id"]
+
+
+def test_hot_lookup_key_is_split(spark, no_broadcast):
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        k = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id"))
+        facts = spark.range(0, 60000, 1, 8).select(k.alias("k"), F.uuid().alias("pay"))
+        dim = spark.range(60000).select("id", F.col("id").cast("string").alias("name"))
+        out = lookup(facts, dim, "k", {"name": "name"})
+        rows = out.where("k = 7 AND name = '7'").count()
+        out.collect()
+        assert "skew=true" in planned(out)
+        assert rows >= 20000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_first_by_key_with_one_key_for_all(spark):
+    df = spark.range(0, 50000, 1, 8).select(F.lit("k").alias("k"), "id")
+    assert [r.id for r in first_by_key(df, ["k"], ["id"]).collect()] == [0]
