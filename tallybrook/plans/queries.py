@@ -361,7 +361,7 @@ def _shares_by_sku(t: Tables) -> DataFrame:
     shares = wide_rows(t, t.orders(), None, _share)
     return shares.groupBy("sku_id").agg(
         F.min("create_time").alias("create_time"),
-        F.sum("final_detail_amount").alias("final_detail_amount"),
+        from_cents(F.sum("final_detail_cents")).alias("final_detail_amount"),
     )
 
 
