@@ -24,7 +24,7 @@ def flag_first_orders(orders: DataFrame, state: DataFrame | None = None) -> Data
     """Add ``if_first_order``: ``'1'`` on the earliest order of each user who has
     not consumed before, ``'0'`` on all others.
 
-    Equal times are settled by the lower id. ``state`` is ``user_id, if_consumed``.
+    Order ids are unique; equal times are settled by the lower id. ``state`` is ``user_id, if_consumed``.
     Orders are reduced to one row per user before they meet the state, and the
     flag is joined back by order id, so no step depends on how many orders one
     user has.

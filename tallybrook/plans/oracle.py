@@ -255,6 +255,12 @@ SELECT o.o_orderkey AS id,
 FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey
 LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey AND n.n_regionkey <> 4
 LEFT JOIN users u ON u.id = o.o_custkey
+""",
+    "order_detail_stream": f"""
+WITH {_SKUS}
+SELECT l_orderkey AS order_id, l_partkey AS sku_id, CAST(l_quantity AS BIGINT) AS sku_num,
+       k.spu_id, k.tm_id, k.category3_id, k.spu_name, k.tm_name, k.category3_name
+FROM lineitem LEFT JOIN stored_skus k ON k.id = l_partkey
 """,
     "order_wide_stream": """
 SELECT o_orderkey AS order_id, count(*) AS n_lines,

@@ -147,11 +147,35 @@ def spu_amount_stream(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def order_detail_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Sku and order line topics; lines take the sku's names."""
+    s, w = _warehouse(spark, "details")
+    t = Tables(s, folder)
+    _fill(w, t.categories(), "ODS_T_BASE_CATEGORY3", "id")
+    _fill(w, t.trademarks().withColumnRenamed("id", "tm_id"), "ODS_T_BASE_TRADEMARK", "tm_id")
+    _fill(w, t.spus(), "ODS_T_SPU_INFO", "id")
+    _fill(w, t.stored_skus(t.plain_skus()), "ODS_T_SKU_INFO", "id")
+    lines = t.read("lineitem").select(
+        F.monotonically_increasing_id().alias("id"),
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_partkey").alias("sku_id"),
+        F.col("l_quantity").cast("bigint").alias("sku_num"),
+    )
+    _fill(w, lines, "ODS_T_ORDER_DETAIL", "id")
+    _run(s, w, "dim_base_category3", "dim_base_trademark", "dim_spu_info", "dim_sku_info")
+    _run(s, w, "dw_detail")
+    rows = parse_json(
+        read_topic_log(spark, w.topics, jobs.DETAIL_TOPIC), schemas.ORDER_DETAIL_ENRICHED
+    )
+    return rows.select("order_id", "sku_id", "sku_num", *batch.SKU_COLUMNS)
+
+
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dau_stream": dau_stream,
     "cdc_stream": cdc_stream,
     "sku_dimension_stream": sku_dimension_stream,
     "order_fact_stream": order_fact_stream,
+    "order_detail_stream": order_detail_stream,
     "order_wide_stream": order_wide_stream,
     "trademark_amount_stream": trademark_amount_stream,
     "spu_amount_stream": spu_amount_stream,

@@ -132,17 +132,19 @@ def dw_order(
     flagged = flag_first_orders_stream(orders, known)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        s = batch.sparkSession
-        rows = add_province(batch, w.dimension(s, "base_province", schemas.BASE_PROVINCE))
-        rows = add_user(rows, w.dimension(s, "user_info", schemas.USER_INFO_ENRICHED))
-        rows.persist()
+        batch.persist()
         try:
-            if rows.isEmpty():
+            if batch.isEmpty():
                 return
+            province = w.dimension(
+                batch.sparkSession, "base_province", schemas.BASE_PROVINCE
+            )
+            users = w.dimension_for(batch, "user_id", "user_info", schemas.USER_INFO_ENRICHED)
+            rows = add_user(add_province(batch, province), users)
             send(topic_rows(rows, ORDER_TOPIC, F.col("id")), w.topics, "dw_order", batch_id)
-            upsert(consumed_users(rows), w.table("user_state"), batch_id)
+            upsert(consumed_users(batch), w.table("user_state"), batch_id)
         finally:
-            rows.unpersist()
+            batch.unpersist()
 
     return w.start(flagged.writeStream.foreachBatch(write), "dw_order")
 
@@ -155,11 +157,13 @@ def dw_detail(
     details = parsed.where(F.col("id").isNotNull())
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        sku = w.dimension(batch.sparkSession, "sku_info", schemas.SKU_INFO_ENRICHED)
-        rows = add_sku(batch, sku, on_missing)
-        send(
-            topic_rows(rows, DETAIL_TOPIC, F.col("order_id")), w.topics, "dw_detail", batch_id
-        )
+        batch.persist()
+        try:
+            sku = w.dimension_for(batch, "sku_id", "sku_info", schemas.SKU_INFO_ENRICHED)
+            rows = topic_rows(add_sku(batch, sku, on_missing), DETAIL_TOPIC, F.col("order_id"))
+            send(rows, w.topics, "dw_detail", batch_id)
+        finally:
+            batch.unpersist()
 
     return w.start(details.writeStream.foreachBatch(write), "dw_detail")
 

@@ -10,9 +10,10 @@ from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from tallybrook.operators.keyed import latest_by_key
+from tallybrook.operators.lookup import rows_for_keys
 from tallybrook.operators.records import parse_json
 from tallybrook.sources.results import write_result
-from tallybrook.sources.tables import read_latest
+from tallybrook.sources.tables import BATCH, read_latest, read_versions
 from tallybrook.sources.topics import TopicStore, read_topic
 
 # rows, query id, batch id
@@ -47,8 +48,20 @@ class Warehouse:
         return parse_json(self.messages(spark, topic), schema, keep=keep)
 
     def dimension(self, spark: SparkSession, name: str, schema: str) -> DataFrame:
+        """All of a small dimension, as of now."""
         return read_latest(spark, self.table(name), schema, ["id"])
 
+    def dimension_for(
+        self, facts: DataFrame, fact_key: str, name: str, schema: str
+    ) -> DataFrame:
+        """The rows of a large dimension that a batch of facts refers to.
+
+        Versions of other keys are dropped before versions are compared.
+        """
+        versions = read_versions(facts.sparkSession, self.table(name), schema)
+        wanted = rows_for_keys(versions, "id", facts, fact_key)
+        return latest_by_key(wanted, ["id"], [BATCH]).drop(BATCH)
+
     def save_result(self, rows: DataFrame, name: str, query_id: str, batch_id: int) -> None:
         if self.results is not None:
             self.results(rows, query_id, batch_id)
