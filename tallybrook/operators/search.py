@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.functions.text import mentions_any
+from tallybrook.functions.text import mentions_any, query_terms
 
 
 def match_search(
@@ -15,5 +15,6 @@ def match_search(
 
     A result page has ``size`` rows; ``None`` gives all matches.
     """
-    hits = df.where(mentions_any(F.col(text), F.lit(query))).orderBy(*sort_by)
+    words = query_terms(df.sparkSession, query)
+    hits = df.where(mentions_any(F.col(text), words)).orderBy(*sort_by)
     return hits if size is None else hits.limit(size)

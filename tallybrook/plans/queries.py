@@ -144,23 +144,27 @@ def topic_fanout(spark: SparkSession, folder: str) -> DataFrame:
 # Activity ------------------------------------------------------------------
 
 
-def _visits(t: Tables) -> DataFrame:
-    ts = F.col("ts")
-    return t.read("events").select(
+def dau_first_visit(spark: SparkSession, folder: str) -> DataFrame:
+    """Ranked by DATE; days and hours are written out for the rows that are left."""
+    events = Tables(spark, folder).read("events").select(
         F.col("user_id").alias("mid"),
         F.col("event_type").alias("ch"),
+        F.col("ts").cast("date").alias("dt"),
+        "ts",
+        "event_id",
+    )
+    first = first_visits(events, ["ts", "event_id"])
+    ts = F.col("ts")
+    return first.select(
+        "mid",
+        "ch",
         times.day(ts).alias("dt"),
         times.hour(ts).alias("hr"),
         times.minute(ts).alias("mi"),
         "ts",
-        "event_id",
     )
 
 
-def dau_first_visit(spark: SparkSession, folder: str) -> DataFrame:
-    return first_visits(_visits(Tables(spark, folder)), ["ts", "event_id"]).drop("event_id")
-
-
 def dau_upsert_by_day(spark: SparkSession, folder: str) -> DataFrame:
     """First visits arriving in two batches; the later one replaces the earlier."""
     rows = dau_first_visit(spark, folder)

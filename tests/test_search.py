@@ -1,5 +1,8 @@
 import re
 
+from pyspark.sql import functions as F
+
+from tallybrook.functions.text import query_terms, terms
 from tallybrook.operators.search import match_search
 
 
@@ -42,3 +45,17 @@ def test_terms_against_python(spark):
     }
     got = match_search(docs, "text", "house the", ["doc_id"], size=None)
     assert {r.doc_id for r in got.collect()} == want
+
+
+def test_pattern_agrees_with_terms(spark):
+    """Matching in place finds what comparing term lists finds."""
+    texts = ["红sea海", "seaside", "the-sea", "sea红", "Sea1", "1sea", "_sea_", "", "海", "x海y sea9"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id INT, name STRING")
+    for query in ("sea", "海", "sea 海 y", "9", "sea1 x"):
+        want = {
+            r.id
+            for r in df.select("id", terms(F.col("name")).alias("t")).collect()
+            if set(r.t) & set(query_terms(spark, query))
+        }
+        got = {r.id for r in match_search(df, "name", query, ["id"], size=None).collect()}
+        assert got == want
