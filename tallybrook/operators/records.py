@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, IntegralType, StructField, StructType
+
+# Wide enough for any 64-bit integer; read from JSON numbers and from quoted ones.
+_ANY_INTEGER = DecimalType(20, 0)
 
 
 def parse_json(
@@ -11,12 +15,23 @@ def parse_json(
 ) -> DataFrame:
     """Read ``value`` as a record of ``schema``; ``keep`` names other columns to carry.
 
+    Integers and decimals may be quoted, as some change-capture tools write them.
     Text that is no JSON object gives a row of nulls. The record is unfolded by a
     generator, which later filters and projections are not merged into: otherwise
     Spark would parse the text again for every field they name.
     """
-    record = F.from_json(F.col(value), schema)
-    return df.select(*(keep or []), F.inline_outer(F.array(record)))
+    fields = StructType.fromDDL(schema).fields
+    whole = {f.name for f in fields if isinstance(f.dataType, IntegralType)}
+    lenient = StructType(
+        [StructField(f.name, _ANY_INTEGER if f.name in whole else f.dataType) for f in fields]
+    )
+    record = F.from_json(F.col(value), lenient)
+    unfolded = df.select(*(keep or []), F.inline_outer(F.array(record)))
+    typed = [
+        F.col(f.name).try_cast(f.dataType).alias(f.name) if f.name in whole else F.col(f.name)
+        for f in fields
+    ]
+    return unfolded.select(*(keep or []), *typed)
 
 
 def to_json(df: DataFrame, columns: list[str] | None = None) -> Column:

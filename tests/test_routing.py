@@ -70,6 +70,17 @@ def test_typed_record_ignores_extra_and_nulls_missing(spark):
     assert row.sku_name is None
 
 
+def test_quoted_numbers_are_read(spark):
+    df = _values(
+        spark,
+        {"id": "9223372036854775807", "order_price": "12.5", "sku_num": 3},
+        {"id": "x", "sku_num": "99999999999999999999", "sku_name": "kept"},
+    )
+    first, second = parse_json(df, schemas.ORDER_DETAIL).collect()
+    assert (first.id, str(first.order_price), first.sku_num) == (2**63 - 1, "12.50", 3)
+    assert (second.id, second.sku_num, second.sku_name) == (None, None, "kept")
+
+
 def test_topic_rows_leave_out_nulls(spark):
     df = spark.createDataFrame([(1, None)], "id INT, name STRING")
     row = topic_rows(df, "T", F.col("id")).first()
