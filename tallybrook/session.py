@@ -38,13 +38,17 @@ def builder(app_name: str = "tallybrook") -> SparkSession.Builder:
 
 
 def streaming_session(spark: SparkSession) -> SparkSession:
-    """A sibling session with the streaming settings, leaving ``spark`` as it is."""
+    """A sibling session with the streaming settings, leaving ``spark`` as it is.
+
+    Each shuffle partition of a stateful operator is a state store that every batch
+    opens and commits, so there are at most two per core.
+    """
     child = spark.newSession()
     for key, value in SETTINGS.items():
         child.conf.set(key, value)
-    child.conf.set(
-        "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
-    )
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    most = 2 * spark.sparkContext.defaultParallelism
+    child.conf.set("spark.sql.shuffle.partitions", str(min(wanted, most)))
     return child
 
 

@@ -6,8 +6,10 @@ amount of memory and state per key however many rows the key has.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -15,6 +17,9 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from tallybrook.functions.money import from_cents
 from tallybrook.operators.allocation import wide_cents
 
+# Processors travel to executors by value: these need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SPLIT_TTL_MS = 600_000
 _AT = "_at"
 _WORK = ("_amount_cents", "_original_cents", "_final_cents", "_at_ms")

@@ -1,9 +1,13 @@
 """Jobs stopped and started again, over topics that grow in between."""
 
 import json
+import os
+import subprocess
+import sys
 from decimal import Decimal
 
 import pytest
+from pyspark import cloudpickle
 
 from tallybrook import schemas
 from tallybrook.operators.records import parse_json
@@ -12,7 +16,7 @@ from tallybrook.sources.results import read_results, write_result
 from tallybrook.sources.tables import read_latest, read_versions
 from tallybrook.sources.topics import TopicStore, read_topic, read_topic_log, send, to_console
 from tallybrook.streaming import jobs
-from tallybrook.streaming.state import share_of
+from tallybrook.streaming.state import MarkFirstOrder, ShareOrder, share_of
 from tallybrook.streaming.warehouse import Warehouse
 
 WAIT = 100
@@ -177,3 +181,17 @@ def test_share_of():
 
 def test_every_job_is_named():
     assert len(jobs.JOBS) == 14
+
+
+def test_processors_need_no_package_on_executors(tmp_path):
+    for processor in (MarkFirstOrder(), ShareOrder(5)):
+        load = "import pickle, sys; print(pickle.load(sys.stdin.buffer).__class__.__name__)"
+        env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+        out = subprocess.run(
+            [sys.executable, "-c", load],
+            input=cloudpickle.dumps(processor),
+            capture_output=True,
+            cwd=tmp_path,
+            env=env,
+        )
+        assert out.stdout.decode().strip() == type(processor).__name__, out.stderr.decode()
