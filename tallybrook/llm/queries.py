@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.llm import mixing, packing, quality, simhash
+from tallybrook.llm import (
+    language_model,
+    mixing,
+    packing,
+    quality,
+    secret_scan,
+    simhash,
+    token_count,
+)
 from tallybrook.llm.common import read
 
 
@@ -16,6 +24,11 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a hidden Markov model."""
+    return language_model.scored(read(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents and the sequences they are packed into."""
     pieces = packing.tokenized(read(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
@@ -23,6 +36,27 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(digest)
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of each document, counted by kind and listed."""
+    found = secret_scan.scan(read(spark, sf_dir, "documents"))
+
+    def of(*kinds: str):
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    return found.select(
+        "doc_id",
+        *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in secret_scan.BASE],
+        F.sha2(secret_scan.listed(of(*secret_scan.BASE)), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("spans")).alias("spans"),
+    )
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of each document."""
+    docs = read(spark, sf_dir, "documents")
+    return token_count.token_counts(docs, _vocabulary("word_bpe_49k.json"))
+
+
 def op8_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of each document."""
     return mixing.mixed(read(spark, sf_dir, "documents"))
@@ -42,7 +76,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_hmm": op1_hmm,
     "op2_packing": op2_packing,
+    "op6_secrets": op6_secrets,
+    "op7_token_counts": op7_token_counts,
     "op8_curriculum": op8_curriculum,
     "op9_simhash": op9_simhash,
     "op10_quality": op10_quality,
