@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybrook.llm import (
+    hamming,
     language_model,
     mixing,
     packing,
     quality,
+    quoting,
     secret_scan,
     simhash,
+    surrogates,
     token_count,
 )
 from tallybrook.llm.common import read
@@ -36,6 +39,22 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(digest)
 
 
+def op3_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages without quotes, linked to what they answer."""
+    return quoting.linked(read(spark, sf_dir, "conversations"))
+
+
+def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their personal data replaced."""
+    return surrogates.with_surrogates(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op5_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every fiftieth one, by the signs of their values."""
+    rows = read(spark, sf_dir, "embeddings")
+    return hamming.top_k(rows, rows.where("vec_id % 50 = 0"), "vec_id", "embedding")
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of each document, counted by kind and listed."""
     found = secret_scan.scan(read(spark, sf_dir, "documents"))
@@ -78,6 +97,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_hmm": op1_hmm,
     "op2_packing": op2_packing,
+    "op3_quotes": op3_quotes,
+    "op4_surrogates": op4_surrogates,
+    "op5_hamming": op5_hamming,
     "op6_secrets": op6_secrets,
     "op7_token_counts": op7_token_counts,
     "op8_curriculum": op8_curriculum,
