@@ -1,0 +1,136 @@
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tallybrook.llm import packing
+from tests.llm.cases import awkward, documents, empty
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def packed(docs):
+    return packing.pack(packing.tokenized(docs, PATH), pieces_per_task=40).collect()
+
+
+def check_layout(rows):
+    places = {}
+    for r in rows:
+        places.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for spans in places.values():
+        at = 0
+        for offset, length in sorted(spans):
+            assert offset == at
+            at += length
+        assert at <= packing.SEQUENCE
+    return places
+
+
+def check_pieces(docs, rows, library):
+    want = []
+    for d in docs.collect():
+        ids = [*library.encode(d["text"] or "", add_special_tokens=False).ids, packing.END_ID]
+        first = len(ids) if len(ids) <= 1024 else len(ids) % 1024 or 1024
+        cuts = [0, *range(first, len(ids) + 1, 1024)]
+        want += [
+            (d["doc_id"], k, a, b - a, np.array(ids[a:b], "<u4").tobytes())
+            for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))
+        ]
+    got = [(r["doc_id"], r["piece"], r["start"], r["length"], bytes(r["ids"])) for r in rows]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_documents_are_whole_and_gapless(spark, library):
+    rows = packed(documents(spark))
+    check_pieces(documents(spark), rows, library)
+    places = check_layout(rows)
+    total = sum(r["length"] for r in rows)
+    assert len(places) <= 1.05 * -(-total // 1024) + 5
+
+
+def test_awkward_rows(spark, library):
+    docs = awkward(spark, ["row", "_row", "piece", "length"])
+    rows = packed(docs)
+    check_pieces(docs, rows, library)
+    check_layout(rows)
+
+
+def test_no_rows(spark):
+    assert packed(empty(spark)) == []
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["a  b", "   x", " y ", "", "a \n b", "foo\n", "<|endoftext|> hi<|endoftext|>", "x \t y", " ", "a\x1c b",
+     "日本語 テキスト  x", "a b \n", "don't  'll", "a  b", "tab\tand  more   space"],
+)
+def test_ids_equal_the_library(library, text):
+    got = np.frombuffer(packing.Encoder(PATH).ids([text, "x", text])[2], "<u4").tolist()
+    assert got == library.encode(text, add_special_tokens=False).ids
+
+
+def test_forgetting_changes_nothing(library, monkeypatch):
+    monkeypatch.setattr(packing, "_REMEMBERED", 3)
+    monkeypatch.setattr(packing, "_LONGEST_REMEMBERED", 4)
+    encoder = packing.Encoder(PATH)
+    texts = [f"word{i} number {i * i} and soonerthanlater " for i in range(50)]
+    for _ in range(2):
+        for text, ids in zip(texts, encoder.ids(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(encoder.known) <= 3
+
+
+def brute_place(lengths, size):
+    """The rule by trying every open bin."""
+    gaps, out = [], []
+    for item in lengths:
+        best = None
+        for gap in sorted({g for g in gaps if g >= item}):
+            after = list(gaps)
+            after[after.index(gap)] = gap - item
+            counts = np.bincount([g for g in after if g], minlength=size + 1)
+            score = int((counts**2).sum())
+            if best is None or score < best[0]:
+                best = (score, gap)
+        if best is None:
+            gaps.append(size)
+            best = (0, size)
+        out.append(size - best[1])
+        gaps[gaps.index(best[1])] -= item
+    return out, len(gaps)
+
+
+def test_placement_follows_the_rule():
+    rng = np.random.default_rng(7)
+    for _ in range(20):
+        items = np.sort(rng.integers(1, 21, 60))[::-1]
+        bins, offsets = packing.place(items, 20)
+        want, made = brute_place(items.tolist(), 20)
+        assert offsets.tolist() == want
+        assert bins.max() + 1 == made
+
+
+def test_sequences_hold_the_ids(spark):
+    placed = packing.pack(packing.tokenized(documents(spark).limit(40), PATH))
+    whole = {r["sequence_id"]: bytes(r["ids"]) for r in packing.sequences(placed).collect()}
+    for r in placed.collect():
+        part = whole[r["sequence_id"]][4 * r["offset"] : 4 * (r["offset"] + r["length"])]
+        assert part == bytes(r["ids"])
+
+
+def test_query_digest(spark):
+    from tallybrook.llm.queries import QUERIES
+    from tests.conftest import DATA
+
+    row = QUERIES["op2_packing"](spark, DATA).where("doc_id = 3 and piece = 0").first()
+    pieces = packing.tokenized(documents(spark), PATH).where("doc_id = 3 and piece = 0").first()
+    assert row["ids_crc32"] == zlib.crc32(bytes(pieces["ids"]))
+    assert packing.pack(packing.tokenized(documents(spark), PATH)).where(F.col("offset") < 0).count() == 0

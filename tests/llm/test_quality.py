@@ -1,0 +1,86 @@
+import re
+from collections import Counter
+
+from tallybrook.llm import quality
+from tests.conftest import DATA
+from tests.llm.cases import COLUMNS, awkward, documents, empty
+
+
+def brute(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))
+    covered = {j for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1 for j in (i, i + 1, i + 2)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    n = len(words)
+    return {
+        "n_words": n,
+        "word_chars": sum(map(len, words)),
+        "n_symbols": len(re.findall(r"[#*$%&|<>]", text)),
+        "n_dup_lines": len(lines) - len(set(lines)),
+        "n_repeat_words": len(covered),
+        "base_failed": n < 50 or 100 * len(covered) > 50 * n,
+    }
+
+
+def check(docs):
+    for r in quality.judge(docs.select("doc_id", "text")).collect():
+        found = r["quality"].asDict()
+        want = brute(r["text"])
+        assert {k: found[k] for k in want} == want, r["doc_id"]
+        assert not (found["kept"] and found["base_failed"])
+
+
+def test_documents(spark):
+    check(documents(spark))
+
+
+def test_awkward_rows(spark):
+    check(awkward(spark))
+    docs = awkward(spark, ["quality", "_quality"])
+    assert quality.kept_documents(docs).columns == docs.columns
+    assert quality.judge(docs, as_column="verdict").count() == docs.count()
+
+
+def test_no_rows(spark):
+    assert quality.kept_documents(empty(spark)).collect() == []
+
+
+def test_lines(spark):
+    good = ["A sentence that ends well.", "And another without an end but with many words in it", "", "Ja, gut!"]
+    bad = ["Home", "Home | News | Sport | Contact", "All rights reserved.", "a%%% b### c$$$ d*** e", "BUY!! NOW!! IT'S!! GOOD!!"]
+    body = " ".join(f"Word{i} is not number {i + 1}." for i in range(30))
+    text = "\n".join([body, *(x for pair in zip(good, bad, strict=False) for x in pair), bad[4]])
+    row = quality.judge(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()["quality"]
+    assert row["cleaned"] == "\n".join([body, *good])
+    assert row["n_failed_lines"] == 5 and row["kept"]
+
+
+def test_documents_that_lose_too_much(spark):
+    menu = " | ".join(f"Entry{i}" for i in range(80))
+    text = menu + "\nA last sentence that stands alone here."
+    row = quality.judge(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()["quality"]
+    assert not row["base_failed"] and not row["kept"]
+
+
+def test_kept_documents_are_clean(spark):
+    kept = quality.kept_documents(documents(spark))
+    assert kept.columns == COLUMNS
+    for r in kept.collect():
+        assert r["n_chars"] == len(r["text"])
+        assert "All rights reserved." not in r["text"].split("\n")
+
+
+def test_agrees_with_labels(spark):
+    labels = spark.read.parquet(f"{DATA}/labels.parquet").withColumnRenamed("quality", "good")
+    judged = quality.judge(documents(spark).select("doc_id", "text")).join(labels, "doc_id")
+    rows = judged.select("good", "quality.base_failed", "quality.kept").collect()
+    passing = [r for r in rows if not r["base_failed"]]
+    right = sum(r["kept"] == (r["good"] == 1) for r in passing)
+    assert right >= 0.97 * len(passing) > 0
+
+
+def test_stays_in_the_jvm(spark):
+    plan = quality.kept_documents(documents(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan
+    assert plan.count("Generate ") == 1
