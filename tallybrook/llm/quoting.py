@@ -117,7 +117,8 @@ def linked(
     ``thread_turn`` (the first message that its replies lead back to, else its own). In the order of
     conversation, ``thread_turn`` and turn every reply comes after what it answers, and result is
     range-sorted that way. Rows of one conversation and turn are one message. Rows where either is
-    null are cleaned but not linked; a null text is an empty one. No rows give no rows.
+    null are cleaned but not linked; a null text is an empty one. No rows give no rows. A name added
+    that ``messages`` has already gets underscores before it.
     """
     c, t, p = (unused(messages, n) for n in ("conv", "turn_no", "parsed"))
     rows = messages.withColumns({c: F.col(f"`{conv}`"), t: F.col(f"`{turn}`")})
@@ -148,17 +149,24 @@ def linked(
         F.struct("c", "t").alias("a"), F.struct("c", F.col("parent_turn").alias("t")).alias("b")
     )
     roots = components(edges, "a", "b").select("node.c", "node.t", F.col("root.t").alias("thread_turn"))
-    about = found.join(roots, ["c", "t"], "full")
-    out = rows.join(about, (F.col(c) == F.col("c")) & (F.col(t) == F.col("t")), "left")
-    order = [F.col(f"`{conv}`"), F.col("thread_turn"), F.col(f"`{turn}`")]
+    names = ("c", "t", "n_linked", "parent_turn", "thread_turn")
+    inner = {x: unused(rows, f"about_{x}") for x in names}
+    about = found.join(roots, ["c", "t"], "full").select(*[F.col(x).alias(inner[x]) for x in names])
+    same = (F.col(c) == F.col(inner["c"])) & (F.col(t) == F.col(inner["t"]))
+    added = {
+        "n_quotes": F.col(f"{p}.n_quotes"),
+        "n_linked": F.coalesce(inner["n_linked"], F.lit(0).cast("long")),
+        "parent_turn": F.col(inner["parent_turn"]),
+        "thread_turn": F.coalesce(inner["thread_turn"], t),
+    }
+    added = {unused(messages, x): value for x, value in added.items()}
+    order = [F.col(f"`{conv}`"), F.col(list(added)[-1]), F.col(f"`{turn}`")]
     n = int(messages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        out.select(
+        rows.join(about, same, "left")
+        .select(
             *[F.col(f"{p}.own").alias(x) if x == text else F.col(f"`{x}`") for x in messages.columns],
-            F.col(f"{p}.n_quotes").alias("n_quotes"),
-            F.coalesce("n_linked", F.lit(0).cast("long")).alias("n_linked"),
-            "parent_turn",
-            F.coalesce("thread_turn", F.col(f"`{t}`")).alias("thread_turn"),
+            *[value.alias(x) for x, value in added.items()],
         )
         .repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
