@@ -18,6 +18,7 @@ from tallybrook.llm import (
     token_count,
 )
 from tallybrook.llm.common import read
+from tallybrook.llm.oracle import ORACLE
 
 
 def _vocabulary(name: str) -> str:
@@ -106,4 +107,5 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_quality": op10_quality,
 }
-ORACLE: dict[str, str] = {}
+
+__all__ = ["ORACLE", "QUERIES"]
