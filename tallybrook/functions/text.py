@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +29,8 @@ def query_terms(spark: SparkSession, query: str) -> dict[str, bool]:
 def mentions_any(text: Column, words: dict[str, bool]) -> Column:
     """Whether a whole text holds at least one term; stops at the first it meets.
 
-    One pattern finds the terms in place, without cutting the text into an array.
+    One pattern finds the terms in place, without cutting the text into an array. Texts
+    that hold no term even as part of a word are settled without it.
     """
     if not words:
         return F.lit(False)
@@ -36,4 +39,6 @@ def mentions_any(text: Column, words: dict[str, bool]) -> Column:
     patterns = [w for w, han in words.items() if han]
     if plain:
         patterns.append(bounded % "|".join(plain))
-    return F.lower(text).rlike("|".join(patterns))
+    lower = F.lower(text)
+    present = reduce(lambda a, b: a | b, [lower.contains(w) for w in words])
+    return present & lower.rlike("|".join(patterns))

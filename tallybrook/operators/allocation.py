@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.functions.money import cents, from_cents, proportion
+from tallybrook.functions.money import cents, proportion
 from tallybrook.operators.running import chunked_running_totals, running_totals
-from tallybrook.operators.skew import by_heat
 
 # Lines per chunk of a hot order: ids are unique within an order, so a chunk of
 # this many consecutive ids never holds more rows.
@@ -64,24 +63,3 @@ def wide_cents() -> tuple[Column, Column, Column]:
         known(cents(F.col("original_total_amount"))),
         known(cents(F.col("final_total_amount"))),
     )
-
-
-def allocate(wide: DataFrame, hot: DataFrame | None = None) -> DataFrame:
-    """Fill ``final_detail_amount`` of wide rows (money as DECIMAL(18,2)).
-
-    ``hot`` may name orders with very many lines (``skew.hot_keys``); those are split
-    over tasks by ranges of ``order_detail_id``. Ids are unique within an order.
-    """
-    names = ("amount_cents", "original_cents", "final_cents")
-    rows = wide.withColumns(dict(zip(names, wide_cents())))
-    order = ["order_detail_id"]
-    chunk = F.floor(F.col("order_detail_id") / CHUNK_IDS)
-    shared = by_heat(
-        rows,
-        "order_id",
-        hot,
-        lambda df: allocate_cents(df, order),
-        lambda df: allocate_cents(df, order, chunk),
-    )
-    filled = shared.withColumn("final_detail_amount", from_cents(F.col("final_detail_cents")))
-    return filled.drop(*names, "final_detail_cents")

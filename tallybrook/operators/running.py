@@ -5,7 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallybrook.session import work_path
+
 _CHUNK = "_chunk"
+_TIE = "_tie"
+
+
+def cut_into_ranges(df: DataFrame, group: str, order: list[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` dealt into ranges of ``group`` and ``order``, with the range's number as ``_chunk``.
+
+    Rows equal in ``order`` may be cut anywhere: a number that is unique settles their
+    order, and is returned as its last column. The rows are written to the shared folder,
+    because the ranges come from a sample and the numbers from the tasks, and all who use
+    them must see the same.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    full = [*order, _TIE]
+    ranges = (
+        df.withColumn(_TIE, F.monotonically_increasing_id())
+        .repartitionByRange(n, group, *full)
+        .withColumn(_CHUNK, F.spark_partition_id())
+    )
+    path = work_path(spark, "ranges")
+    ranges.write.parquet(path)
+    return spark.read.schema(ranges.schema).parquet(path), full
 
 
 def running_totals(
@@ -42,6 +66,7 @@ def chunked_running_totals(
     summed by group and chunk; only one total per chunk is ordered within the group.
     """
     overall = overall or {}
+    kept = df.columns
     rows = df.withColumn(_CHUNK, chunk)
     per_chunk = rows.groupBy(group, _CHUNK).agg(
         *[F.sum(expr).alias(name) for name, expr in {**totals, **overall}.items()]
@@ -66,6 +91,6 @@ def chunked_running_totals(
     )
     done = [
         (F.col(c) + F.col(f"_before_{c}")).alias(c) if c in totals else F.col(c)
-        for c in [*df.columns, *totals, *overall]
+        for c in [*kept, *totals, *overall]
     ]
     return joined.select(*done)

@@ -1,9 +1,7 @@
 """Finding keys with very many rows and treating them apart.
 
 Which keys count as hot only decides the route a row takes; every route gives the
-same result, so the search may be cheap and approximate. It must be repeatable,
-though, because both routes consult it: the sample is a hash of row values and
-ties are ordered, never random.
+same result.
 """
 
 from __future__ import annotations
@@ -13,40 +11,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A table below this estimate fits a task or two, whatever its keys.
-SMALL_BYTES = 64 << 20
+from tallybrook.session import work_path
+
 HOT_ROWS = 1_000_000
-SAMPLE_EVERY = 1024
-MAX_HOT_KEYS = 10_000
 
 
-def hot_keys(
-    df: DataFrame,
-    key: str,
-    sample_by: list[str],
-    hot_rows: int = HOT_ROWS,
-    sample_every: int = SAMPLE_EVERY,
-    small_bytes: int = SMALL_BYTES,
-) -> DataFrame | None:
-    """Keys of about ``hot_rows`` rows or more, at most ``MAX_HOT_KEYS``; None if none.
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Keys of ``hot_rows`` rows or more; None if there are none.
 
-    Unless the table is small, runs one job that reads ``key`` and ``sample_by`` and
-    shuffles counts of the sampled rows. The bound makes the keys safe to broadcast;
-    keys past it go the ordinary route.
+    Runs one job that reads ``key`` alone and counts all of its rows, in each map task
+    first, so that a hot key costs no more than another. The keys found are written to
+    the shared folder: they are counted once, and every use sees the same ones.
     """
-    if estimated_bytes(df) < small_bytes:
-        return None
-    picked = F.pmod(F.xxhash64(key, *sample_by), F.lit(sample_every)) == 0
-    enough = max(1, hot_rows // sample_every)
-    counts = df.where(picked).groupBy(key).count().where(F.col("count") >= enough)
-    if counts.isEmpty():
-        return None
-    return counts.orderBy(F.desc("count"), key).limit(MAX_HOT_KEYS).select(key)
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate of a plan; runs nothing."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    spark = df.sparkSession
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).count()
+    path = work_path(spark, "hot")
+    counts.where(F.col("count") >= hot_rows).select(key).write.parquet(path)
+    found = spark.read.schema(counts.select(key).schema).parquet(path)
+    return None if found.isEmpty() else found
 
 
 def by_heat(
@@ -56,10 +38,12 @@ def by_heat(
     usual: Callable[[DataFrame], DataFrame],
     heavy: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
-    """``usual`` over rows of ordinary keys and ``heavy`` over rows of hot ones."""
+    """``usual`` over rows of ordinary keys and ``heavy`` over rows of hot ones.
+
+    How the keys are joined is Spark's choice by their size.
+    """
     if hot is None:
         return usual(df)
-    few = F.broadcast(hot)
-    return usual(df.join(few, key, "left_anti")).unionByName(
-        heavy(df.join(few, key, "left_semi"))
+    return usual(df.join(hot, key, "left_anti")).unionByName(
+        heavy(df.join(hot, key, "left_semi"))
     )

@@ -9,13 +9,14 @@ lines AS (
          l.l_partkey AS sku_id,
          CAST(l.l_quantity AS BIGINT) AS sku_num,
          CAST(round(p.p_retailprice * 100) AS BIGINT) AS price_c,
-         CAST(round(p.p_retailprice * 100) AS BIGINT) * CAST(l.l_quantity AS BIGINT) AS amt,
+         coalesce(CAST(round(p.p_retailprice * 100) AS BIGINT), 0)
+           * CAST(l.l_quantity AS BIGINT) AS amt,
          p.p_name AS sku_name,
          row_number() OVER (
            PARTITION BY l.l_orderkey
            ORDER BY l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_extendedprice
          ) AS seq
-  FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey
+  FROM lineitem l LEFT JOIN part p ON p.p_partkey = l.l_partkey
 )"""
 
 _SKUS = """
@@ -66,7 +67,7 @@ prior AS (
   FROM parts
 ),
 shares AS (
-  SELECT *, order_id * 1000 + seq AS order_detail_id,
+  SELECT *, order_id * 4294967296 + seq AS order_detail_id,
          CAST(CASE WHEN cum = orig AND coalesce(pcum, -1) < orig THEN fin - given
                    WHEN cum = orig THEN 0 ELSE part END AS BIGINT) AS share_c
   FROM prior
@@ -169,7 +170,7 @@ FROM orders o LEFT JOIN users u ON u.id = o.o_custkey
 """,
     "detail_sku": f"""
 WITH {_LINES}, {_SKUS}
-SELECT li.order_id * 1000 + li.seq AS detail_id, k.spu_id, k.tm_id, k.category3_id,
+SELECT li.order_id * 4294967296 + li.seq AS detail_id, k.spu_id, k.tm_id, k.category3_id,
        k.spu_name, k.tm_name, k.category3_name
 FROM lines li LEFT JOIN stored_skus k ON k.id = li.sku_id
 """,
@@ -184,7 +185,7 @@ facts AS (
   LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey AND n.n_regionkey <> 4
   LEFT JOIN users u ON u.id = o.o_custkey
 )
-SELECT li.order_id * 1000 + li.seq AS order_detail_id, li.order_id,
+SELECT li.order_id * 4294967296 + li.seq AS order_detail_id, li.order_id,
        f.o_orderstatus AS order_status, f.o_orderdate AS create_time,
        f.o_custkey AS user_id, li.sku_id, CAST(li.price_c AS DOUBLE) / 100 AS sku_price,
        li.sku_num, li.sku_name,
@@ -199,7 +200,7 @@ LEFT JOIN stored_skus k ON k.id = li.sku_id
 """,
     "order_wide_dedup": f"""
 WITH {_LINES}
-SELECT li.order_id, li.order_id * 1000 + li.seq AS order_detail_id, o.o_custkey AS user_id,
+SELECT li.order_id, li.order_id * 4294967296 + li.seq AS order_detail_id, o.o_custkey AS user_id,
        li.sku_id, li.sku_num, CAST(li.price_c AS DOUBLE) / 100 AS sku_price
 FROM lines li JOIN orders o ON o.o_orderkey = li.order_id
 """,

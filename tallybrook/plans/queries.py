@@ -288,25 +288,22 @@ def wide_rows(t: Tables, orders: DataFrame, sku: DataFrame | None, finish=None)
     def build(split: bool) -> Callable[[DataFrame], DataFrame]:
         def run(lines: DataFrame) -> DataFrame:
             details = as_details(number_lines(lines, split, priced=True))
-            mine = orders
-            if split:
-                # One row per hot order, of which there are few.
-                keys = F.broadcast(hot.withColumnRenamed("order_id", "id"))
-                mine = F.broadcast(orders.join(keys, "id", "left_semi"))
             extra = {"original_cents": F.col("original_cents")}
-            wide = merge_wide(mine, details, detail_extra=extra)
+            wide = merge_wide(orders, details, detail_extra=extra)
             return wide if finish is None else finish(wide, split)
 
         return run
 
-    lines = t.lines().join(parts, "l_partkey")
+    # Lines of unknown parts stay, without price and names.
+    lines = t.lines().join(parts, "l_partkey", "left")
     return by_heat(lines, "order_id", hot, build(False), build(True))
 
 
 def _share(wide: DataFrame, split: bool) -> DataFrame:
     rows = wide.withColumns(
         {
-            "amount_cents": cents(F.col("sku_price")) * F.col("sku_num"),
+            "amount_cents": F.coalesce(cents(F.col("sku_price")), F.lit(0).cast("bigint"))
+            * F.col("sku_num"),
             "final_cents": cents(F.col("final_total_amount")),
         }
     )

@@ -13,7 +13,11 @@ from pyspark.sql import functions as F
 
 from tallybrook.functions.money import cents, money
 from tallybrook.operators.lookup import enrich_sku
-from tallybrook.operators.running import chunked_running_totals, running_totals
+from tallybrook.operators.running import (
+    chunked_running_totals,
+    cut_into_ranges,
+    running_totals,
+)
 from tallybrook.operators.skew import hot_keys
 from tallybrook.operators.users import label_users
 
@@ -28,7 +32,8 @@ NO_SPU_SUFFIX = "bolt"
 
 # Lines are numbered in this order within their order.
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
-_PARTS_PER_CHUNK = 1024
+# Line ids are order ids and line numbers side by side, for orders of fewer lines than this.
+MOST_LINES = 1 << 32
 
 
 def name_id(name: Column) -> Column:
@@ -44,7 +49,7 @@ def _brand_id(column: str) -> Column:
 class Tables:
     spark: SparkSession
     folder: str
-    _read: dict[str, DataFrame] = field(default_factory=dict)
+    _read: dict[str, DataFrame | None] = field(default_factory=dict)
 
     def read(self, name: str) -> DataFrame:
         if name not in self._read:
@@ -137,7 +142,9 @@ class Tables:
         )
 
     def hot_orders(self) -> DataFrame | None:
-        return hot_keys(self.lines(), "order_id", ["l_partkey", "l_suppkey", "l_quantity"])
+        if "hot" not in self._read:
+            self._read["hot"] = hot_keys(self.lines(), "order_id")
+        return self._read["hot"]
 
     def prices(self) -> DataFrame:
         return self.read("part").select(
@@ -151,23 +158,25 @@ def number_lines(lines: DataFrame, split: bool = False, priced: bool = False) ->
     """Add ``seq``, the line's number within its order.
 
     ``priced`` lines also get ``original_cents``, price times number summed over
-    the order. With ``split`` the lines of one order are spread over tasks, by line
-    number and then by range of part key, the first two columns of the line order.
+    the order. With ``split`` the lines of one order are spread over tasks by ranges of
+    the whole line order; equal lines are interchangeable and may be cut anywhere.
     """
     one = {"seq": F.lit(1).cast("bigint")}
-    amount = cents(F.col("order_price")) * F.col("l_quantity").cast("bigint")
+    price = F.coalesce(cents(F.col("order_price")), F.lit(0).cast("bigint"))
+    amount = price * F.col("l_quantity").cast("bigint")
     total = {"original_cents": amount} if priced else None
     if not split:
         return running_totals(lines, "order_id", LINE_ORDER, one, total)
-    chunk = F.struct("l_linenumber", F.floor(F.col("l_partkey") / _PARTS_PER_CHUNK))
-    return chunked_running_totals(lines, "order_id", LINE_ORDER, one, chunk, total)
+    ranges, order = cut_into_ranges(lines, "order_id", LINE_ORDER)
+    numbered = chunked_running_totals(ranges, "order_id", order, one, F.col("_chunk"), total)
+    return numbered.select(*lines.columns, "seq", *(total or {}))
 
 
 def as_details(numbered: DataFrame) -> DataFrame:
     """Numbered lines as order details; other columns are carried along."""
     rest = [c for c in numbered.columns if c not in {*LINE_ORDER, "order_id", "seq"}]
     return numbered.select(
-        (F.col("order_id") * 1000 + F.col("seq")).alias("id"),
+        (F.col("order_id") * MOST_LINES + F.col("seq")).alias("id"),
         "order_id",
         F.col("l_partkey").alias("sku_id"),
         F.col("l_quantity").cast("bigint").alias("sku_num"),

@@ -1,14 +1,17 @@
 """Shares against a replay of the rule, line by line."""
 
 import random
-from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from tallybrook.operators.allocation import allocate, allocate_cents
-from tallybrook.operators.running import chunked_running_totals, running_totals
-from tallybrook.operators.skew import by_heat, hot_keys
+from tallybrook.operators.allocation import allocate_cents
+from tallybrook.operators.running import (
+    chunked_running_totals,
+    cut_into_ranges,
+    running_totals,
+)
+from tallybrook.operators.skew import HOT_ROWS, by_heat, hot_keys
 from tallybrook.plans.tables import LINE_ORDER, number_lines
 
 SCHEMA = (
@@ -85,7 +88,7 @@ def test_hot_order_is_split_and_whole(spark):
     hot_lines = [(-1, i, a, sum(amounts), 1_000_003) for i, a in enumerate(amounts)]
     lines = orders_of(rnd, 500) + hot_lines
     df = spark.createDataFrame(lines, SCHEMA)
-    hot = hot_keys(df, "order_id", ["id"], hot_rows=1000, sample_every=4, small_bytes=0)
+    hot = hot_keys(df, "order_id", hot_rows=1000)
     assert [r.order_id for r in hot.collect()] == [-1]
     out = by_heat(
         df,
@@ -99,26 +102,28 @@ def test_hot_order_is_split_and_whole(spark):
     assert sum(v for (order, _), v in got.items() if order == -1) == 1_000_003
 
 
-def test_small_tables_are_not_searched(spark):
+def test_no_hot_keys(spark):
     df = spark.range(10).withColumnRenamed("id", "k")
-    assert hot_keys(df, "k", ["k"]) is None
-    assert hot_keys(df, "k", ["k"], small_bytes=0) is None
-
-
-def test_decimal_surface(spark):
-    row = (1, 1, Decimal("10.00"), 3, Decimal("40.00"), Decimal("35.50"))
-    row2 = (1, 2, Decimal("10.00"), 1, Decimal("40.00"), Decimal("35.50"))
-    wide = spark.createDataFrame(
-        [row, row2],
-        "order_id BIGINT, order_detail_id BIGINT, sku_price DECIMAL(18,2), sku_num BIGINT, "
-        "original_total_amount DECIMAL(18,2), final_total_amount DECIMAL(18,2)",
-    )
-    out = allocate(wide)
-    got = {r.order_detail_id: r.final_detail_amount for r in out.collect()}
-    assert got == {1: Decimal("26.63"), 2: Decimal("8.87")}
-    hot = spark.createDataFrame([(1,)], "order_id BIGINT")
-    again = {r.order_detail_id: r.final_detail_amount for r in allocate(wide, hot).collect()}
-    assert again == got
+    assert hot_keys(df, "k") is None
+
+
+@pytest.mark.parametrize("quantity", ["1.0", "cast(id % 5 as double)"])
+def test_one_order_of_a_million_lines_with_the_shipped_settings(spark, quantity):
+    """Lines that compress to nothing, all of them equal or nearly so."""
+    n = HOT_ROWS + 200_000
+    lines = spark.range(n).selectExpr(
+        "case when id % 100 = 0 then id else 7 end as order_id", "1 as l_linenumber", "5L as l_partkey",
+        "5L as l_suppkey", f"{quantity} as l_quantity", "1.0D as l_extendedprice",
+    )
+    assert hot_keys(lines.where("id < 1000"), "order_id") is None
+    hot = hot_keys(lines, "order_id")
+    assert [r.order_id for r in hot.collect()] == [7]
+    mine = lines.where("order_id = 7")
+    ranges, _ = cut_into_ranges(mine, "order_id", LINE_ORDER)
+    assert ranges.groupBy("_chunk").count().agg({"count": "max"}).first()[0] < n / 2
+    out = number_lines(mine, split=True).agg(F.count("*"), F.min("seq"), F.max("seq"), F.countDistinct("seq"))
+    size = mine.count()
+    assert tuple(out.first()) == (size, 1, size, size)
 
 
 def test_line_numbers_on_both_routes(spark):

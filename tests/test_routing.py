@@ -3,7 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from tallybrook import schemas
-from tallybrook.operators.cdc import route_canal, route_maxwell
+from tallybrook.operators.cdc import DEAD_LETTER_TOPIC, route_canal, route_maxwell
 from tallybrook.operators.records import parse_json, topic_rows
 
 
@@ -91,4 +91,24 @@ def test_topic_rows_leave_out_nulls(spark):
 def test_envelope_is_parsed_once(spark):
     for route in (route_canal, route_maxwell):
         plan = route(_values(spark, {}))._jdf.queryExecution().optimizedPlan().toString()
-        assert plan.count("from_json") == 1
+        assert plan.count("parseJson") == 1 and "from_json" not in plan
+
+
+def test_amounts_keep_their_digits(spark):
+    row = '{"id": 12345678901234567, "order_price": 1234567890123456.78, "sku_name": "1.10", "sku_num": 5}'
+    for route, data in ((route_canal, f"[{row}]"), (route_maxwell, row)):
+        text = f'{{"table": "order_detail", "type": "insert", "data": {data}}}'
+        out = route(_values(spark, text))
+        assert out.first().key == "12345678901234567"
+        record = parse_json(out, schemas.ORDER_DETAIL).first()
+        assert (record.id, str(record.order_price)) == (12345678901234567, "1234567890123456.78")
+        assert record.sku_name == "1.10"
+
+
+def test_envelopes_that_cannot_be_routed(spark):
+    bad = ["no json", '{"type": "insert", "data": [{"id": 1}]}', "[1]", '{"table": null, "data": {"id": 1}}']
+    for route in (route_canal, route_maxwell):
+        assert route(_values(spark, *bad)).collect() == []
+        rows = route(_values(spark, *bad), dead_letter=DEAD_LETTER_TOPIC).collect()
+        assert sorted(r.value for r in rows) == sorted(bad)
+        assert {(r.topic, r.key) for r in rows} == {(DEAD_LETTER_TOPIC, None)}

@@ -59,7 +59,7 @@ def duck(skewed):
 @pytest.fixture()
 def hot_route(monkeypatch):
     """Orders of 200 lines are hot already and are cut every 64 ids."""
-    eager = partial(hot_keys, hot_rows=200, sample_every=1, small_bytes=0)
+    eager = partial(hot_keys, hot_rows=200)
     monkeypatch.setattr(tables, "hot_keys", eager)
     monkeypatch.setattr(queries, "CHUNK_IDS", 64)
 
