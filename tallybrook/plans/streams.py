@@ -116,7 +116,7 @@ def order_wide_stream(spark: SparkSession, folder: str) -> DataFrame:
     _fill(w, t.orders().join(totals, "id"), jobs.ORDER_TOPIC, "id")
     _fill(w, lines, jobs.DETAIL_TOPIC, "order_id")
     # Both topics were written at once: let everything sent within a day meet.
-    jobs.dws_wide(s, w, reach="1 day", ttl="2 days").awaitTermination()
+    jobs.dws_wide(s, w, reach="1 day", lag="2 days").awaitTermination()
     rows = parse_json(read_topic_log(spark, w.topics, jobs.WIDE_TOPIC), schemas.ORDER_WIDE)
     return rows.groupBy("order_id").agg(
         F.count("order_detail_id").alias("n_lines"),
@@ -156,7 +156,7 @@ def order_detail_stream(spark: SparkSession, folder: str) -> DataFrame:
     _fill(w, t.spus(), "ODS_T_SPU_INFO", "id")
     _fill(w, t.stored_skus(t.plain_skus()), "ODS_T_SKU_INFO", "id")
     lines = t.read("lineitem").select(
-        F.monotonically_increasing_id().alias("id"),
+        F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("sku_id"),
         F.col("l_quantity").cast("bigint").alias("sku_num"),

@@ -55,6 +55,12 @@ ORDER_WIDE = (
     "category3_name STRING"
 )
 
+# What the marts read of a wide row.
+SPU_AMOUNT = (
+    f"spu_id BIGINT, spu_name STRING, create_time TIMESTAMP_NTZ, final_detail_amount {MONEY}"
+)
+TRADEMARK_AMOUNT = f"tm_id BIGINT, tm_name STRING, final_detail_amount {MONEY}"
+
 USER_STATE = "user_id BIGINT, if_consumed STRING"
 
 BASE_PROVINCE = "id BIGINT, name STRING, region_id STRING, area_code STRING"

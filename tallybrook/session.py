@@ -40,24 +40,30 @@ def builder(app_name: str = "tallybrook") -> SparkSession.Builder:
 def streaming_session(spark: SparkSession) -> SparkSession:
     """A sibling session with the streaming settings, leaving ``spark`` as it is.
 
-    Each shuffle partition of a stateful operator is a state store that every batch
-    opens and commits, so there are at most two per core.
+    Each shuffle partition of a stateful operator is a state store that every batch opens
+    and commits, and the checkpoint fixes their number for the life of a query: choose
+    ``spark.sql.shuffle.partitions`` for the cluster that the stream will grow to.
     """
     child = spark.newSession()
     for key, value in SETTINGS.items():
         child.conf.set(key, value)
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    most = 2 * spark.sparkContext.defaultParallelism
-    child.conf.set("spark.sql.shuffle.partitions", str(min(wanted, most)))
+    wanted = spark.conf.get("spark.sql.shuffle.partitions")
+    child.conf.set("spark.sql.shuffle.partitions", wanted)
     return child
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``); a local one if unset."""
+    """The folder that driver and executors share (``spark.checkpoint.dir``).
+
+    Where it is unset, a temporary folder serves if all tasks run in the driver's process;
+    on a cluster other machines would not see its files, so that is an error.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
         base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if base is None:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tallybrook-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-_LOG_SCHEMA = "key STRING, value STRING, timestamp TIMESTAMP"
+_LOG_SCHEMA = "key STRING, value STRING, timestamp TIMESTAMP, offset BIGINT"
 
 
 @dataclass(frozen=True)
@@ -52,8 +53,9 @@ def read_topic(
     """One topic as a stream of ``topic, key, value, partition, offset, timestamp``.
 
     ``starting`` is ``latest``, ``earliest`` or offsets as JSON and only counts for a
-    query's first start; later starts resume from its checkpoint. A file log has no
-    offsets and is read from its beginning, ``max_per_trigger`` files at a time.
+    query's first start; later starts resume from its checkpoint. A file log has the
+    offsets that its sender gave and is read from its beginning, ``max_per_trigger`` files
+    at a time.
     """
     if store.backend == "kafka":
         raw = (
@@ -78,7 +80,7 @@ def read_topic(
         "key",
         "value",
         F.lit(None).cast("int").alias("partition"),
-        F.lit(None).cast("bigint").alias("offset"),
+        "offset",
         "timestamp",
     )
 
@@ -112,7 +114,9 @@ def send(rows: DataFrame, store: TopicStore, writer: str, batch_id: int) -> None
     """Write ``topic, key, value`` rows, each to the topic it names.
 
     Rows without a key are spread by the sink. In a file log the files of one
-    ``writer`` and ``batch_id`` replace those of an earlier attempt at that batch.
+    ``writer`` and ``batch_id`` replace those of an earlier attempt at that batch. Messages
+    of a key are ordered by ``timestamp`` and ``offset``: those of the rows if they have them,
+    as messages passed on do, else the time of sending and the place among the rows.
     """
     if store.backend == "kafka":
         rows.select("topic", "key", "value").write.format("kafka").options(
@@ -123,7 +127,7 @@ def send(rows: DataFrame, store: TopicStore, writer: str, batch_id: int) -> None
         "topic",
         "key",
         "value",
-        F.current_timestamp().alias("timestamp"),
+        *_position(rows),
         F.lit(writer).alias("writer"),
         F.lit(batch_id).cast("bigint").alias("batch_id"),
     )
@@ -135,14 +139,29 @@ def send(rows: DataFrame, store: TopicStore, writer: str, batch_id: int) -> None
     )
 
 
-def send_stream(rows: DataFrame, store: TopicStore, writer: str) -> DataStreamWriter:
-    """The stream form of ``send``; name, checkpoint and trigger are the caller's."""
+def _position(rows: DataFrame) -> list[Column]:
+    now, place = F.current_timestamp(), F.monotonically_increasing_id()
+    at = F.coalesce("timestamp", now) if "timestamp" in rows.columns else now
+    offset = F.coalesce("offset", place) if "offset" in rows.columns else place
+    return [at.alias("timestamp"), offset.alias("offset")]
+
+
+def send_stream(
+    rows: DataFrame,
+    store: TopicStore,
+    writer: str,
+    number: Callable[[int], int] = lambda batch_id: batch_id,
+) -> DataStreamWriter:
+    """The stream form of ``send``; name, checkpoint and trigger are the caller's.
+
+    ``number`` makes the batch numbers of a file log from those of the stream.
+    """
     if store.backend == "kafka":
         return rows.select("topic", "key", "value").writeStream.format("kafka").options(
             **store.options
         )
     return rows.writeStream.foreachBatch(
-        lambda batch, batch_id: send(batch, store, writer, batch_id)
+        lambda batch, batch_id: send(batch, store, writer, number(batch_id))
     )
 
 

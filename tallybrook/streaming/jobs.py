@@ -16,16 +16,22 @@ from pyspark.sql.streaming.query import StreamingQuery
 from tallybrook import schemas
 from tallybrook.functions import times
 from tallybrook.operators.activity import VISIT_KEY, visits
-from tallybrook.operators.cdc import route_canal, route_maxwell
-from tallybrook.operators.lookup import add_province, add_sku, add_user, enrich_sku
+from tallybrook.operators.cdc import DEAD_LETTER_TOPIC, route_canal, route_maxwell
+from tallybrook.operators.lookup import (
+    add_province,
+    add_sku,
+    add_user,
+    enrich_sku,
+    rows_for_keys,
+)
 from tallybrook.operators.marts import spu_amounts, trademark_amounts
-from tallybrook.operators.orders import add_date_parts, consumed_users
+from tallybrook.operators.orders import add_date_parts, consumed_users, flag_first_orders
 from tallybrook.operators.records import topic_rows
 from tallybrook.operators.users import label_users
 from tallybrook.operators.wide import merge_wide
-from tallybrook.sources.tables import upsert
+from tallybrook.sources.tables import read_latest, upsert
 from tallybrook.sources.topics import send, send_stream
-from tallybrook.streaming.state import allocate_stream, flag_first_orders_stream
+from tallybrook.streaming.state import SPLIT_TTL_MS, allocate_stream
 from tallybrook.streaming.warehouse import Warehouse, newest
 
 CANAL_TOPIC = "ODS_DB_CANAL"
@@ -36,23 +42,35 @@ DETAIL_TOPIC = "DW_ORDER_DETAIL"
 WIDE_TOPIC = "DWS_ORDER_DETAIL_WIDE"
 
 JOIN_REACH = "15 seconds"
-WIDE_TTL = "600 seconds"
+# How far one side of a join may lag behind the other before its rows are dropped.
+LAG = "6 hours"
 VISIT_TTL = "7 days"
 
+# What orders messages of a key; kept when they are passed on.
+ARRIVAL = ["timestamp", "offset"]
+# Tables whose key is not called id.
+KEY_FIELDS = {"base_trademark": "tm_id"}
+
 
 # Change capture ------------------------------------------------------------
 
 
 def ods_canal(spark: SparkSession, w: Warehouse, topic: str = CANAL_TOPIC) -> StreamingQuery:
-    routed = route_canal(w.messages(spark, topic))
-    return w.start(send_stream(routed, w.topics, "ods_canal"), "ods_canal")
+    routed = route_canal(
+        w.messages(spark, topic), keep=ARRIVAL, key_fields=KEY_FIELDS, dead_letter=DEAD_LETTER_TOPIC
+    )
+    number = w.numbers(spark, "ods_canal")
+    return w.start(send_stream(routed, w.topics, "ods_canal", number), "ods_canal")
 
 
 def ods_maxwell(
     spark: SparkSession, w: Warehouse, topic: str = MAXWELL_TOPIC
 ) -> StreamingQuery:
-    routed = route_maxwell(w.messages(spark, topic)).drop("type")
-    return w.start(send_stream(routed, w.topics, "ods_maxwell"), "ods_maxwell")
+    routed = route_maxwell(
+        w.messages(spark, topic), keep=ARRIVAL, key_fields=KEY_FIELDS, dead_letter=DEAD_LETTER_TOPIC
+    ).drop("type")
+    number = w.numbers(spark, "ods_maxwell")
+    return w.start(send_stream(routed, w.topics, "ods_maxwell", number), "ods_maxwell")
 
 
 # Dimensions ----------------------------------------------------------------
@@ -109,13 +127,14 @@ def dimension(spark: SparkSession, w: Warehouse, dim: Dimension) -> StreamingQue
     rows = w.records(spark, dim.topic, dim.schema, keep=["timestamp", "offset"])
     names = [c for c in rows.columns if c not in ("timestamp", "offset")]
     key = names[0]
+    number = w.numbers(spark, f"dim_{dim.name}")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         last = newest(batch.where(F.col(key).isNotNull()), [key])
         named = last.toDF(*(dim.columns or names))
         if dim.prepare is not None:
             named = dim.prepare(batch.sparkSession, w, named)
-        upsert(named, w.table(dim.name), batch_id)
+        upsert(named, w.table(dim.name), number(batch_id))
 
     return w.start(rows.writeStream.foreachBatch(write), f"dim_{dim.name}")
 
@@ -126,12 +145,29 @@ def dimension(spark: SparkSession, w: Warehouse, dim: Dimension) -> StreamingQue
 def dw_order(
     spark: SparkSession, w: Warehouse, known: DataFrame | None = None
 ) -> StreamingQuery:
-    """Flag first orders, add province and user, send on, and record user state."""
+    """Flag first orders, add province and user, send on, and record user state.
+
+    Who has ordered before is read from the user-state table as it was before the batch,
+    so it outlives checkpoints and a batch tried again flags the same. ``known``
+    (``user_id, if_consumed``) adds users that the table does not have.
+    """
     parsed = w.records(spark, "ODS_T_ORDER_INFO", schemas.ORDER_INFO)
     orders = add_date_parts(parsed.where(F.col("id").isNotNull()))
-    flagged = flag_first_orders_stream(orders, known)
-
-    def write(batch: DataFrame, batch_id: int) -> None:
+    number = w.numbers(spark, "dw_order")
+
+    def write(arrived: DataFrame, batch_id: int) -> None:
+        session = arrived.sparkSession
+        table = read_latest(
+            session,
+            w.table("user_state"),
+            schemas.USER_STATE,
+            ["user_id"],
+            before_batch=number(batch_id),
+        )
+        state = rows_for_keys(table, "user_id", arrived, "user_id")
+        if known is not None:
+            state = state.unionByName(known)
+        batch = flag_first_orders(arrived, state)
         batch.persist()
         try:
             if batch.isEmpty():
@@ -141,12 +177,13 @@ def dw_order(
             )
             users = w.dimension_for(batch, "user_id", "user_info", schemas.USER_INFO_ENRICHED)
             rows = add_user(add_province(batch, province), users)
-            send(topic_rows(rows, ORDER_TOPIC, F.col("id")), w.topics, "dw_order", batch_id)
-            upsert(consumed_users(batch), w.table("user_state"), batch_id)
+            out = topic_rows(rows, ORDER_TOPIC, F.col("id"))
+            send(out, w.topics, "dw_order", number(batch_id))
+            upsert(consumed_users(batch), w.table("user_state"), number(batch_id))
         finally:
             batch.unpersist()
 
-    return w.start(flagged.writeStream.foreachBatch(write), "dw_order")
+    return w.start(orders.writeStream.foreachBatch(write), "dw_order")
 
 
 def dw_detail(
@@ -155,13 +192,16 @@ def dw_detail(
     """Add the sku's names and ids to order lines; keyed by order to keep them together."""
     parsed = w.records(spark, "ODS_T_ORDER_DETAIL", schemas.ORDER_DETAIL)
     details = parsed.where(F.col("id").isNotNull())
+    number = w.numbers(spark, "dw_detail")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
+            if batch.isEmpty():
+                return
             sku = w.dimension_for(batch, "sku_id", "sku_info", schemas.SKU_INFO_ENRICHED)
             rows = topic_rows(add_sku(batch, sku, on_missing), DETAIL_TOPIC, F.col("order_id"))
-            send(rows, w.topics, "dw_detail", batch_id)
+            send(rows, w.topics, "dw_detail", number(batch_id))
         finally:
             batch.unpersist()
 
@@ -169,11 +209,15 @@ def dw_detail(
 
 
 def wide_stream(
-    orders: DataFrame, details: DataFrame, reach: str = JOIN_REACH, ttl: str = WIDE_TTL
+    orders: DataFrame, details: DataFrame, reach: str = JOIN_REACH, lag: str = LAG
 ) -> DataFrame:
-    """Orders joined with lines arriving within ``reach`` of them, each pair once."""
-    left = orders.withWatermark("timestamp", ttl)
-    right = details.withWatermark("timestamp", ttl)
+    """Orders joined with lines arriving within ``reach`` of them, each pair once.
+
+    A row is dropped only if it is more than ``lag`` behind the newest of its side; repeats
+    of a pair are known for as long. Choose it above the longest backlog of one partition.
+    """
+    left = orders.withWatermark("timestamp", lag)
+    right = details.withWatermark("timestamp", lag)
     near = F.expr(
         f"detail_at BETWEEN order_at - INTERVAL {reach} AND order_at + INTERVAL {reach}"
     )
@@ -188,40 +232,50 @@ def wide_stream(
 
 
 def dws_wide(
-    spark: SparkSession, w: Warehouse, reach: str = JOIN_REACH, ttl: str = WIDE_TTL
+    spark: SparkSession,
+    w: Warehouse,
+    reach: str = JOIN_REACH,
+    ttl_ms: int = SPLIT_TTL_MS,
+    lag: str = LAG,
 ) -> StreamingQuery:
-    """Join order and line topics, drop repeats, share out amounts, send on."""
+    """Join order and line topics, drop repeats, share out amounts, send on.
+
+    ``reach`` is how far apart the sides of a pair may arrive, ``lag`` how late a row may
+    be, and ``ttl_ms`` how long after that an order's shares are remembered.
+    """
     keep = ["timestamp"]
     wide = wide_stream(
         w.records(spark, ORDER_TOPIC, schemas.ORDER_INFO_ENRICHED, keep),
         w.records(spark, DETAIL_TOPIC, schemas.ORDER_DETAIL_ENRICHED, keep),
         reach,
-        ttl,
-    )
-    shared = allocate_stream(wide, at="order_at")
-    return w.start(
-        send_stream(topic_rows(shared, WIDE_TOPIC), w.topics, "dws_wide"), "dws_wide"
+        lag,
     )
+    shared = allocate_stream(wide, at="order_at", ttl_ms=ttl_ms)
+    out = topic_rows(shared, WIDE_TOPIC)
+    number = w.numbers(spark, "dws_wide")
+    return w.start(send_stream(out, w.topics, "dws_wide", number), "dws_wide")
 
 
 # Marts ---------------------------------------------------------------------
 
 
 def ads_spu(spark: SparkSession, w: Warehouse) -> StreamingQuery:
-    rows = w.records(spark, WIDE_TOPIC, schemas.ORDER_WIDE)
+    rows = w.records(spark, WIDE_TOPIC, schemas.SPU_AMOUNT)
+    number = w.numbers(spark, "ads_spu")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        w.save_result(spu_amounts(batch), "spu_amount", "ads_spu", batch_id)
+        w.save_result(spu_amounts(batch), "spu_amount", "ads_spu", number(batch_id))
 
     return w.start(rows.writeStream.foreachBatch(write), "ads_spu")
 
 
 def ads_trademark(spark: SparkSession, w: Warehouse) -> StreamingQuery:
-    rows = w.records(spark, WIDE_TOPIC, schemas.ORDER_WIDE)
+    rows = w.records(spark, WIDE_TOPIC, schemas.TRADEMARK_AMOUNT)
+    number = w.numbers(spark, "ads_trademark")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         sums = trademark_amounts(batch, times.statement_time(F.current_timestamp()))
-        w.save_result(sums, "trademark_amount", "ads_trademark", batch_id)
+        w.save_result(sums, "trademark_amount", "ads_trademark", number(batch_id))
 
     return w.start(rows.writeStream.foreachBatch(write), "ads_trademark")
 
@@ -236,9 +290,10 @@ def dau(
     logs = w.records(spark, topic, schemas.START_LOG, keep=["timestamp"])
     rows = visits(logs, keep=["timestamp"]).where(F.col("mid").isNotNull())
     first = rows.withWatermark("timestamp", ttl).dropDuplicatesWithinWatermark(VISIT_KEY)
+    number = w.numbers(spark, "dau")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert(batch.drop("timestamp"), w.table("dau"), batch_id, partition_by=["dt"])
+        upsert(batch.drop("timestamp"), w.table("dau"), number(batch_id), partition_by=["dt"])
 
     return w.start(first.writeStream.foreachBatch(write), "dau")
 

@@ -96,46 +96,3 @@ def allocate_stream(wide: DataFrame, at: str, ttl_ms: int = SPLIT_TTL_MS) -> Dat
     )
     amount = from_cents(F.col("_share_cents")).alias("final_detail_amount")
     return shared.select("*", amount).drop("_share_cents")
-
-
-class MarkFirstOrder(StatefulProcessor):
-    """Marks the earliest order of a user's first batch; the state is a flag."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.consumed = handle.getValueState("consumed", "if_consumed STRING")
-
-    def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.consumed.update((initialState.if_consumed,))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        known = self.consumed.get() == ("1",)
-        best: Row | None = None
-        for row in rows:
-            if not known and best is None:
-                best = row
-                continue
-            if not known and (row.create_time, row.id) < (best.create_time, best.id):
-                best, row = row, best
-            yield Row(**row.asDict(), if_first_order="0")
-        if best is not None:
-            self.consumed.update(("1",))
-            yield Row(**best.asDict(), if_first_order="1")
-
-    def close(self) -> None:
-        pass
-
-
-def flag_first_orders_stream(orders: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """``if_first_order`` for a stream of orders; see ``operators.orders``.
-
-    ``known`` (``user_id, if_consumed``, one row per user) fills the state on the
-    query's first start.
-    """
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in orders.schema]
-    return orders.groupBy("user_id").transformWithState(
-        statefulProcessor=MarkFirstOrder(),
-        outputStructType=", ".join([*kept, "if_first_order STRING"]),
-        outputMode="Append",
-        timeMode="None",
-        initialState=None if known is None else known.groupBy("user_id"),
-    )

@@ -36,6 +36,18 @@ class Warehouse:
     max_per_trigger: int | None = None
     results: ResultSink | None = None
 
+    def numbers(self, spark: SparkSession, name: str) -> Callable[[int], int]:
+        """Batch numbers for what the job ``name`` writes, from those of its stream.
+
+        A stream counts its batches from 0 in every new checkpoint. What it writes must
+        neither replace nor lose to what it wrote under an earlier one, so each checkpoint
+        gets a number that is higher than all before it, kept in its folder, and the batch
+        numbers of different checkpoints are far apart.
+        """
+        checkpoint = f"{self.checkpoints.rstrip('/')}/{name}"
+        first = run_number(spark, f"{checkpoint}/_run", self.table(f"_runs/{name}")) << 40
+        return lambda batch_id: first + batch_id
+
     def table(self, name: str) -> str:
         return f"{self.tables.rstrip('/')}/{name}"
 
@@ -77,6 +89,30 @@ class Warehouse:
         )
 
 
+def run_number(spark: SparkSession, marker: str, taken: str) -> int:
+    """The number in the file ``marker``; else the next free one of the folder ``taken``.
+
+    Numbers are taken by making a file of that name, which only one can do.
+    """
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    files = at(marker).getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(at(marker)):
+        stream = files.open(at(marker))
+        try:
+            return stream.readInt()
+        finally:
+            stream.close()
+    files.mkdirs(at(taken))
+    used = [int(f.getPath().getName()) for f in files.listStatus(at(taken))]
+    number = max(used, default=-1) + 1
+    while not files.createNewFile(at(f"{taken}/{number}")):
+        number += 1
+    stream = files.create(at(marker), False)
+    stream.writeInt(number)
+    stream.close()
+    return number
+
+
 def newest(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The last arrived row per key of one batch, arrival columns removed."""
     return latest_by_key(rows, keys, ["timestamp", "offset"]).drop("timestamp", "offset")

@@ -1,22 +1,25 @@
 """Jobs stopped and started again, over topics that grow in between."""
 
+import dataclasses
 import json
 import os
 import subprocess
 import sys
+from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
 from pyspark import cloudpickle
 
 from tallybrook import schemas
+from tallybrook.operators.cdc import DEAD_LETTER_TOPIC
 from tallybrook.operators.records import parse_json
 from tallybrook.session import streaming_session
 from tallybrook.sources.results import read_results, write_result
 from tallybrook.sources.tables import read_latest, read_versions
 from tallybrook.sources.topics import TopicStore, read_topic, read_topic_log, send, to_console
 from tallybrook.streaming import jobs
-from tallybrook.streaming.state import MarkFirstOrder, ShareOrder, share_of
+from tallybrook.streaming.state import ShareOrder, share_of
 from tallybrook.streaming.warehouse import Warehouse
 
 WAIT = 100
@@ -122,7 +125,7 @@ def test_lines_in_several_batches_share_the_whole_amount(spark, tmp_path):
     world.send(jobs.DETAIL_TOPIC, line(11, 1), line(12, 2))
 
     def run():
-        world.run(jobs.dws_wide, reach="1 hour", ttl="2 hours")
+        world.run(jobs.dws_wide, reach="1 hour", ttl_ms=7_200_000)
 
     run()
     world.send(jobs.DETAIL_TOPIC, line(12, 2), line(13, 3))
@@ -134,6 +137,85 @@ def test_lines_in_several_batches_share_the_whole_amount(spark, tmp_path):
     assert shares[13] == Decimal("33.34")
 
 
+def test_a_lagging_pair_arrives(spark, tmp_path):
+    world = World(spark, tmp_path, max_per_trigger=1)
+    now = datetime(2020, 5, 12, 12)
+
+    def at(topic, record, when):
+        row = (topic, str(record["id"]), json.dumps(record), when)
+        df = world.spark.createDataFrame([row], "topic STRING, key STRING, value STRING, timestamp TIMESTAMP")
+        send(df, world.w.topics, "test", world.sent)
+        world.sent += 1
+
+    for i, late in ((1, 0), (2, 3600), (3, 0)):
+        when = now + timedelta(seconds=10 * i - late)
+        at(jobs.ORDER_TOPIC, {"id": i, "user_id": 5, "original_total_amount": 10, "final_total_amount": 9}, when)
+        at(
+            jobs.DETAIL_TOPIC,
+            {"id": 10 + i, "order_id": i, "sku_id": 1, "order_price": 10, "sku_num": 1},
+            when + timedelta(seconds=1),
+        )
+    world.run("dws_wide")
+    rows = world.log(jobs.WIDE_TOPIC, schemas.ORDER_WIDE).collect()
+    assert sorted(r.order_id for r in rows) == [1, 2, 3]
+
+
+def test_the_last_of_several_updates_in_a_batch_stays(spark, tmp_path):
+    world = World(spark, tmp_path)
+    for version in range(3):
+        rows = [
+            {"table": "spu_info", "type": "update", "data": {"id": i, "spu_name": f"v{version}"}}
+            for i in range(20)
+        ]
+        world.send(jobs.MAXWELL_TOPIC, *rows, *rows[::-1])
+    world.run("ods_maxwell")
+    world.run("dim_spu_info")
+    spus = read_latest(world.spark, world.w.table("spu_info"), schemas.SPU_INFO, ["id"])
+    assert {r.id: r.spu_name for r in spus.collect()} == {i: "v2" for i in range(20)}
+
+
+def test_a_new_checkpoint_neither_replaces_nor_loses(spark, tmp_path):
+    world = World(spark, tmp_path)
+    for version in ("a", "b"):
+        world.send("ODS_T_SPU_INFO", {"id": 1, "spu_name": version})
+        world.run("dim_spu_info")
+    world.send("ODS_T_SPU_INFO", {"id": 1, "spu_name": "c"})
+    moved = dataclasses.replace(world.w, checkpoints=f"{tmp_path}/checkpoints2")
+    jobs.JOBS["dim_spu_info"](world.spark, moved).awaitTermination()
+    versions = read_versions(world.spark, world.w.table("spu_info"), schemas.SPU_INFO).collect()
+    assert len(versions) == 3
+    spus = read_latest(world.spark, world.w.table("spu_info"), schemas.SPU_INFO, ["id"])
+    assert [r.spu_name for r in spus.collect()] == ["c"]
+
+
+def test_first_orders_outlive_checkpoints_and_take_nulls(spark, tmp_path):
+    world = World(spark, tmp_path)
+    world.send("ODS_T_ORDER_INFO", {"id": 1, "user_id": 5}, {"id": 2, "user_id": 5, "create_time": None})
+    world.run("dw_order")
+    world.send("ODS_T_ORDER_INFO", {"id": 3, "user_id": 5, "create_time": "2020-05-12 10:00:00"})
+    world.w = dataclasses.replace(world.w, checkpoints=f"{tmp_path}/checkpoints2")
+    world.run("dw_order")
+    facts = world.log(jobs.ORDER_TOPIC, schemas.ORDER_INFO_ENRICHED).collect()
+    flags = {(r.id, r.if_first_order) for r in facts}
+    assert {(1, "1"), (2, "0"), (3, "0")} <= flags and (3, "1") not in flags
+
+
+def test_unreadable_messages_go_to_their_topic(spark, tmp_path):
+    world = World(spark, tmp_path)
+    world.send(jobs.MAXWELL_TOPIC, {"type": "insert", "data": {"id": 1}})
+    world.run("ods_maxwell")
+    lost = read_topic_log(world.spark, world.w.topics, DEAD_LETTER_TOPIC).collect()
+    assert [json.loads(r.value)["data"] for r in lost] == [{"id": 1}]
+
+
+def test_trademarks_are_keyed_by_their_own_id(spark, tmp_path):
+    world = World(spark, tmp_path)
+    row = {"table": "base_trademark", "type": "insert", "data": {"tm_id": 4, "tm_name": "x"}}
+    world.send(jobs.MAXWELL_TOPIC, row)
+    world.run("ods_maxwell")
+    assert [r.key for r in read_topic_log(world.spark, world.w.topics, "ODS_T_BASE_TRADEMARK").collect()] == ["4"]
+
+
 def test_failed_batch_is_not_counted_twice(spark, tmp_path):
     path = str(tmp_path / "sums")
     broken = []
@@ -184,7 +266,7 @@ def test_every_job_is_named():
 
 
 def test_processors_need_no_package_on_executors(tmp_path):
-    for processor in (MarkFirstOrder(), ShareOrder(5)):
+    for processor in (ShareOrder(5),):
         load = "import pickle, sys; print(pickle.load(sys.stdin.buffer).__class__.__name__)"
         env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
         out = subprocess.run(
