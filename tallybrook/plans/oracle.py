@@ -96,12 +96,17 @@ BATCH_ORACLE: dict[str, str] = {
 SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events
 """,
     "cdc_canal_route": """
-SELECT 'ODS_T_ORDER_DETAIL' AS topic, CAST(l_orderkey AS VARCHAR) AS key,
-       l_partkey AS sku_id, CAST(l_quantity AS BIGINT) AS sku_num
+SELECT CASE WHEN l_linestatus = 'F' THEN 'ODS_T_ORDER_DETAIL'
+            ELSE 'ODS_T_ORDER_DETAIL_ACTIVITY' END AS topic,
+       CAST(l_orderkey AS VARCHAR) AS key, l_partkey AS sku_id,
+       CAST(l_quantity AS BIGINT) AS sku_num,
+       CAST(round(l_extendedprice * 100) AS DOUBLE) / 100 AS order_price
 FROM lineitem WHERE l_linenumber <> 7
 UNION ALL
-SELECT 'ODS_T_ORDER_DETAIL', CAST(l_orderkey AS VARCHAR), l_suppkey,
-       CAST(l_linenumber AS BIGINT)
+SELECT CASE WHEN l_linestatus = 'F' THEN 'ODS_T_ORDER_DETAIL'
+            ELSE 'ODS_T_ORDER_DETAIL_ACTIVITY' END,
+       CAST(l_orderkey AS VARCHAR), l_suppkey, CAST(l_linenumber AS BIGINT),
+       CAST(round(l_discount * 100) AS DOUBLE) / 100
 FROM lineitem WHERE l_linenumber <> 7 AND l_returnflag = 'R'
 """,
     "cdc_maxwell_route": """
@@ -123,7 +128,10 @@ UNION ALL
 SELECT 'ODS_T_SKU_INFO', CAST(p_partkey AS VARCHAR) FROM part
 """,
     "dau_first_visit": _FIRST_VISITS,
-    "dau_upsert_by_day": _FIRST_VISITS,
+    "dau_upsert_by_day": f"""
+SELECT mid, CASE WHEN mid % 2 = 1 THEN ch ELSE 'unknown' END AS ch, dt, hr, mi, ts
+FROM ({_FIRST_VISITS})
+""",
     "user_age_gender": f"WITH {_USERS} SELECT * FROM users",
     "sku_enrich": """
 SELECT p_partkey AS id,

@@ -7,11 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybrook.functions import times
-from tallybrook.functions.money import cents, from_cents
+from tallybrook.functions.money import cents, from_cents, money
 from tallybrook.operators.allocation import CHUNK_IDS, allocate_cents
 from tallybrook.operators.cdc import route_canal, route_maxwell
 from tallybrook.operators.activity import first_visits
@@ -31,9 +31,11 @@ from tallybrook.plans.tables import (
     as_details,
     number_lines,
 )
+from tallybrook.schemas import MONEY, USER_STATE
 from tallybrook.session import work_path
 from tallybrook.sources.relations import read_query
 from tallybrook.sources.results import read_results, write_result
+from tallybrook.sources.tables import read_latest, upsert
 from tallybrook.sources.topics import TopicStore, read_topic_log, send
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,30 +64,34 @@ def json_parse(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cdc_canal_route(spark: SparkSession, folder: str) -> DataFrame:
-    """Envelopes made of lines: returned ones list two rows, line 7 lists none."""
+    """Envelopes of two tables made of lines: returned ones list two rows, line 7 lists none."""
     line = Tables(spark, folder).read("lineitem")
     first = F.struct(
         F.col("l_orderkey").alias("id"),
         F.col("l_partkey").alias("sku_id"),
         F.col("l_quantity").cast("bigint").alias("sku_num"),
+        money(F.col("l_extendedprice")).alias("order_price"),
     )
     second = F.struct(
         F.col("l_orderkey").alias("id"),
         F.col("l_suppkey").alias("sku_id"),
         F.col("l_linenumber").cast("bigint").alias("sku_num"),
+        money(F.col("l_discount")).alias("order_price"),
     )
     data = F.when(F.col("l_linenumber") == 7, None).otherwise(
         F.when(F.col("l_returnflag") == "R", F.array(first, second)).otherwise(F.array(first))
     )
     envelope = F.struct(
-        F.lit("order_detail").alias("table"),
+        F.when(F.col("l_linestatus") == "F", "order_detail")
+        .otherwise("order_detail_activity")
+        .alias("table"),
         F.when(F.col("l_returnflag") == "A", "DELETE").otherwise("INSERT").alias("type"),
         data.alias("data"),
     )
     routed = route_canal(line.select(F.to_json(envelope).alias("value")))
-    return parse_json(
-        routed, "sku_id BIGINT, sku_num BIGINT", keep=["topic", "key"]
-    )
+    fields = f"sku_id BIGINT, sku_num BIGINT, order_price {MONEY}"
+    rows = parse_json(routed, fields, keep=["topic", "key"])
+    return rows.withColumn("order_price", F.col("order_price").cast("double"))
 
 
 def maxwell_envelopes(t: Tables) -> DataFrame:
@@ -166,16 +172,22 @@ def dau_first_visit(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dau_upsert_by_day(spark: SparkSession, folder: str) -> DataFrame:
-    """First visits arriving in two batches; the later one replaces the earlier."""
+    """First visits written without their channel; a second batch corrects those of odd devices."""
     rows = dau_first_visit(spark, folder)
-    batches = F.explode(F.array(F.lit(0), F.lit(1)))
-    versions = rows.withColumn("batch_id", batches)
-    return latest_by_key(versions, ["dt", "mid"], ["batch_id"]).drop("batch_id")
+    path = work_path(spark, "visits")
+    upsert(rows.withColumn("ch", F.lit("unknown")), path, 0, partition_by=["dt"])
+    upsert(rows.where(F.col("mid") % 2 == 1), path, 1, partition_by=["dt"])
+    fields = "mid BIGINT, ch STRING, hr STRING, mi STRING, ts TIMESTAMP_NTZ, dt STRING"
+    return read_latest(spark, path, fields, ["dt", "mid"])
 
 
 # Dimensions ----------------------------------------------------------------
 
 
+def _seconds(column: str) -> Column:
+    return F.unix_seconds(F.col(column).cast("timestamp"))
+
+
 def user_age_gender(spark: SparkSession, folder: str) -> DataFrame:
     return Tables(spark, folder).users().select("id", "age_group", "gender_name")
 
@@ -197,7 +209,14 @@ def dim_lookup_by_keys(spark: SparkSession, folder: str) -> DataFrame:
 def dim_upsert_latest(spark: SparkSession, folder: str) -> DataFrame:
     events = Tables(spark, folder).read("events")
     rows = events.select("user_id", "event_type", "value", "ts", "event_id")
-    return latest_by_key(rows, ["user_id"], ["ts", "event_id"]).drop("event_id")
+    # The earlier half of the time in one batch, the later one in another.
+    middle = F.lit(rows.agg(F.avg(_seconds("ts"))).first()[0] or 0.0)
+    path = work_path(spark, "profiles")
+    for batch_id, part in enumerate([_seconds("ts") < middle, _seconds("ts") >= middle]):
+        last = latest_by_key(rows.where(part), ["user_id"], ["ts", "event_id"])
+        upsert(last.drop("event_id"), path, batch_id)
+    fields = "user_id BIGINT, event_type STRING, value DOUBLE, ts TIMESTAMP_NTZ"
+    return read_latest(spark, path, fields, ["user_id"])
 
 
 def relation_read(spark: SparkSession, folder: str) -> DataFrame:
@@ -237,10 +256,11 @@ def first_order_flag(spark: SparkSession, folder: str) -> DataFrame:
 def user_state_upsert(spark: SparkSession, folder: str) -> DataFrame:
     state, batch = _state_and_batch(Tables(spark, folder))
     new = consumed_users(flag_first_orders(batch, state))
-    versions = state.withColumn("batch_id", F.lit(0)).unionByName(
-        new.withColumn("batch_id", F.lit(1))
-    )
-    return latest_by_key(versions, ["user_id"], ["batch_id"]).drop("batch_id")
+    path = work_path(spark, "users")
+    # New users are first written as not having ordered.
+    upsert(state.unionByName(new.withColumn("if_consumed", F.lit("0"))), path, 0)
+    upsert(new, path, 1)
+    return read_latest(spark, path, USER_STATE, ["user_id"])
 
 
 def order_province(spark: SparkSession, folder: str) -> DataFrame:
