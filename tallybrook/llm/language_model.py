@@ -34,7 +34,7 @@ STATES = 8
 CLASSES = 1 << 16
 ROUNDS = 4
 # Bytes of text in a block (one text more may make it larger) and tokens of a training passage.
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 PASSAGE = 512
 # Tokens in one step of the recursions, and the share of the overall word rates in each state.
 STEP = 300_000
@@ -64,8 +64,8 @@ def encoded(docs: DataFrame, id_column: str, text: str, classes: int, block_byte
     """Blocks and their words, by ``kind``.
 
     ``block``: ids, held-out flags and lengths of the texts, their tokens as numbers in the
-    block's word list and, for training, as classes. ``word``: one row per word of a block, with
-    its number and how often training texts of the block have it. Numbers run by first use.
+    block's word list, and the class of each word. ``word``: one row per word of a block, with its
+    number and how often training texts of the block have it. Numbers run by first use.
     """
     id_kind = docs.schema[id_column].dataType.simpleString()
     schema = (
@@ -100,7 +100,7 @@ def encoded(docs: DataFrame, id_column: str, text: str, classes: int, block_byte
                 "held": held,
                 "lengths": lengths,
                 "tokens": _packed(tokens),
-                "classes": _packed(of[tokens]),
+                "classes": _packed(of),
             }
             arrays = []
             for f in types:
@@ -271,10 +271,11 @@ def round_of(blocks: DataFrame, model: Model, classes: int, passage: int) -> tup
         model, likelihood = Model(*sent.value), 0.0
         sums = Model(*(np.zeros(x.shape) for x in model))
         for batch in batches:
-            for held, lengths, packed in zip(*batch.columns, strict=True):
+            for held, lengths, tokens, packed in zip(*batch.columns, strict=True):
                 learn = ~held.values.to_numpy(zero_copy_only=False)
                 lengths = lengths.values.to_numpy().astype(np.int64)
-                own = _unpacked(packed.as_py(), "<u4")[np.repeat(learn, lengths)]
+                own = _unpacked(tokens.as_py(), "<i4")[np.repeat(learn, lengths)]
+                own = _unpacked(packed.as_py(), "<u4").astype(np.int64)[own]
                 own, lengths = _with_ends(own, lengths[learn], classes)
                 if len(lengths):
                     likelihood += expected(model, own, _passages(lengths, passage), sums)
@@ -287,7 +288,7 @@ def round_of(blocks: DataFrame, model: Model, classes: int, passage: int) -> tup
             ["key", *(f"s{k}" for k in range(states))],
         )
 
-    parts = blocks.select("held", "lengths", "classes").mapInArrow(run, f"key long, {columns}")
+    parts = blocks.select("held", "lengths", "tokens", "classes").mapInArrow(run, f"key long, {columns}")
     summed = parts.groupBy("key").agg(*[F.sum(f"s{k}").alias(f"s{k}") for k in range(states)])
     found = summed.toArrow()  # at most a row per class and a few more
     rows = np.zeros((states, classes + 2 + states + 2))
@@ -343,11 +344,16 @@ def scored(
             "number",
             F.sum("n").over(same).alias("c"),
             (F.row_number().over(same.orderBy("block")) == 1).alias("first"),
-            (F.crc32("word") % classes).cast("int").alias("class"),
+            F.col("word"),
+        ).select(
+            "block",
+            "number",
+            "c",
+            F.when(F.col("first"), (F.crc32("word") % classes).cast("int")).alias("class"),
         ),
         "counted",
     )
-    by_class = counted.where("first and c > 0").groupBy("class").agg(
+    by_class = counted.where("class is not null and c > 0").groupBy("class").agg(
         F.sum("c").alias("c"), F.count("*").alias("words"), F.count(F.when(F.col("c") == 1, 1)).alias("once")
     ).toArrow()  # at most a row per class
     texts = blocks.agg(F.sum(F.size(F.filter("held", lambda h: ~h)))).first()[0] or 0
@@ -372,9 +378,7 @@ def scored(
         known = np.zeros(counts.num_rows + 1, np.int64)
         known[counts["number"].to_numpy()] = counts["c"].to_numpy()
         known[-1] = totals.texts
-        of = np.full(len(known), classes + 1)
-        of[counts["number"].to_numpy()] = counts["class"].to_numpy()
-        of[-1] = classes
+        of = np.append(_unpacked(block["classes"][0].as_py(), "<u4").astype(np.int64), classes)
         of[known == 0] = classes + 1
         inside = np.zeros(len(known))
         inside[known > 0] = np.log10(known[known > 0] / in_class[of[known > 0]])
@@ -400,5 +404,5 @@ def scored(
         f"`{id_column}` {id_kind}, held_out boolean, n_tokens long, n_known long, "
         "train_tokens long, base_score double, score double"
     )
-    whole = blocks.select("block", "ids", "held", "lengths", "tokens").groupBy("block")
-    return whole.cogroup(counted.select("block", "number", "c", "class").groupBy("block")).applyInArrow(run, schema)
+    whole = blocks.select("block", "ids", "held", "lengths", "tokens", "classes").groupBy("block")
+    return whole.cogroup(counted.select("block", "number", "c").groupBy("block")).applyInArrow(run, schema)
