@@ -182,9 +182,12 @@ def _quality() -> str:
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents
 ), w AS (SELECT rid, regexp_extract_all(text, '{WORD}') AS ws FROM d),
-windows AS (
-  SELECT rid, i, count(*) OVER (PARTITION BY rid, ws[i], ws[i + 1], ws[i + 2]) AS times
-  FROM w, unnest(range(1, len(ws) - 1)) AS u(i)
+words AS (SELECT rid, unnest(ws) AS a, generate_subscripts(ws, 1) AS i FROM w),
+three AS (
+  SELECT rid, i, a, lead(a, 1) OVER o AS b, lead(a, 2) OVER o AS c
+  FROM words WINDOW o AS (PARTITION BY rid ORDER BY i)
+), windows AS (
+  SELECT rid, i, count(*) OVER (PARTITION BY rid, a, b, c) AS times FROM three WHERE c IS NOT NULL
 ), covered AS (
   SELECT rid, count(DISTINCT i + k) AS n FROM windows, (VALUES (0), (1), (2)) AS o(k) WHERE times > 1 GROUP BY rid
 ), split AS (SELECT rid, unnest(string_split(text, chr(10))) AS l FROM d),
