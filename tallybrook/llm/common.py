@@ -32,6 +32,15 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder, deleted when the driver's JVM ends."""
+    path = work_path(spark, name)
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.deleteOnExit(hadoop_path)
+    return path
+
+
 def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """``df`` written to the shared folder and read back: a cut of its lineage.
 
@@ -39,10 +48,7 @@ def stored(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     is deleted when the driver's JVM ends.
     """
     spark = df.sparkSession
-    path = work_path(spark, name)
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.deleteOnExit(hadoop_path)
+    path = scratch(spark, name)
     df.write.partitionBy(*(partition_by or [])).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybrook.llm import (
+    alignment,
+    archive,
+    dialogue,
     hamming,
     language_model,
     mixing,
@@ -17,7 +20,7 @@ from tallybrook.llm import (
     surrogates,
     token_count,
 )
-from tallybrook.llm.common import read
+from tallybrook.llm.common import read, scratch
 from tallybrook.llm.oracle import ORACLE
 
 
@@ -95,6 +98,34 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "quality.*").drop("cleaned")
 
 
+def op11_dialogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheapest repair of each conversation, after repeatable damage."""
+    rows = dialogue.damaged(read(spark, sf_dir, "conversations"))
+    return dialogue.repairs(rows, dropped=F.col("dropped"))
+
+
+def op12_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages archived, and the records read back."""
+    pages = read(spark, sf_dir, "pages")
+    path = scratch(spark, "archive")
+    archive.write_archive(pages, path)
+    kind = pages.schema["page_id"].dataType
+    return archive.read_index(spark, path).select(
+        F.col("page_id").cast(kind).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"),
+    )
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How two tokenizers' tokens line up in each document."""
+    docs = read(spark, sf_dir, "documents")
+    files = _vocabulary("byte_bpe_50k.json"), _vocabulary("piece_bpe_32k.model")
+    return alignment.aligned(docs, *files)[0]
+
+
 QUERIES = {
     "op1_hmm": op1_hmm,
     "op2_packing": op2_packing,
@@ -106,6 +137,9 @@ QUERIES = {
     "op8_curriculum": op8_curriculum,
     "op9_simhash": op9_simhash,
     "op10_quality": op10_quality,
+    "op11_dialogue": op11_dialogue,
+    "op12_archive": op12_archive,
+    "op13_alignment": op13_alignment,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
