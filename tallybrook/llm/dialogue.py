@@ -197,7 +197,8 @@ def ordered(
     ).repartition("c")
     same = Window.partitionBy("c", "role", "text").orderBy(F.col("t").asc_nulls_first())
     marked = narrow.withColumn("repeated", F.row_number().over(same) > 1)
-    return marked.sortWithinPartitions("c", F.col("t").asc_nulls_first(), "role", "text")
+    # Of equal rows the first one is not repeated.
+    return marked.sortWithinPartitions("c", F.col("t").asc_nulls_first(), "role", "text", "repeated")
 
 
 def repairs(
@@ -282,7 +283,7 @@ def messages(
     ones have an empty text. The edits are cut into one word per row and joined by the row's
     number, so texts are moved as often as for ``repairs``.
     """
-    w = Window.partitionBy("c").orderBy(F.col("t").asc_nulls_first(), "role", "text")
+    w = Window.partitionBy("c").orderBy(F.col("t").asc_nulls_first(), "role", "text", "repeated")
     given = ordered(rows, conversation, turn, role, text, dropped).where("NOT dropped")
     numbered = given.select("c", (F.row_number().over(w) - 1).alias("n"), "role", "text")
     words = found.select(

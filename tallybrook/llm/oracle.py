@@ -220,9 +220,115 @@ FROM judged
 """
 
 
+def _archive() -> str:
+    return """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+groups AS (SELECT body, max(page_id) AS top FROM p WHERE strlen(body) >= 1000 GROUP BY body)
+SELECT page_id, strlen(body)::BIGINT AS payload_bytes, sha1(body) AS payload_digest,
+  CASE WHEN top IS NULL OR top = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN top <> page_id THEN top END AS refers_to
+FROM p LEFT JOIN groups USING (body)
+"""
+
+
+def _dialogue() -> str:
+    """Repairs by recursion over rows; a state is the cheapest ``cost, audit, body`` to reach it."""
+
+    def said(body: str, line: str, first: bool) -> str:
+        return line if first else f"{body} || chr(10) || {line}"
+
+    def step(state: str, letter: str, cost: str, line: str | None, first: bool = False) -> str:
+        body = f"{state}.body" if line is None else said(f"{state}.body", line, first)
+        return (
+            f"CASE WHEN {state} IS NOT NULL THEN "
+            f"{{'cost': {state}.cost + {cost}, 'audit': {state}.audit || '{letter}', 'body': {body}}} END"
+        )
+
+    def least(*options: str) -> str:
+        return f"list_min([{', '.join(options)}])"
+
+    def row(state: str, name: str, first: bool) -> str:
+        """Keep or change a row where ``name`` is to speak."""
+        keep = step(state, "K", "extra", "role || ':' || text", first)
+        change = step(state, "R", "extra + 1", f"'{name}:' || text", first)
+        return f"CASE WHEN faulty THEN NULL WHEN role[1] = '{name[0]}' THEN {keep} ELSE {change} END"
+
+    def insert(state: str, name: str, first: bool = False) -> str:
+        return step(state, "I", "5", f"'{name}:'", first)
+
+    def delete(state: str) -> str:
+        return step(state, "D", "2", None)
+
+    system = step("s0", "K", "extra", "role || ':' || text", True)
+    space = r"[^\x20\x09-\x0D]"
+    return rf"""
+WITH RECURSIVE given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key
+  FROM conversations
+), hashed AS (
+  SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
+      string_split(key, ''), lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda c, b: xor(xor(c, b) >> 1, (xor(c, b) & 1) * 3988292384::BIGINT)), 4294967295::BIGINT) % 20 AS fault
+  FROM given
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM hashed, unnest(CASE WHEN fault = 3 THEN [0, 1] ELSE [0] END) AS copies(n) WHERE fault <> 0
+), numbered AS (
+  SELECT *, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+    regexp_extract(text, '({space})[\x20\x09-\x0D]*$', 1) AS last
+  FROM damaged
+), ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 AS seen FROM numbered
+), faults AS (
+  SELECT *, last = '' AS blank, last <> '' AND seen AS duplicate,
+    last <> '' AND NOT seen AND last NOT IN ('.', '!', '?') AS truncated,
+    lag(role[1]) OVER (PARTITION BY c ORDER BY i) || role[1] AS pair
+  FROM ordered
+), rows AS (
+  SELECT *, blank OR duplicate AS faulty, CASE WHEN truncated THEN 5 ELSE 0 END AS extra FROM faults
+), walk AS (
+  SELECT DISTINCT c, 0::BIGINT AS i, {{'cost': 0::BIGINT, 'audit': '', 'body': ''}} AS n0,
+    NULL::STRUCT(cost BIGINT, audit VARCHAR, body VARCHAR) AS n1,
+    NULL::STRUCT(cost BIGINT, audit VARCHAR, body VARCHAR) AS n2,
+    NULL::STRUCT(cost BIGINT, audit VARCHAR, body VARCHAR) AS n3
+  FROM rows
+  UNION ALL
+  SELECT c, i, {delete("s0")}, {least(delete("s1"), f"CASE WHEN NOT faulty AND role[1] = 's' THEN {system} END")},
+    {least(delete("s2"), row("s0", "user", True), row("s1", "user", False), row("s3", "user", False))},
+    {least(delete("s3"), row("s2", "assistant", False))}
+  FROM (
+    SELECT c, rows.i, role, text, faulty, extra, n0 AS s0, n1 AS s1,
+      {least("n2", insert("n0", "user", True), insert("n1", "user"), insert("n3", "user"))} AS s2,
+      {least("n3", insert("n2", "assistant"))} AS s3
+    FROM walk JOIN rows USING (c) WHERE rows.i = walk.i + 1
+  )
+), ends AS (
+  SELECT c, {least("n0", "n3", insert("n2", "assistant"))} AS best
+  FROM walk WHERE (c, i) IN (SELECT (c, max(i)) FROM rows GROUP BY c)
+), counted AS (
+  SELECT c, any_value(conv_id) AS conv_id,
+    coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+    count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+    count(*) FILTER (truncated) AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM rows GROUP BY c
+), every AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT every.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+  coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.cost, 0)::BIGINT AS cost,
+  coalesce(best.audit, '') AS audit, sha256(coalesce(best.body, '')) AS repaired_sha256
+FROM every LEFT JOIN (counted JOIN ends USING (c)) found ON found.conv_id IS NOT DISTINCT FROM every.conv_id
+"""
+
+
 ORACLE = {
     "op3_quotes": _quotes(),
     "op5_hamming": _hamming(),
     "op8_curriculum": _curriculum(),
     "op10_quality": _quality(),
+    "op11_dialogue": _dialogue(),
+    "op12_archive": _archive(),
 }
