@@ -120,7 +120,7 @@ def entities(text: str) -> list[Entity]:
     """What is found in a text: leftmost first, and of overlapping ones the first listed kind."""
     found: list[Entity] = []
     if "@" in text:
-        found += [Entity("email", *m.span(), m[0].lower()) for m in _EMAIL.finditer(text)]
+        found += [Entity("email", *m.span(), "".join(map(_lower, m[0]))) for m in _EMAIL.finditer(text)]
     if re.search(r"\d{2}", text) or _IP.search(text):
         found += _numbers(text)
     for m in _NAME.finditer(text):
@@ -156,24 +156,33 @@ def permuted(value: int, size: int, key: str, tweak: str) -> int:
             return value
 
 
+def _lower(c: str) -> str:
+    """The character in lower case, as it is where that would be several characters."""
+    return c.lower() if len(c.lower()) == 1 else c
+
+
+def _upper(c: str) -> str:
+    return c.upper() if len(c.upper()) == 1 else c
+
+
 def _alphabet(c: str) -> str:
     if c.isascii() and c.isdigit():
         return "0123456789"
-    return next((group for group in LETTERS if c.lower() in group), c.lower())
+    return next((group for group in LETTERS if _lower(c) in group), _lower(c))
 
 
 def reshaped(text: str, key: str, tweak: str) -> str:
     """``text`` with all letters and digits permuted together, each within its own group."""
     groups, value, size = [_alphabet(c) for c in text], 0, 1
     for c, group in zip(text, groups, strict=True):
-        value, size = value * len(group) + group.index(c.lower()), size * len(group)
+        value, size = value * len(group) + group.index(_lower(c)), size * len(group)
     # The format is part of the tweak, so that each has a permutation of its own.
     shape = ".".join(str(LETTERS.index(g)) if g in LETTERS else g[0] for g in groups)
     value, out = permuted(value, size, key, f"{tweak}|{shape}"), []
     for c, group in zip(reversed(text), reversed(groups), strict=True):
         value, i = divmod(value, len(group))
         new = group[i] if len(group) > 1 else c
-        out.append(new.upper() if c.isupper() else new)
+        out.append(_upper(new) if c.isupper() else new)
     return "".join(reversed(out))
 
 
@@ -219,8 +228,10 @@ def surrogate(kind: str, value: str, key: str, draw: int = 0) -> str:
 def _name_part(part: str, key: str, draw: int) -> str:
     for (script, gender), names in GIVEN.items():
         if part in names:
-            i = permuted(names.index(part), len(names), key, f"given|{draw}|{script}|{gender}")
-            return names[i]
+            # A keyed ring of the names, in which each steps to another one.
+            tweak, n = f"given|{script}|{gender}", len(names)
+            ring = sorted(names, key=lambda x: permuted(names.index(x), n, key, tweak))
+            return ring[(ring.index(part) + 1 + draw % (n - 1)) % n]
     # A replacement must not read as one of the given names, which others are replaced by.
     new, known = reshaped(part, key, f"name|{draw}"), {n for ns in GIVEN.values() for n in ns}
     while new in known:
@@ -234,7 +245,7 @@ def rendered(entity: Entity, original: str, value: str) -> str:
         digits = iter(c for c in value if c.isdigit())
         return "".join(next(digits) if c.isdigit() else c for c in original)
     if entity.kind == "email":
-        return "".join(n.upper() if o.isupper() else n for n, o in zip(value, original, strict=True))
+        return "".join(_upper(n) if o.isupper() else n for n, o in zip(value, original, strict=True))
     return value
 
 

@@ -114,3 +114,19 @@ def test_awkward_rows(spark):
 @pytest.mark.parametrize("text", ["@" * 10_000, "a." * 10_000, "1-" * 10_000, "9" * 20_000, "a@" * 5_000])
 def test_long_junk_is_quick(text):
     assert s.entities(text) == []
+
+
+def test_letters_whose_lower_case_is_longer():
+    for text in ("write to ALİ.kaya@mail.com", "Mr AİBC Öz called", "İİ@İİ.com"):
+        new = s.replaced(text, "k")
+        assert len(new) == len(text)
+    assert s.reshaped("AİBC", "k", "t")[1] == "İ"
+
+
+@pytest.mark.parametrize("key", ["a", "b", "c"])
+def test_no_listed_name_stays(key):
+    for names in s.GIVEN.values():
+        for draw in range(4):
+            new = [s._name_part(n, key, draw) for n in names]
+            assert sorted(new) == sorted(names)
+            assert all(a != b for a, b in zip(names, new, strict=True))
