@@ -71,15 +71,20 @@ def _routed(
     key_fields: dict[str, str] | None,
     dead_letter: str | None,
     more: list[str],
+    tombstones: bool,
 ) -> DataFrame:
-    """Topic rows of ``rows`` where ``kept``, and of unreadable ones if they have a topic."""
+    """Topic rows of ``rows`` where ``kept``, and of unreadable ones if they have a topic.
+
+    With ``tombstones`` a deleted row is a message without a value.
+    """
+    gone = F.lower("type") == "delete" if tombstones else F.lit(False)
     lost = F.col("raw").isNotNull()
     wanted = kept if dead_letter is None else kept | lost
     return rows.where(F.coalesce(wanted, F.lit(False))).select(
         *keep,
         F.when(lost, F.lit(dead_letter)).otherwise(_topic(F.col("table"))).alias("topic"),
         _key(F.col("table"), F.col("row"), key_fields).alias("key"),
-        F.coalesce("raw", F.to_json("row")).alias("value"),
+        F.coalesce("raw", F.when(gone, F.lit(None)).otherwise(F.to_json("row"))).alias("value"),
         *more,
     )
 
@@ -90,17 +95,19 @@ def route_canal(
     keep: list[str] | None = None,
     key_fields: dict[str, str] | None = None,
     dead_letter: str | None = None,
+    tombstones: bool = False,
 ) -> DataFrame:
     """Array envelopes to ``topic, key, value``, one row per element of ``data``.
 
-    Every statement type passes. Envelopes without rows give none. Those that are no JSON
+    Every statement type passes; with ``tombstones`` rows of deletes pass as a key without a
+    value, else as any other row. Envelopes without rows give none. Those that are no JSON
     object or name no table go to the topic ``dead_letter`` as they are, or nowhere.
     """
     keep = keep or []
     rows = _unfolded(df, value, keep, lambda e: _field(e, "$.data", "array<variant>"))
     # The array may hold JSON nulls, which are no rows.
     present = F.col("row").isNotNull() & ~F.is_variant_null("row")
-    return _routed(rows, keep, present, key_fields, dead_letter, [])
+    return _routed(rows, keep, present, key_fields, dead_letter, [], tombstones)
 
 
 def route_maxwell(
@@ -111,11 +118,13 @@ def route_maxwell(
     insert_only: tuple[str, ...] = INSERT_ONLY_TABLES,
     key_fields: dict[str, str] | None = None,
     dead_letter: str | None = None,
+    tombstones: bool = False,
 ) -> DataFrame:
     """Object envelopes to ``topic, key, value, type``.
 
     Kept are rows with a non-empty ``data`` object that are no deletes, from a
-    routed table, or inserts from an insert-only table. Names are case-sensitive. Envelopes
+    routed table, or inserts from an insert-only table. With ``tombstones`` deletes from routed
+    tables pass as a key without a value. Names are case-sensitive. Envelopes
     that are no JSON object or name no table go to the topic ``dead_letter``, or nowhere.
     """
     keep = keep or []
@@ -125,7 +134,7 @@ def route_maxwell(
         F.col("row").isNotNull()
         & ~F.is_variant_null("row")
         & (F.schema_of_variant("row") != "OBJECT<>")
-        & (kind != "delete")
+        & (kind.isNotNull() if tombstones else kind != "delete")
         & (table.isin(*routed) | (table.isin(*insert_only) & (kind == "insert")))
     )
-    return _routed(rows, keep, kept, key_fields, dead_letter, ["type"])
+    return _routed(rows, keep, kept, key_fields, dead_letter, ["type"], tombstones)

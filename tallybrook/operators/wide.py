@@ -49,11 +49,12 @@ def merge_wide(
     order_extra: dict[str, Column] | None = None,
     detail_extra: dict[str, Column] | None = None,
     condition: Column | None = None,
+    how: str = "inner",
 ) -> DataFrame:
     """One row per order line with the fields of both sides.
 
     Only fields a side has are taken. ``*_extra`` carries more columns, such as
-    event times, and ``condition`` may narrow the match by them.
+    event times, and ``condition`` may narrow the match by them. ``how`` is the kind of join.
     """
     left = _side(orders, FROM_ORDER, order_extra or {})
     right = _side(
@@ -62,4 +63,4 @@ def merge_wide(
     on = F.col("order_id") == F.col("_order_id")
     if condition is not None:
         on = on & condition
-    return left.join(right, on).drop("_order_id")
+    return left.join(right, on, how).drop("_order_id")

@@ -275,7 +275,31 @@ FROM lineitem LEFT JOIN stored_skus k ON k.id = l_partkey
 SELECT o_orderkey AS order_id, count(*) AS n_lines,
        CAST(round(min(o_totalprice) * 100) AS DOUBLE) / 100 AS paid
 FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey
+""",
+    "order_amount_stream": f"""
+WITH {_SHARES.replace("ORDER BY seq", "ORDER BY seq % 3, seq")}
+SELECT order_id, order_detail_id, CAST(share_c AS DOUBLE) / 100 AS final_detail_amount
+FROM shares
 """,
     "trademark_amount_stream": f"SELECT tm_id, tm_name, amount FROM ({_TRADEMARK})",
     "spu_amount_stream": BATCH_ORACLE["spu_amount_sum"],
+    "order_wide_unmatched_stream": """
+WITH o AS (SELECT o_orderkey FROM orders WHERE o_custkey % 7 <> 0),
+l AS (SELECT * FROM lineitem WHERE l_orderkey % 5 <> 0)
+SELECT o_orderkey AS order_id, 'no lines' AS reason, 0::BIGINT AS n_lines
+FROM o WHERE NOT EXISTS (SELECT 1 FROM l WHERE l_orderkey = o_orderkey)
+UNION ALL
+SELECT l_orderkey, 'no order', count(DISTINCT (l_linenumber, l_partkey, l_suppkey))
+FROM l WHERE NOT EXISTS (SELECT 1 FROM o WHERE l_orderkey = o_orderkey) GROUP BY l_orderkey
+""",
+    "dim_delete_stream": """
+SELECT c_custkey AS id, CASE WHEN c_custkey % 10 = 0 THEN 'again' WHEN c_custkey % 5 = 1 THEN 'changed'
+  ELSE c_mktsegment END AS user_level
+FROM customer WHERE c_custkey % 5 <> 0 OR c_custkey % 10 = 0
+""",
+    "returning_device_stream": """
+WITH e AS (SELECT user_id, event_id, ts AS t, epoch_us(ts) // 1000 AS ms FROM events)
+SELECT DISTINCT user_id AS mid, ms AS ts, strftime(t, '%Y-%m-%d') AS dt FROM e
+QUALIFY coalesce(ms - lag(ms) OVER (PARTITION BY user_id ORDER BY ms, event_id), 1e15) > 259200000
+""",
 }

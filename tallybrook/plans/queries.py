@@ -214,7 +214,7 @@ def dim_upsert_latest(spark: SparkSession, folder: str) -> DataFrame:
     path = work_path(spark, "profiles")
     for batch_id, part in enumerate([_seconds("ts") < middle, _seconds("ts") >= middle]):
         last = latest_by_key(rows.where(part), ["user_id"], ["ts", "event_id"])
-        upsert(last.drop("event_id"), path, batch_id)
+        upsert(last.drop("event_id"), path, batch_id, keys=["user_id"])
     fields = "user_id BIGINT, event_type STRING, value DOUBLE, ts TIMESTAMP_NTZ"
     return read_latest(spark, path, fields, ["user_id"])
 
@@ -258,8 +258,8 @@ def user_state_upsert(spark: SparkSession, folder: str) -> DataFrame:
     new = consumed_users(flag_first_orders(batch, state))
     path = work_path(spark, "users")
     # New users are first written as not having ordered.
-    upsert(state.unionByName(new.withColumn("if_consumed", F.lit("0"))), path, 0)
-    upsert(new, path, 1)
+    upsert(state.unionByName(new.withColumn("if_consumed", F.lit("0"))), path, 0, keys=["user_id"])
+    upsert(new, path, 1, keys=["user_id"])
     return read_latest(spark, path, USER_STATE, ["user_id"])
 
 

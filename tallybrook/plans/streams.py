@@ -8,21 +8,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybrook import schemas
+from tallybrook.functions import times
 from tallybrook.functions.money import from_cents
 from tallybrook.operators.records import parse_json, topic_rows
 from tallybrook.plans import queries as batch
-from tallybrook.plans.tables import Tables
+from tallybrook.plans.tables import MOST_LINES, Tables
 from tallybrook.session import streaming_session, work_path
-from tallybrook.sources.results import read_results
-from tallybrook.sources.tables import read_latest
+from tallybrook.sources.tables import read_latest, read_versions
 from tallybrook.sources.topics import TopicStore, read_topic_log, send
 from tallybrook.streaming import jobs
 from tallybrook.streaming.warehouse import Warehouse
 
+# A device not seen for longer than this is a returning one.
+RETURN_MS = 3 * 86_400_000
+
 
 def _warehouse(spark: SparkSession, name: str) -> tuple[SparkSession, Warehouse]:
     base = work_path(spark, name)
@@ -124,27 +127,135 @@ def order_wide_stream(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def order_amount_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Shares of lines that come in three batches, by number and in no order within one."""
+    s, w = _warehouse(spark, "shares")
+    t = Tables(s, folder)
+    wide = batch.wide_rows(t, t.orders(), None).withColumn(
+        "original_total_amount", from_cents(F.col("original_cents"))
+    )
+    lines = wide.select(
+        F.col("order_detail_id").alias("id"),
+        "order_id",
+        "sku_id",
+        F.col("sku_price").alias("order_price"),
+        "sku_num",
+    )
+    totals = wide.groupBy(F.col("order_id").alias("id")).agg(
+        F.max("original_total_amount").alias("original_total_amount")
+    )
+    _fill(w, t.orders().join(totals, "id"), jobs.ORDER_TOPIC, "id")
+    for k in range(3):
+        part = lines.where(F.col("id") % MOST_LINES % 3 == k).repartition("sku_id")
+        send(topic_rows(part, jobs.DETAIL_TOPIC, F.col("order_id")), w.topics, "fill", k)
+        jobs.dws_wide(s, w, reach="1 day", lag="2 days").awaitTermination()
+    rows = parse_json(read_topic_log(spark, w.topics, jobs.WIDE_TOPIC), schemas.ORDER_WIDE)
+    amount = F.col("final_detail_amount").cast("double").alias("final_detail_amount")
+    return rows.select("order_id", "order_detail_id", amount)
+
+
 def _wide_topic(s: SparkSession, w: Warehouse, folder: str) -> None:
     rows = batch.shares_with_names(Tables(s, folder))
     _fill(w, rows, jobs.WIDE_TOPIC)
 
 
 def trademark_amount_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Running totals, read as they stand."""
     s, w = _warehouse(spark, "trademark")
     _wide_topic(s, w, folder)
     _run(s, w, "ads_trademark")
-    sums = read_results(spark, w.table("trademark_amount"))
-    return sums.groupBy("tm_id", "tm_name").agg(F.sum("amount").cast("double").alias("amount"))
+    totals = jobs.read_totals(spark, w, "trademark")
+    return totals.select("tm_id", "tm_name", F.col("amount").cast("double").alias("amount"))
 
 
 def spu_amount_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Running totals, read as they stand."""
     s, w = _warehouse(spark, "spu")
     _wide_topic(s, w, folder)
     _run(s, w, "ads_spu")
-    sums = read_results(spark, w.table("spu_amount"))
-    return sums.groupBy("spu_id", "spu_name").agg(
-        F.min("stat_time").alias("stat_time"), F.sum("amount").cast("double").alias("amount")
+    totals = jobs.read_totals(spark, w, "spu")
+    return totals.withColumn("amount", F.col("amount").cast("double"))
+
+
+def order_wide_unmatched_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders without lines and lines without their order, after both topics have gone on."""
+    s, w = _warehouse(spark, "unmatched")
+    t = Tables(s, folder)
+    at = F.lit("2020-05-12 10:00:00").cast("timestamp")
+    orders = t.read("orders").where("o_custkey % 7 <> 0").select(F.col("o_orderkey").alias("id"))
+    lines = t.read("lineitem").where("l_orderkey % 5 <> 0").select(
+        F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
+        F.col("l_orderkey").alias("order_id"),
+    )
+    last = s.range(1).select(F.lit(-1).cast("bigint").alias("id"), F.lit(-1).cast("bigint").alias("order_id"))
+    for k, (rows, side) in enumerate([(orders, lines), (last.select("id"), last)]):
+        when = at + F.expr(f"INTERVAL {3 * k} DAYS")
+        for part, topic in ((rows, jobs.ORDER_TOPIC), (side, jobs.DETAIL_TOPIC)):
+            messages = topic_rows(part, topic, F.col("id")).withColumn("timestamp", when)
+            send(messages.withColumn("offset", F.lit(None).cast("bigint")), w.topics, "fill", k)
+        jobs.dws_unmatched(s, w, lag="1 hour").awaitTermination()
+    rows = parse_json(
+        read_topic_log(spark, w.topics, jobs.UNMATCHED_TOPIC),
+        "order_id BIGINT, order_detail_id BIGINT, reason STRING",
+    )
+    return rows.groupBy("order_id", "reason").agg(F.count("order_detail_id").alias("n_lines"))
+
+
+def dim_delete_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Users inserted, changed and deleted, some inserted again; one delete comes too late."""
+    s, w = _warehouse(spark, "deletes")
+    users = Tables(s, folder).read("customer").select(F.col("c_custkey").alias("id"), "c_mktsegment")
+
+    def change(rows: DataFrame, kind: str, level: Column, hours: float) -> DataFrame:
+        row = F.struct("id", level.alias("user_level"))
+        envelope = F.struct(F.lit("user_info").alias("table"), F.lit(kind).alias("type"), F.array(row).alias("data"))
+        at = F.lit("2020-05-12 10:00:00").cast("timestamp") + F.expr(f"INTERVAL {int(60 * hours)} MINUTES")
+        return rows.select(
+            F.lit(jobs.CANAL_TOPIC).alias("topic"),
+            F.lit(None).cast("string").alias("key"),
+            F.to_json(envelope).alias("value"),
+            at.alias("timestamp"),
+            F.lit(None).cast("bigint").alias("offset"),
+        )
+
+    segment = F.col("c_mktsegment")
+    batches = [
+        [change(users, "INSERT", segment, 0)],
+        [
+            change(users.where("id % 5 = 0"), "DELETE", segment, 1),
+            change(users.where("id % 5 = 1"), "UPDATE", F.lit("changed"), 1),
+        ],
+        [
+            change(users.where("id % 10 = 0"), "INSERT", F.lit("again"), 2),
+            change(users.where("id % 10 = 1"), "DELETE", segment, 0.5),
+        ],
+    ]
+    for k, parts in enumerate(batches):
+        for i, part in enumerate(parts):
+            send(part, w.topics, f"fill{i}", k)
+        _run(s, w, "ods_canal", "dim_user_info")
+    found = read_latest(spark, w.table("user_info"), schemas.USER_INFO_ENRICHED, ["id"])
+    return found.select("id", "user_level")
+
+
+def returning_device_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Events of devices not seen for a while, in three batches by time."""
+    s, w = _warehouse(spark, "returning")
+    events = Tables(s, folder).read("events").select(
+        F.col("user_id").cast("string").alias("key"),
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("ts"),
+        "event_id",
     )
+    low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    width = ((high or 0) - (low or 0)) // 3 + 1
+    for k in range(3):
+        part = events.where(F.floor((F.col("ts") - (low or 0)) / width) == k)
+        send(topic_rows(part.drop("event_id"), jobs.START_TOPIC), w.topics, "fill", k)
+        log = w.records(s, jobs.START_TOPIC, "key STRING, ts BIGINT", jobs.ARRIVAL)
+        rows = log.withColumns({"at": F.col("ts"), "mid": F.col("key"), "dt": times.day(times.from_epoch_ms(F.col("ts")))})
+        jobs.first_seen(s, w, "returning", rows, RETURN_MS, ["ts"], ["dt"]).awaitTermination()
+    found = read_versions(spark, w.table("returning"), "mid STRING, ts BIGINT, dt STRING")
+    return found.select(F.col("mid").cast("bigint").alias("mid"), "ts", "dt")
 
 
 def order_detail_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -177,6 +288,10 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_fact_stream": order_fact_stream,
     "order_detail_stream": order_detail_stream,
     "order_wide_stream": order_wide_stream,
+    "order_amount_stream": order_amount_stream,
     "trademark_amount_stream": trademark_amount_stream,
     "spu_amount_stream": spu_amount_stream,
+    "order_wide_unmatched_stream": order_wide_unmatched_stream,
+    "dim_delete_stream": dim_delete_stream,
+    "returning_device_stream": returning_device_stream,
 }

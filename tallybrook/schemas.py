@@ -60,8 +60,19 @@ SPU_AMOUNT = (
     f"spu_id BIGINT, spu_name STRING, create_time TIMESTAMP_NTZ, final_detail_amount {MONEY}"
 )
 TRADEMARK_AMOUNT = f"tm_id BIGINT, tm_name STRING, final_detail_amount {MONEY}"
+# Running totals of the marts; ``key`` names the group.
+SPU_TOTAL = (
+    "key STRING, spu_id BIGINT, spu_name STRING, stat_time TIMESTAMP_NTZ, amount DECIMAL(28,2)"
+)
+TRADEMARK_TOTAL = (
+    "key STRING, tm_id BIGINT, tm_name STRING, stat_time STRING, amount DECIMAL(28,2)"
+)
 
+# When a key was seen last, in epoch ms.
+SEEN = "key STRING, last BIGINT"
 USER_STATE = "user_id BIGINT, if_consumed STRING"
+# What the lines of an order so far amount to, and when the last of them came.
+ORDER_SUMS = "order_id BIGINT, lines BIGINT, cents BIGINT, given BIGINT, at BIGINT"
 
 BASE_PROVINCE = "id BIGINT, name STRING, region_id STRING, area_code STRING"
 BASE_CATEGORY3 = "id BIGINT, name STRING, category2_id STRING"

@@ -2,18 +2,39 @@
 
 from __future__ import annotations
 
+import uuid
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybrook.sources import manifests
+
 
-def write_result(rows: DataFrame, path: str, query_id: str, batch_id: int) -> None:
-    """Write one batch of results under its query and batch, replacing an earlier try."""
-    rows.write.mode("overwrite").parquet(f"{path}/query_id={query_id}/batch_id={batch_id}")
+def write_result(
+    rows: DataFrame, path: str, query_id: str, batch_id: int, commit: str | None = None
+) -> None:
+    """Write one batch of results under its query and batch, replacing an earlier try.
+
+    Rows go to a fresh folder, which a manifest then names in one step: readers see the earlier
+    try or this one, whole. With ``commit`` that step is the commit of the whole batch.
+    """
+    own = quote(query_id, safe="")
+    name = f"data/query_id={own}/batch_id={batch_id}/try={uuid.uuid4().hex}"
+    rows.write.parquet(f"{path}/{name}")
+    manifest = {"name": name, "commit": commit}
+    log = f"{path}/_log/{own}/{batch_id:020d}.json"
+    manifests.put(rows.sparkSession, log, manifest, replace=True)
 
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
     """Result rows of all queries and batches, with ``query_id`` and ``batch_id``."""
-    return spark.read.parquet(path).withColumn("query_id", F.col("query_id").cast("string"))
+    found = [manifests.read(spark, s) for s in manifests.listed(spark, f"{path}/_log/*/*.json")]
+    live = [f"{path}/{m['name']}" for m in found if manifests.counts(spark, m)]
+    if not live:
+        raise ValueError(f"no results in {path}")
+    rows = spark.read.option("basePath", f"{path}/data").parquet(*live).drop("try")
+    return rows.withColumn("query_id", F.col("query_id").cast("string"))
 
 
 def swap_statements(table: str, staging: str, columns: list[str]) -> list[str]:

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+from tallybrook.sources.manifests import Commit
+
 _LOG_SCHEMA = "key STRING, value STRING, timestamp TIMESTAMP, offset BIGINT"
 
 
@@ -110,19 +112,28 @@ def read_topic_log(spark: SparkSession, store: TopicStore, topic: str | None = N
     return reader.parquet(store.path(topic)).withColumn("topic", F.lit(topic)).select(*cols)
 
 
-def send(rows: DataFrame, store: TopicStore, writer: str, batch_id: int) -> None:
+def send(
+    rows: DataFrame, store: TopicStore, writer: str, batch_id: int, commit: Commit | None = None
+) -> None:
     """Write ``topic, key, value`` rows, each to the topic it names.
 
     Rows without a key are spread by the sink. In a file log the files of one
     ``writer`` and ``batch_id`` replace those of an earlier attempt at that batch. Messages
     of a key are ordered by ``timestamp`` and ``offset``: those of the rows if they have them,
     as messages passed on do, else the time of sending and the place among the rows.
+
+    With ``commit`` the messages of a file log appear when that is finished; Kafka has them at
+    once, and again if the batch is tried again.
     """
     if store.backend == "kafka":
         rows.select("topic", "key", "value").write.format("kafka").options(
             **store.options
         ).save()
         return
+    if commit is not None:
+        plain = rows.select("topic", "key", "value", *_position(rows))
+        commit.stage(plain, ["topic"], store.location, f"writer={writer}/batch_id={batch_id}")
+        return
     stamped = rows.select(
         "topic",
         "key",

@@ -16,22 +16,25 @@ from pyspark.sql.streaming.query import StreamingQuery
 from tallybrook import schemas
 from tallybrook.functions import times
 from tallybrook.operators.activity import VISIT_KEY, visits
+from tallybrook.operators.allocation import allocate_batch
 from tallybrook.operators.cdc import DEAD_LETTER_TOPIC, route_canal, route_maxwell
-from tallybrook.operators.lookup import (
-    add_province,
-    add_sku,
-    add_user,
-    enrich_sku,
-    rows_for_keys,
-)
-from tallybrook.operators.marts import spu_amounts, trademark_amounts
+from tallybrook.operators.known import first_touches
+from tallybrook.operators.lookup import add_province, add_sku, add_user, enrich_sku
+from tallybrook.operators.marts import SPU_MART, TRADEMARK_MART, Mart, spu_amounts, trademark_amounts
 from tallybrook.operators.orders import add_date_parts, consumed_users, flag_first_orders
-from tallybrook.operators.records import topic_rows
+from tallybrook.operators.records import parse_json, topic_rows
 from tallybrook.operators.users import label_users
 from tallybrook.operators.wide import merge_wide
-from tallybrook.sources.tables import read_latest, upsert
+from tallybrook.sources.tables import (
+    AT,
+    DELETED,
+    compact_parts,
+    read_for_keys,
+    read_latest,
+    read_versions,
+    upsert,
+)
 from tallybrook.sources.topics import send, send_stream
-from tallybrook.streaming.state import SPLIT_TTL_MS, allocate_stream
 from tallybrook.streaming.warehouse import Warehouse, newest
 
 CANAL_TOPIC = "ODS_DB_CANAL"
@@ -40,11 +43,14 @@ START_TOPIC = "START_LOG"
 ORDER_TOPIC = "DW_ORDER_INFO"
 DETAIL_TOPIC = "DW_ORDER_DETAIL"
 WIDE_TOPIC = "DWS_ORDER_DETAIL_WIDE"
+UNMATCHED_TOPIC = "DWS_UNMATCHED"
 
 JOIN_REACH = "15 seconds"
 # How far one side of a join may lag behind the other before its rows are dropped.
 LAG = "6 hours"
-VISIT_TTL = "7 days"
+VISIT_TTL_MS = 7 * 86_400_000
+# How long after an order's last line its sums are known to later ones.
+SPLIT_TTL_MS = 600_000
 
 # What orders messages of a key; kept when they are passed on.
 ARRIVAL = ["timestamp", "offset"]
@@ -55,19 +61,31 @@ KEY_FIELDS = {"base_trademark": "tm_id"}
 # Change capture ------------------------------------------------------------
 
 
-def ods_canal(spark: SparkSession, w: Warehouse, topic: str = CANAL_TOPIC) -> StreamingQuery:
+def ods_canal(
+    spark: SparkSession, w: Warehouse, topic: str = CANAL_TOPIC, tombstones: bool = True
+) -> StreamingQuery:
+    """Route array envelopes; rows of deletes become tombstones, or pass like any other row."""
     routed = route_canal(
-        w.messages(spark, topic), keep=ARRIVAL, key_fields=KEY_FIELDS, dead_letter=DEAD_LETTER_TOPIC
+        w.messages(spark, topic),
+        keep=ARRIVAL,
+        key_fields=KEY_FIELDS,
+        dead_letter=DEAD_LETTER_TOPIC,
+        tombstones=tombstones,
     )
     number = w.numbers(spark, "ods_canal")
     return w.start(send_stream(routed, w.topics, "ods_canal", number), "ods_canal")
 
 
 def ods_maxwell(
-    spark: SparkSession, w: Warehouse, topic: str = MAXWELL_TOPIC
+    spark: SparkSession, w: Warehouse, topic: str = MAXWELL_TOPIC, tombstones: bool = False
 ) -> StreamingQuery:
+    """Route object envelopes; deletes become tombstones, or go nowhere."""
     routed = route_maxwell(
-        w.messages(spark, topic), keep=ARRIVAL, key_fields=KEY_FIELDS, dead_letter=DEAD_LETTER_TOPIC
+        w.messages(spark, topic),
+        keep=ARRIVAL,
+        key_fields=KEY_FIELDS,
+        dead_letter=DEAD_LETTER_TOPIC,
+        tombstones=tombstones,
     ).drop("type")
     number = w.numbers(spark, "ods_maxwell")
     return w.start(send_stream(routed, w.topics, "ods_maxwell", number), "ods_maxwell")
@@ -80,7 +98,9 @@ def ods_maxwell(
 class Dimension:
     """A dimension fed by a topic.
 
-    ``columns`` names the record's columns by position as the table has them.
+    ``columns`` names the record's columns by position as the table has them. A dimension
+    that grows with the business is kept in buckets by id (``large``), of which facts read
+    only those they need.
     """
 
     name: str
@@ -88,6 +108,7 @@ class Dimension:
     schema: str
     columns: list[str] | None = None
     prepare: Callable[[SparkSession, Warehouse, DataFrame], DataFrame] | None = None
+    large: bool = False
 
 
 def _sku_names(spark: SparkSession, w: Warehouse, rows: DataFrame) -> DataFrame:
@@ -111,30 +132,40 @@ DIMENSIONS = {
             columns=["id", "tm_name"],
         ),
         Dimension("spu_info", "ODS_T_SPU_INFO", schemas.SPU_INFO),
-        Dimension("sku_info", "ODS_T_SKU_INFO", schemas.SKU_INFO, prepare=_sku_names),
+        Dimension("sku_info", "ODS_T_SKU_INFO", schemas.SKU_INFO, prepare=_sku_names, large=True),
         Dimension(
             "user_info",
             "ODS_T_USER_INFO",
             schemas.USER_INFO,
             prepare=lambda _spark, _w, rows: label_users(rows),
+            large=True,
         ),
     )
 }
 
 
 def dimension(spark: SparkSession, w: Warehouse, dim: Dimension) -> StreamingQuery:
-    """Upsert a dimension's records by id."""
-    rows = w.records(spark, dim.topic, dim.schema, keep=["timestamp", "offset"])
-    names = [c for c in rows.columns if c not in ("timestamp", "offset")]
-    key = names[0]
+    """Upsert a dimension's records by id; a message without a value deletes its key's row.
+
+    Of several versions of a row the one whose message is youngest counts, in whatever batch
+    it comes.
+    """
+    marked = w.messages(spark, dim.topic).withColumn(DELETED, F.col("value").isNull())
+    kept = [*ARRIVAL, "key", DELETED]
+    rows = parse_json(marked, dim.schema, keep=kept)
+    names = [c for c in rows.columns if c not in kept]
+    key, kind = names[0], dict(rows.dtypes)[names[0]]
     number = w.numbers(spark, f"dim_{dim.name}")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        last = newest(batch.where(F.col(key).isNotNull()), [key])
-        named = last.toDF(*(dim.columns or names))
+        own = F.when(F.col(DELETED), F.col("key").try_cast(kind)).otherwise(F.col(key))
+        known = batch.withColumns({key: own, AT: F.unix_millis("timestamp")}).drop("key")
+        last = newest(known.where(F.col(key).isNotNull()), [key])
+        named = last.select(*names, DELETED, AT).toDF(*(dim.columns or names), DELETED, AT)
         if dim.prepare is not None:
             named = dim.prepare(batch.sparkSession, w, named)
-        upsert(named, w.table(dim.name), number(batch_id))
+        keys = ["id"] if dim.large else None
+        upsert(named, w.table(dim.name), number(batch_id), keys=keys)
 
     return w.start(rows.writeStream.foreachBatch(write), f"dim_{dim.name}")
 
@@ -147,41 +178,41 @@ def dw_order(
 ) -> StreamingQuery:
     """Flag first orders, add province and user, send on, and record user state.
 
-    Who has ordered before is read from the user-state table as it was before the batch,
-    so it outlives checkpoints and a batch tried again flags the same. ``known``
-    (``user_id, if_consumed``) adds users that the table does not have.
+    Who has ordered before is read from the user-state table as it was before the batch, in
+    the buckets of the batch's users, so it outlives checkpoints and a batch tried again flags
+    the same. ``known`` (``user_id, if_consumed``) adds users that the table does not have.
+    Messages and user state appear together.
     """
     parsed = w.records(spark, "ODS_T_ORDER_INFO", schemas.ORDER_INFO)
     orders = add_date_parts(parsed.where(F.col("id").isNotNull()))
     number = w.numbers(spark, "dw_order")
 
     def write(arrived: DataFrame, batch_id: int) -> None:
-        session = arrived.sparkSession
-        table = read_latest(
-            session,
-            w.table("user_state"),
-            schemas.USER_STATE,
-            ["user_id"],
-            before_batch=number(batch_id),
-        )
-        state = rows_for_keys(table, "user_id", arrived, "user_id")
-        if known is not None:
-            state = state.unionByName(known)
-        batch = flag_first_orders(arrived, state)
-        batch.persist()
+        session, n = arrived.sparkSession, number(batch_id)
+        commit = w.commit(session, "dw_order", n)
+        if commit.done:
+            commit.publish()
+            return
+        arrived.persist()
         try:
-            if batch.isEmpty():
+            if arrived.isEmpty():
                 return
-            province = w.dimension(
-                batch.sparkSession, "base_province", schemas.BASE_PROVINCE
+            state = read_for_keys(
+                w.table("user_state"), schemas.USER_STATE, "user_id", arrived, "user_id", n
             )
-            users = w.dimension_for(batch, "user_id", "user_info", schemas.USER_INFO_ENRICHED)
+            if known is not None:
+                state = state.unionByName(known)
+            batch = flag_first_orders(arrived, state)
+            province = w.dimension(session, "base_province", schemas.BASE_PROVINCE)
+            users = w.dimension_for(arrived, "user_id", "user_info", schemas.USER_INFO_ENRICHED)
             rows = add_user(add_province(batch, province), users)
-            out = topic_rows(rows, ORDER_TOPIC, F.col("id"))
-            send(out, w.topics, "dw_order", number(batch_id))
-            upsert(consumed_users(batch), w.table("user_state"), number(batch_id))
+            send(topic_rows(rows, ORDER_TOPIC, F.col("id")), w.topics, "dw_order", n, commit)
+            upsert(
+                consumed_users(batch), w.table("user_state"), n, keys=["user_id"], commit=commit.path
+            )
+            commit.finish()
         finally:
-            batch.unpersist()
+            arrived.unpersist()
 
     return w.start(orders.writeStream.foreachBatch(write), "dw_order")
 
@@ -240,8 +271,10 @@ def dws_wide(
 ) -> StreamingQuery:
     """Join order and line topics, drop repeats, share out amounts, send on.
 
-    ``reach`` is how far apart the sides of a pair may arrive, ``lag`` how late a row may
-    be, and ``ttl_ms`` how long after that an order's shares are remembered.
+    ``reach`` is how far apart the sides of a pair may arrive, ``lag`` how late a row may be.
+    Lines of an order may come in several batches: what the earlier ones reached and were given
+    is read from a table, in the buckets of the batch's orders, unless the last of them is more
+    than ``ttl_ms`` older. Messages and sums appear together.
     """
     keep = ["timestamp"]
     wide = wide_stream(
@@ -250,52 +283,218 @@ def dws_wide(
         reach,
         lag,
     )
-    shared = allocate_stream(wide, at="order_at", ttl_ms=ttl_ms)
-    out = topic_rows(shared, WIDE_TOPIC)
     number = w.numbers(spark, "dws_wide")
-    return w.start(send_stream(out, w.topics, "dws_wide", number), "dws_wide")
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        session, n = batch.sparkSession, number(batch_id)
+        commit = w.commit(session, "dws_wide", n)
+        if commit.done:
+            commit.publish()
+            return
+        batch.persist()
+        try:
+            if batch.isEmpty():
+                return
+            times_of = batch.groupBy("order_id").agg(F.max(F.unix_millis("order_at")).alias("at"))
+            known = read_for_keys(
+                w.table("order_sums"), schemas.ORDER_SUMS, "order_id", batch, "order_id", n
+            )
+            now = times_of.withColumnsRenamed({"order_id": "_order", "at": "_at"})
+            fresh = known.join(now, F.col("order_id") == F.col("_order")).where(
+                F.col("_at") <= F.col("at") + ttl_ms
+            )
+            shared, sums = allocate_batch(batch.drop("order_at"), fresh.drop("_order", "_at"))
+            send(topic_rows(shared, WIDE_TOPIC), w.topics, "dws_wide", n, commit)
+            upsert(
+                sums.join(times_of, "order_id"), w.table("order_sums"), n, keys=["order_id"],
+                commit=commit.path,
+            )
+            commit.finish()
+        finally:
+            batch.unpersist()
 
-# Marts ---------------------------------------------------------------------
+    return w.start(wide.writeStream.foreachBatch(write), "dws_wide")
 
 
-def ads_spu(spark: SparkSession, w: Warehouse) -> StreamingQuery:
-    rows = w.records(spark, WIDE_TOPIC, schemas.SPU_AMOUNT)
-    number = w.numbers(spark, "ads_spu")
+def dws_unmatched(
+    spark: SparkSession, w: Warehouse, reach: str = JOIN_REACH, lag: str = LAG
+) -> StreamingQuery:
+    """Orders and lines that ``dws_wide`` drops because the other side never came.
+
+    Once both topics are ``lag`` past a row, one that met nobody within ``reach`` goes to the
+    topic ``DWS_UNMATCHED`` with the reason. The state holds ids and times only.
+    """
+    orders = w.records(spark, ORDER_TOPIC, "id BIGINT", ["timestamp"]).where("id IS NOT NULL")
+    lines = w.records(spark, DETAIL_TOPIC, "id BIGINT, order_id BIGINT", ["timestamp"])
+    near = F.expr(
+        f"line_at BETWEEN order_at - INTERVAL {reach} AND order_at + INTERVAL {reach}"
+    )
+    both = merge_wide(
+        orders.withWatermark("timestamp", lag),
+        lines.where("order_id IS NOT NULL").withWatermark("timestamp", lag),
+        order_extra={"order_at": F.col("timestamp")},
+        detail_extra={"line_at": F.col("timestamp"), "of_order": F.col("order_id")},
+        condition=near,
+        how="full_outer",
+    )
+    number = w.numbers(spark, "dws_unmatched")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        w.save_result(spu_amounts(batch), "spu_amount", "ads_spu", number(batch_id))
+        lonely = batch.where(F.col("order_id").isNull() | F.col("of_order").isNull())
+        rows = lonely.select(
+            F.coalesce("order_id", "of_order").alias("order_id"),
+            "order_detail_id",
+            F.when(F.col("of_order").isNull(), "no lines").otherwise("no order").alias("reason"),
+            F.coalesce("order_at", "line_at").alias("arrived"),
+        ).dropDuplicates(["order_id", "order_detail_id"])
+        out = topic_rows(rows, UNMATCHED_TOPIC, F.col("order_id"))
+        send(out, w.topics, "dws_unmatched", number(batch_id))
+
+    return w.start(both.writeStream.foreachBatch(write), "dws_unmatched")
+
 
-    return w.start(rows.writeStream.foreachBatch(write), "ads_spu")
+def compact_tables(
+    spark: SparkSession,
+    w: Warehouse,
+    most: int = 64,
+    split_ttl_ms: int = SPLIT_TTL_MS,
+    visit_ttl_ms: int = VISIT_TTL_MS,
+) -> dict[str, list[str]]:
+    """Rewrite the parts of the jobs' tables that lie in more than ``most`` folders.
+
+    May run beside the jobs. Sums of orders whose last line is ``split_ttl_ms`` behind the
+    newest one are dropped, and so are devices last seen ``visit_ttl_ms`` before the newest
+    visit. Returns the parts rewritten of each table.
+    """
+    done = {}
+    lives = {"order_sums": ("at", split_ttl_ms), "dau_seen": ("last", visit_ttl_ms)}
+    for name, schema, key in (
+        ("user_info", schemas.USER_INFO_ENRICHED, "id"),
+        ("sku_info", schemas.SKU_INFO_ENRICHED, "id"),
+        ("user_state", schemas.USER_STATE, "user_id"),
+        ("order_sums", schemas.ORDER_SUMS, "order_id"),
+        ("dau_seen", schemas.SEEN, "key"),
+        ("spu_total", SPU_MART.schema, "key"),
+        ("trademark_total", TRADEMARK_MART.schema, "key"),
+    ):
+        keep = None
+        if name in lives:
+            at, ttl_ms = lives[name]
+            newest_at = read_versions(spark, w.table(name), schema).agg(F.max(at)).first()[0]
+            keep = F.col(at) >= (newest_at or 0) - ttl_ms
+        done[name] = compact_parts(spark, w.table(name), schema, [key], most=most, keep=keep)
+    return done
+
+
+# Marts ---------------------------------------------------------------------
+
+
+def ads_spu(spark: SparkSession, w: Warehouse) -> StreamingQuery:
+    rows = w.records(spark, WIDE_TOPIC, schemas.SPU_AMOUNT)
+    return _mart(spark, w, "spu", rows, spu_amounts, SPU_MART)
 
 
 def ads_trademark(spark: SparkSession, w: Warehouse) -> StreamingQuery:
+    def sums(batch: DataFrame) -> DataFrame:
+        return trademark_amounts(batch, times.statement_time(F.current_timestamp()))
+
     rows = w.records(spark, WIDE_TOPIC, schemas.TRADEMARK_AMOUNT)
-    number = w.numbers(spark, "ads_trademark")
+    return _mart(spark, w, "trademark", rows, sums, TRADEMARK_MART)
+
+
+def _mart(
+    spark: SparkSession,
+    w: Warehouse,
+    name: str,
+    rows: DataFrame,
+    sums: Callable[[DataFrame], DataFrame],
+    mart: Mart,
+) -> StreamingQuery:
+    """Sums of every batch as results, and added to the running totals of their groups.
+
+    Totals are one row per group in the table ``<name>_total``. A batch reads those of its own
+    groups as they were before it, so one that is tried again adds nothing twice. Results and
+    totals appear together, unless results go to a sink of their own.
+    """
+    number = w.numbers(spark, f"ads_{name}")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        sums = trademark_amounts(batch, times.statement_time(F.current_timestamp()))
-        w.save_result(sums, "trademark_amount", "ads_trademark", number(batch_id))
+        session, n = batch.sparkSession, number(batch_id)
+        commit = w.commit(session, f"ads_{name}", n)
+        if commit.done:
+            return
+        partial = sums(batch).persist()
+        try:
+            w.save_result(partial, f"{name}_amount", f"ads_{name}", n, commit.path)
+            keyed = mart.keyed(partial)
+            before = read_for_keys(w.table(f"{name}_total"), mart.schema, "key", keyed, "key", n)
+            upsert(mart.merged(before, keyed), w.table(f"{name}_total"), n, keys=["key"], commit=commit.path)
+            commit.finish()
+        finally:
+            partial.unpersist()
+
+    return w.start(rows.writeStream.foreachBatch(write), f"ads_{name}")
 
-    return w.start(rows.writeStream.foreachBatch(write), "ads_trademark")
+
+def read_totals(spark: SparkSession, w: Warehouse, name: str) -> DataFrame:
+    """The running totals of ``spu`` or ``trademark``: one row per group."""
+    mart = {"spu": SPU_MART, "trademark": TRADEMARK_MART}[name]
+    return read_latest(spark, w.table(f"{name}_total"), mart.schema, ["key"]).drop("key")
 
 
 # Activity ------------------------------------------------------------------
 
 
 def dau(
-    spark: SparkSession, w: Warehouse, topic: str = START_TOPIC, ttl: str = VISIT_TTL
+    spark: SparkSession, w: Warehouse, topic: str = START_TOPIC, ttl_ms: int = VISIT_TTL_MS
+) -> StreamingQuery:
+    """The first arrived visit of each device and day, upserted by day of the visit.
+
+    A device and day is known for ``ttl_ms`` after each of its visits arrived.
+    """
+    logs = w.records(spark, topic, schemas.START_LOG, keep=ARRIVAL)
+    rows = visits(logs, keep=ARRIVAL).where(F.col("mid").isNotNull())
+    keyed = rows.withColumns(
+        {"key": F.concat_ws("|", *VISIT_KEY), "at": F.unix_millis("timestamp")}
+    )
+    return first_seen(spark, w, "dau", keyed, ttl_ms, ["offset", "ts"], ["dt"])
+
+
+def first_seen(
+    spark: SparkSession,
+    w: Warehouse,
+    name: str,
+    rows: DataFrame,
+    ttl_ms: int,
+    order_by: list[str],
+    partition_by: list[str],
 ) -> StreamingQuery:
-    """The first arrived visit of each device and day, upserted by day of the visit."""
-    logs = w.records(spark, topic, schemas.START_LOG, keep=["timestamp"])
-    rows = visits(logs, keep=["timestamp"]).where(F.col("mid").isNotNull())
-    first = rows.withWatermark("timestamp", ttl).dropDuplicatesWithinWatermark(VISIT_KEY)
-    number = w.numbers(spark, "dau")
+    """Keep the rows whose ``key`` is not known at ``at`` (ms) in the table ``name``.
+
+    Which keys are known is read from the table ``<name>_seen``, in the buckets of the batch's
+    keys, and renewed there by every row. Both tables change together.
+    """
+    number = w.numbers(spark, name)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert(batch.drop("timestamp"), w.table("dau"), number(batch_id), partition_by=["dt"])
+        session, n = batch.sparkSession, number(batch_id)
+        commit = w.commit(session, name, n)
+        if commit.done:
+            return
+        batch.persist()
+        try:
+            if batch.isEmpty():
+                return
+            known = read_for_keys(w.table(f"{name}_seen"), schemas.SEEN, "key", batch, "key", n)
+            new, after = first_touches(batch, "key", "at", ttl_ms, known, order_by)
+            kept = new.drop("key", "at", *ARRIVAL)
+            upsert(kept, w.table(name), n, partition_by=partition_by, commit=commit.path)
+            upsert(after, w.table(f"{name}_seen"), n, keys=["key"], commit=commit.path)
+            commit.finish()
+        finally:
+            batch.unpersist()
 
-    return w.start(first.writeStream.foreachBatch(write), "dau")
+    return w.start(rows.writeStream.foreachBatch(write), name)
 
 
 JOBS: dict[str, Callable[[SparkSession, Warehouse], StreamingQuery]] = {
@@ -308,6 +507,7 @@ JOBS: dict[str, Callable[[SparkSession, Warehouse], StreamingQuery]] = {
     "dw_order": dw_order,
     "dw_detail": dw_detail,
     "dws_wide": dws_wide,
+    "dws_unmatched": dws_unmatched,
     "ads_spu": ads_spu,
     "ads_trademark": ads_trademark,
     "dau": dau,

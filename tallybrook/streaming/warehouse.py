@@ -10,10 +10,10 @@ from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from tallybrook.operators.keyed import latest_by_key
-from tallybrook.operators.lookup import rows_for_keys
 from tallybrook.operators.records import parse_json
+from tallybrook.sources.manifests import Commit
 from tallybrook.sources.results import write_result
-from tallybrook.sources.tables import BATCH, read_latest, read_versions
+from tallybrook.sources.tables import read_for_keys, read_latest
 from tallybrook.sources.topics import TopicStore, read_topic
 
 # rows, query id, batch id
@@ -66,19 +66,20 @@ class Warehouse:
     def dimension_for(
         self, facts: DataFrame, fact_key: str, name: str, schema: str
     ) -> DataFrame:
-        """The rows of a large dimension that a batch of facts refers to.
+        """The rows of a large dimension that a batch of facts refers to, from their buckets."""
+        return read_for_keys(self.table(name), schema, "id", facts, fact_key)
 
-        Versions of other keys are dropped before versions are compared.
-        """
-        versions = read_versions(facts.sparkSession, self.table(name), schema)
-        wanted = rows_for_keys(versions, "id", facts, fact_key)
-        return latest_by_key(wanted, ["id"], [BATCH]).drop(BATCH)
+    def commit(self, spark: SparkSession, name: str, number: int) -> Commit:
+        """What makes all that the job ``name`` writes in a batch visible together."""
+        return Commit(spark, f"{self.table('_commits')}/{name}/{number:020d}.json")
 
-    def save_result(self, rows: DataFrame, name: str, query_id: str, batch_id: int) -> None:
+    def save_result(
+        self, rows: DataFrame, name: str, query_id: str, batch_id: int, commit: str | None = None
+    ) -> None:
         if self.results is not None:
             self.results(rows, query_id, batch_id)
         else:
-            write_result(rows, self.table(name), query_id, batch_id)
+            write_result(rows, self.table(name), query_id, batch_id, commit)
 
     def start(self, writer: DataStreamWriter, name: str) -> StreamingQuery:
         return (

@@ -2,24 +2,20 @@
 
 import dataclasses
 import json
-import os
-import subprocess
-import sys
 from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
-from pyspark import cloudpickle
 
 from tallybrook import schemas
 from tallybrook.operators.cdc import DEAD_LETTER_TOPIC
 from tallybrook.operators.records import parse_json
 from tallybrook.session import streaming_session
+from tallybrook.sources.manifests import Commit
 from tallybrook.sources.results import read_results, write_result
 from tallybrook.sources.tables import read_latest, read_versions
 from tallybrook.sources.topics import TopicStore, read_topic, read_topic_log, send, to_console
 from tallybrook.streaming import jobs
-from tallybrook.streaming.state import ShareOrder, share_of
 from tallybrook.streaming.warehouse import Warehouse
 
 WAIT = 100
@@ -254,26 +250,65 @@ def test_canal_job_and_console(spark, tmp_path, capfd):
     assert query.awaitTermination(WAIT)
 
 
-def test_share_of():
-    assert share_of(1, 3, 100, 0, 0) == 33
-    assert share_of(1, 3, 100, 2, 66) == 34
-    assert share_of(0, 0, 50, 0, 0) == 50
-    assert share_of(5, 0, 50, 0, 0) is None
+def test_every_job_is_named():
+    assert len(jobs.JOBS) == 15
 
 
-def test_every_job_is_named():
-    assert len(jobs.JOBS) == 14
-
-
-def test_processors_need_no_package_on_executors(tmp_path):
-    for processor in (ShareOrder(5),):
-        load = "import pickle, sys; print(pickle.load(sys.stdin.buffer).__class__.__name__)"
-        env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
-        out = subprocess.run(
-            [sys.executable, "-c", load],
-            input=cloudpickle.dumps(processor),
-            capture_output=True,
-            cwd=tmp_path,
-            env=env,
-        )
-        assert out.stdout.decode().strip() == type(processor).__name__, out.stderr.decode()
+@pytest.mark.parametrize("when", ["before", "after"])
+def test_a_job_lost_at_its_commit(spark, tmp_path, monkeypatch, when):
+    """Lost before the commit: neither messages nor state. After it: both, at the next start."""
+    world = World(spark, tmp_path)
+    world.send("ODS_T_ORDER_INFO", {"id": 1, "user_id": 5, "create_time": "2020-05-12 10:00:00"})
+    step = {"before": "finish", "after": "publish"}[when]
+
+    def lost(self):
+        raise RuntimeError("lost")
+
+    def seen():
+        sent = world.log(jobs.ORDER_TOPIC, schemas.ORDER_INFO_ENRICHED)
+        state = read_latest(world.spark, world.w.table("user_state"), schemas.USER_STATE, ["user_id"])
+        return [r.if_first_order for r in sent.collect()], [r.user_id for r in state.collect()]
+
+    read_topic(world.spark, world.w.topics, jobs.ORDER_TOPIC)  # makes its folder
+    with monkeypatch.context() as m:
+        m.setattr(Commit, step, lost)
+        with pytest.raises(Exception, match="lost"):
+            world.run("dw_order")
+    assert seen() == (([], []) if when == "before" else ([], [5]))
+    world.run("dw_order")
+    assert seen() == (["1"], [5])
+    world.run("dw_order")
+    assert seen() == (["1"], [5])
+
+
+def test_compaction_beside_the_jobs(spark, tmp_path):
+    world = World(spark, tmp_path)
+    for i in range(4):
+        world.send("ODS_T_ORDER_INFO", {"id": i, "user_id": i % 2, "create_time": "2020-05-12 10:00:00"})
+        world.run("dw_order")
+        if i == 2:
+            assert jobs.compact_tables(world.spark, world.w, most=0)["user_state"]
+    facts = world.log(jobs.ORDER_TOPIC, schemas.ORDER_INFO_ENRICHED).collect()
+    assert {r.id: r.if_first_order for r in facts} == {0: "1", 1: "1", 2: "0", 3: "0"}
+
+
+def test_sums_of_old_orders_are_forgotten(spark, tmp_path):
+    """Later lines share as if they were the first ones once the sums are too old."""
+    world = World(spark, tmp_path)
+    order = {"id": 1, "user_id": 5, "original_total_amount": 30, "final_total_amount": 100}
+
+    def deliver(i, when):
+        at = datetime(2020, 5, 12) + timedelta(seconds=when)
+        line = {"id": i, "order_id": 1, "sku_id": 1, "order_price": 10, "sku_num": 1}
+        for topic, record in ((jobs.ORDER_TOPIC, order), (jobs.DETAIL_TOPIC, line)):
+            row = (topic, "1", json.dumps(record), at)
+            df = world.spark.createDataFrame([row], "topic STRING, key STRING, value STRING, timestamp TIMESTAMP")
+            send(df, world.w.topics, "test", world.sent)
+            world.sent += 1
+        world.run(jobs.dws_wide, ttl_ms=100_000)
+
+    for i, when in ((1, 0), (2, 50), (3, 140), (4, 400)):
+        deliver(i, when)
+    rows = world.log(jobs.WIDE_TOPIC, schemas.ORDER_WIDE).collect()
+    got = {r.order_detail_id: str(r.final_detail_amount) for r in rows}
+    assert got == {1: "33.33", 2: "33.33", 3: "33.34", 4: "33.33"}
