@@ -246,6 +246,7 @@ WHERE list_has_any(
 ORDER BY n_chars, doc_id LIMIT 10
 """,
 }
+BATCH_ORACLE["match_search_index"] = BATCH_ORACLE["match_search"]
 
 STREAM_ORACLE: dict[str, str] = {
     "dau_stream": """
@@ -301,5 +302,11 @@ FROM customer WHERE c_custkey % 5 <> 0 OR c_custkey % 10 = 0
 WITH e AS (SELECT user_id, event_id, ts AS t, epoch_us(ts) // 1000 AS ms FROM events)
 SELECT DISTINCT user_id AS mid, ms AS ts, strftime(t, '%Y-%m-%d') AS dt FROM e
 QUALIFY coalesce(ms - lag(ms) OVER (PARTITION BY user_id ORDER BY ms, event_id), 1e15) > 259200000
+""",
+    "amount_window_stream": """
+WITH e AS (SELECT length(event_type) AS tm_id, CAST(value AS DECIMAL(18,2)) AS amount,
+                  epoch_us(ts) // 1000 AS ms FROM events WHERE event_id % 10 <> 0),
+each AS (SELECT *, ms - ms % 7200000 + 7200000 * k AS ending FROM e, (VALUES (1), (2), (3)) AS o(k))
+SELECT ending, tm_id, CAST(sum(amount) AS DOUBLE) AS amount, count(*) AS n FROM each GROUP BY ending, tm_id
 """,
 }

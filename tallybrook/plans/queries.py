@@ -22,6 +22,7 @@ from tallybrook.operators.orders import add_date_parts, consumed_users, flag_fir
 from tallybrook.operators.records import parse_json, topic_rows
 from tallybrook.operators.search import match_search
 from tallybrook.operators.skew import by_heat
+from tallybrook.operators.text_index import build_index, search_index
 from tallybrook.operators.wide import merge_wide
 from tallybrook.operators.window_join import sliding_window_join
 from tallybrook.plans.tables import (
@@ -452,6 +453,14 @@ def match_search_query(spark: SparkSession, folder: str) -> DataFrame:
     return hits.select("doc_id", "n_chars")
 
 
+def match_search_index(spark: SparkSession, folder: str) -> DataFrame:
+    """The same search through an index of the documents."""
+    docs = Tables(spark, folder).read("documents").select("doc_id", "n_chars", "text")
+    path = work_path(spark, "index")
+    build_index(docs, "text", ["n_chars", "doc_id"], path)
+    return search_index(spark, path, SEARCH).select("doc_id", "n_chars")
+
+
 BATCH_QUERIES: dict[str, Query] = {
     "json_parse": json_parse,
     "cdc_canal_route": cdc_canal_route,
@@ -478,4 +487,5 @@ BATCH_QUERIES: dict[str, Query] = {
     "idempotent_sink": idempotent_sink,
     "sliding_window_join": sliding_window_join_query,
     "match_search": match_search_query,
+    "match_search_index": match_search_index,
 }

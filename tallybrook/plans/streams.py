@@ -15,9 +15,11 @@ from tallybrook import schemas
 from tallybrook.functions import times
 from tallybrook.functions.money import from_cents
 from tallybrook.operators.records import parse_json, topic_rows
+from tallybrook.operators.windows import Windows
 from tallybrook.plans import queries as batch
 from tallybrook.plans.tables import MOST_LINES, Tables
 from tallybrook.session import streaming_session, work_path
+from tallybrook.sources.results import read_results
 from tallybrook.sources.tables import read_latest, read_versions
 from tallybrook.sources.topics import TopicStore, read_topic_log, send
 from tallybrook.streaming import jobs
@@ -25,6 +27,7 @@ from tallybrook.streaming.warehouse import Warehouse
 
 # A device not seen for longer than this is a returning one.
 RETURN_MS = 3 * 86_400_000
+_HOUR = 3_600_000
 
 
 def _warehouse(spark: SparkSession, name: str) -> tuple[SparkSession, Warehouse]:
@@ -281,6 +284,32 @@ def order_detail_stream(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("order_id", "sku_id", "sku_num", *batch.SKU_COLUMNS)
 
 
+def amount_window_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Values of events by the length of their type's name, in windows of six hours every two.
+
+    A tenth of the events comes after all windows are closed and is not counted.
+    """
+    s, w = _warehouse(spark, "windows")
+    events = Tables(s, folder).read("events").select(
+        F.length("event_type").cast("bigint").alias("tm_id"),
+        F.col("value").cast("decimal(18,2)").alias("final_detail_amount"),
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"),
+        (F.col("event_id") % 10 == 0).alias("late"),
+    )
+    newest = F.lit(events.agg(F.max("ms")).first()[0] or 0).cast("bigint")
+    after = s.range(1).select(
+        F.lit(-1).cast("bigint").alias("tm_id"),
+        F.lit(0).cast("decimal(18,2)").alias("final_detail_amount"),
+        (newest + 30 * _HOUR).alias("ms"),
+    )
+    parts = [events.where("NOT late").drop("late"), after, events.where("late").drop("late")]
+    for k, part in enumerate(parts):
+        send(topic_rows(part, jobs.WIDE_TOPIC), w.topics, "fill", k)
+        jobs.ads_windows(s, w, Windows(6 * _HOUR, 2 * _HOUR, _HOUR), at="ms").awaitTermination()
+    found = read_results(spark, w.table("window_amount"))
+    return found.select("ending", "tm_id", F.col("amount").cast("double").alias("amount"), "n")
+
+
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dau_stream": dau_stream,
     "cdc_stream": cdc_stream,
@@ -293,5 +322,6 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "spu_amount_stream": spu_amount_stream,
     "order_wide_unmatched_stream": order_wide_unmatched_stream,
     "dim_delete_stream": dim_delete_stream,
+    "amount_window_stream": amount_window_stream,
     "returning_device_stream": returning_device_stream,
 }

@@ -68,6 +68,10 @@ TRADEMARK_TOTAL = (
     "key STRING, tm_id BIGINT, tm_name STRING, stat_time STRING, amount DECIMAL(28,2)"
 )
 
+# Open windows, and how far a job's events have come.
+WINDOW_TOTAL = "ending BIGINT, group BIGINT, amount DECIMAL(28,2), n BIGINT, span BIGINT"
+PROGRESS = "name STRING, newest BIGINT"
+
 # When a key was seen last, in epoch ms.
 SEEN = "key STRING, last BIGINT"
 USER_STATE = "user_id BIGINT, if_consumed STRING"

@@ -25,6 +25,7 @@ from tallybrook.operators.orders import add_date_parts, consumed_users, flag_fir
 from tallybrook.operators.records import parse_json, topic_rows
 from tallybrook.operators.users import label_users
 from tallybrook.operators.wide import merge_wide
+from tallybrook.operators.windows import Windows
 from tallybrook.sources.tables import (
     AT,
     DELETED,
@@ -44,10 +45,12 @@ ORDER_TOPIC = "DW_ORDER_INFO"
 DETAIL_TOPIC = "DW_ORDER_DETAIL"
 WIDE_TOPIC = "DWS_ORDER_DETAIL_WIDE"
 UNMATCHED_TOPIC = "DWS_UNMATCHED"
+LATE_TOPIC = "ADS_LATE"
 
 JOIN_REACH = "15 seconds"
 # How far one side of a join may lag behind the other before its rows are dropped.
 LAG = "6 hours"
+WINDOWS = Windows(width=15_000, slide=5_000, lag=60_000)
 VISIT_TTL_MS = 7 * 86_400_000
 # How long after an order's last line its sums are known to later ones.
 SPLIT_TTL_MS = 600_000
@@ -359,15 +362,26 @@ def compact_tables(
     most: int = 64,
     split_ttl_ms: int = SPLIT_TTL_MS,
     visit_ttl_ms: int = VISIT_TTL_MS,
+    windows: Windows = WINDOWS,
 ) -> dict[str, list[str]]:
     """Rewrite the parts of the jobs' tables that lie in more than ``most`` folders.
 
     May run beside the jobs. Sums of orders whose last line is ``split_ttl_ms`` behind the
     newest one are dropped, and so are devices last seen ``visit_ttl_ms`` before the newest
-    visit. Returns the parts rewritten of each table.
+    visit, and closed windows. Returns the parts rewritten of each table.
     """
     done = {}
     lives = {"order_sums": ("at", split_ttl_ms), "dau_seen": ("last", visit_ttl_ms)}
+    come = read_latest(spark, w.table("ads_windows_progress"), schemas.PROGRESS, ["name"]).first()
+    if come is not None:
+        done["ads_windows_open"] = compact_parts(
+            spark,
+            w.table("ads_windows_open"),
+            schemas.WINDOW_TOTAL,
+            ["span", "ending", "group"],
+            most=most,
+            keep=F.col("ending") > come.newest - windows.lag,
+        )
     for name, schema, key in (
         ("user_info", schemas.USER_INFO_ENRICHED, "id"),
         ("sku_info", schemas.SKU_INFO_ENRICHED, "id"),
@@ -376,6 +390,7 @@ def compact_tables(
         ("dau_seen", schemas.SEEN, "key"),
         ("spu_total", SPU_MART.schema, "key"),
         ("trademark_total", TRADEMARK_MART.schema, "key"),
+        ("ads_windows_progress", schemas.PROGRESS, "name"),
     ):
         keep = None
         if name in lives:
@@ -442,6 +457,72 @@ def read_totals(spark: SparkSession, w: Warehouse, name: str) -> DataFrame:
     return read_latest(spark, w.table(f"{name}_total"), mart.schema, ["key"]).drop("key")
 
 
+def ads_windows(
+    spark: SparkSession, w: Warehouse, windows: Windows = WINDOWS, at: str | None = None
+) -> StreamingQuery:
+    """Amounts by trademark in sliding windows of event time, each written once, when it closes.
+
+    Sums of open windows lie in a table by span of time, of which a batch reads the spans that
+    its rows and the closing windows are in. Rows that come after all of their windows were
+    closed go to the topic ``ADS_LATE`` as they are. Event time is the message's, or the field
+    ``at`` (epoch ms) of the record. Everything a batch writes appears together.
+    """
+    name = "ads_windows"
+    fields = schemas.TRADEMARK_AMOUNT + (f", {at} BIGINT" if at else "")
+    rows = w.records(spark, WIDE_TOPIC, fields, keep=["timestamp", "value"])
+    timed = rows.withColumn("at", F.col(at) if at else F.unix_millis("timestamp"))
+    number = w.numbers(spark, name)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        session, n = batch.sparkSession, number(batch_id)
+        commit = w.commit(session, name, n)
+        if commit.done:
+            commit.publish()
+            return
+        batch = batch.where("at IS NOT NULL").persist()
+        try:
+            newest_here = batch.agg(F.max("at")).first()[0]
+            if newest_here is None:
+                return
+            table = w.table(f"{name}_progress")
+            before = read_latest(session, table, schemas.PROGRESS, ["name"], before_batch=n).first()
+            closed = before.newest - windows.lag if before else None
+            newest_now = max(newest_here, before.newest) if before else newest_here
+            late = windows.is_late(F.col("at"), closed)
+            lost = batch.where(late).select(
+                F.lit(LATE_TOPIC).alias("topic"), F.lit(None).cast("string").alias("key"), "value"
+            )
+            partial = windows.partial(batch, "at", "tm_id", "final_detail_amount", closed)
+            closing = newest_now - windows.lag
+            # Spans of the batch's windows and of those that close now: two ranges of folders.
+            low, high = partial.agg(F.min("span"), F.max("span")).first()
+            stored = read_latest(
+                session, w.table(f"{name}_open"), schemas.WINDOW_TOTAL, ["span", "ending", "group"], before_batch=n
+            )
+            own = F.col("span").between(*((0, -1) if low is None else (low, high)))
+            ends = F.col("ending") <= closing
+            spans = F.col("span") <= windows.span(F.lit(closing))
+            if closed is not None:
+                ends = ends & (F.col("ending") > closed)
+                spans = spans & (F.col("span") >= windows.span(F.lit(closed)))
+            seen = stored.where(own | spans).where(F.lit(True) if closed is None else F.col("ending") > closed)
+            totals = windows.added(seen.unionByName(partial)).persist()
+            done = totals.where(ends).select((F.col("ending") - windows.width).alias("starting"), "ending",
+                                             F.col("group").alias("tm_id"), "amount", "n")
+            w.save_result(done, "window_amount", name, n, commit.path)
+            left = totals.where(own & (F.col("ending") > closing))
+            upsert(left, w.table(f"{name}_open"), n, partition_by=["span"], commit=commit.path)
+            now = session.createDataFrame([(name, newest_now)], schemas.PROGRESS)
+            upsert(now, table, n, commit=commit.path)
+            send(lost, w.topics, name, n, commit)
+            commit.finish()
+            totals.unpersist()
+        finally:
+            batch.unpersist()
+
+    return w.start(timed.writeStream.foreachBatch(write), name)
+
+
 # Activity ------------------------------------------------------------------
 
 
@@ -510,5 +591,6 @@ JOBS: dict[str, Callable[[SparkSession, Warehouse], StreamingQuery]] = {
     "dws_unmatched": dws_unmatched,
     "ads_spu": ads_spu,
     "ads_trademark": ads_trademark,
+    "ads_windows": ads_windows,
     "dau": dau,
 }

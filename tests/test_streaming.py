@@ -10,6 +10,7 @@ import pytest
 from tallybrook import schemas
 from tallybrook.operators.cdc import DEAD_LETTER_TOPIC
 from tallybrook.operators.records import parse_json
+from tallybrook.operators.windows import Windows
 from tallybrook.session import streaming_session
 from tallybrook.sources.manifests import Commit
 from tallybrook.sources.results import read_results, write_result
@@ -251,7 +252,7 @@ def test_canal_job_and_console(spark, tmp_path, capfd):
 
 
 def test_every_job_is_named():
-    assert len(jobs.JOBS) == 15
+    assert len(jobs.JOBS) == 16
 
 
 @pytest.mark.parametrize("when", ["before", "after"])
@@ -312,3 +313,47 @@ def test_sums_of_old_orders_are_forgotten(spark, tmp_path):
     rows = world.log(jobs.WIDE_TOPIC, schemas.ORDER_WIDE).collect()
     got = {r.order_detail_id: str(r.final_detail_amount) for r in rows}
     assert got == {1: "33.33", 2: "33.33", 3: "33.34", 4: "33.33"}
+
+
+def test_windows_close_once_and_late_rows_are_told(spark, tmp_path):
+    world = World(spark, tmp_path)
+    settings = Windows(width=30, slide=10, lag=20)
+
+    def run(*rows):
+        world.send(jobs.WIDE_TOPIC, *({"tm_id": t, "final_detail_amount": a, "ms": ms} for t, a, ms in rows))
+        world.run(jobs.ads_windows, windows=settings, at="ms")
+        found = read_results(world.spark, world.w.table("window_amount"))
+        return sorted((r.ending, r.tm_id, float(r.amount), r.n) for r in found.collect())
+
+    assert run((1, 1.5, 5), (1, 2.5, 12), (2, 1, 12)) == []
+    first = [(10, 1, 1.5, 1), (20, 1, 4.0, 2), (20, 2, 1.0, 1)]
+    assert run((1, 1, 41)) == first
+    # 8 is in the windows that end at 10, 20 (closed) and 30 (open); -5 in closed ones only.
+    third = [(30, 1, 5.0, 3), (30, 2, 1.0, 1), (40, 1, 2.5, 1), (40, 2, 1.0, 1)]
+    assert run((1, 1, 8), (1, 1, -15), (3, 7, 65)) == first + third
+    late = read_topic_log(world.spark, world.w.topics, jobs.LATE_TOPIC).collect()
+    assert [json.loads(r.value)["ms"] for r in late] == [-15]
+    assert len(run((1, 1, 200))) == 7 + 6
+    done = jobs.compact_tables(world.spark, world.w, most=0, windows=settings)
+    assert done["ads_windows_open"] and done["ads_windows_progress"]
+    assert len(run((1, 1, 400))) == 7 + 6 + 3
+
+
+@pytest.mark.parametrize("step", ["finish", "publish"])
+def test_windows_are_not_added_twice(spark, tmp_path, monkeypatch, step):
+    world = World(spark, tmp_path)
+    settings = Windows(width=20, slide=10, lag=0)
+
+    def lost(self):
+        raise RuntimeError("lost")
+
+    world.send(jobs.WIDE_TOPIC, {"tm_id": 1, "final_detail_amount": 1, "ms": 5})
+    with monkeypatch.context() as m:
+        m.setattr(Commit, step, lost)
+        with pytest.raises(Exception, match="lost"):
+            world.run(jobs.ads_windows, windows=settings, at="ms")
+    world.send(jobs.WIDE_TOPIC, {"tm_id": 1, "final_detail_amount": 1, "ms": 50})
+    world.run(jobs.ads_windows, windows=settings, at="ms")
+    world.run(jobs.ads_windows, windows=settings, at="ms")
+    found = read_results(world.spark, world.w.table("window_amount")).collect()
+    assert sorted((r.ending, float(r.amount)) for r in found) == [(10, 1.0), (20, 1.0)]
