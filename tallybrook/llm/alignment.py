@@ -188,8 +188,11 @@ class Slice:
 
     def _cuts(self) -> tuple[np.ndarray, np.ndarray]:
         """Flags on the tokens of either side that end where one of the other side does."""
-        a, b = (t.select(["part", "end", "at"]) for t in (self.a, self.b))
-        common = a.join(b, ["part", "end"], join_type="inner", right_suffix="_b", use_threads=False)
+        a, b = (
+            pa.table({"key": pc.add(pc.shift_left(t["part"], 40), t["end"]), "at": t["at"]})
+            for t in (self.a, self.b)
+        )
+        common = a.join(b, "key", join_type="inner", right_suffix="_b", use_threads=False)
         flags = np.zeros(self.a.num_rows, bool), np.zeros(self.b.num_rows, bool)
         flags[0][common["at"].to_numpy()] = True
         flags[1][common["at_b"].to_numpy()] = True
@@ -208,7 +211,8 @@ class Slice:
             (t["end"].to_numpy() + far[p]).astype(np.int64)
             for t, p in ((self.a, part_a), (self.b, part_b))
         )
-        ends = np.union1d(ends_a, ends_b)
+        ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")  # two sorted runs
+        ends = ends[np.diff(ends, prepend=-1) != 0]
         of_a, of_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
         links = pa.table({"text": self.parents[part_a[of_a]], "pair": id_a[of_a] << 32 | id_b[of_b]})
         counted = links.group_by(["text", "pair"], use_threads=False).aggregate([([], "count_all")])
