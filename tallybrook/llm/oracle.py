@@ -45,11 +45,11 @@ WITH RECURSIVE m AS (
     UNION ALL SELECT 'said', rid, 0, body FROM passages WHERE level = 0
     UNION ALL SELECT 'said', rid, 0, body FROM own
     UNION ALL SELECT 'quoted', rid, level, body FROM passages WHERE level > 0
-    UNION ALL SELECT 'quoted', rid, level, body FROM lines WHERE level > 0)
+    UNION ALL SELECT 'line', rid, level, body FROM lines WHERE level > 0)
 ), keys AS (
-  SELECT DISTINCT kind, c.rid, conv_id, turn, level, body
+  SELECT DISTINCT CASE WHEN kind = 'said' THEN 'said' ELSE 'quoted' END AS kind, c.rid, conv_id, turn, level, body
   FROM clean AS c JOIN m USING (rid)
-  WHERE length(body) >= {quoting.MIN_CHARS} AND conv_id IS NOT NULL AND turn IS NOT NULL
+  WHERE length(body) >= CASE kind WHEN 'line' THEN 12 ELSE 1 END AND conv_id IS NOT NULL AND turn IS NOT NULL
 ), said AS (
   SELECT conv_id, body, min(turn) AS origin FROM keys WHERE kind = 'said' GROUP BY conv_id, body
 ), links AS (
@@ -178,6 +178,34 @@ FROM placed, allkinds
 def _quality() -> str:
     count = lambda pattern: f"len(regexp_extract_all(l, {_text(pattern)}))"
     n, menu, loud = count(WORD), count(quality.MENU_MARK), count(r"[#*$%&<>]+|!!+")
+    # Spelled out here: the rules of the query are not taken over.
+    edge = r"[^\p{L}\p{N}]"
+    notices = "|".join(
+        [
+            "all rights reserved",
+            "privacy policy",
+            "terms of use",
+            "terms of service",
+            "licensed under cc",
+            "released under cc",
+            "licensed under [^.]{0,60}licen[cs]e",
+            "released under [^.]{0,60}licen[cs]e",
+            "use cookies",
+            "uses cookies",
+            "accept cookies",
+            "accept all cookies",
+            "cookie policy",
+            "cookie settings",
+            "cookie consent",
+            "enable javascript",
+            "require javascript",
+            "requires javascript",
+            "javascript is disabled",
+            "javascript is required",
+        ]
+    )
+    asked = "click here|read more|sign in|sign up|login|log in|share this|share on|subscribe|powered by"
+    prompts = f"len(regexp_extract_all(low, '{edge}({asked}){edge}'))"
     return rf"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents
@@ -190,12 +218,14 @@ three AS (
   SELECT rid, i, count(*) OVER (PARTITION BY rid, a, b, c) AS times FROM three WHERE c IS NOT NULL
 ), covered AS (
   SELECT rid, count(DISTINCT i + k) AS n FROM windows, (VALUES (0), (1), (2)) AS o(k) WHERE times > 1 GROUP BY rid
-), split AS (SELECT rid, unnest(string_split(text, chr(10))) AS l FROM d),
+), split AS (SELECT rid, l, ' ' || lower(l) || ' ' AS low FROM (
+  SELECT rid, unnest(string_split(text, chr(10))) AS l FROM d)),
 ruled AS (
   SELECT rid, l, {n} > 0 AS worded, {n} > 0 AND (
     ({n} < {quality.SHORT_LINE} AND NOT regexp_matches(l, {_text(quality.SENTENCE_END)}))
     OR ({loud} >= 3 AND {loud} * 2 >= {n}) OR ({menu} >= 3 AND {menu} * 4 >= {n})
-    OR ({n} <= {quality.BOILERPLATE_WORDS} AND regexp_matches(l, {_text(quality.BOILERPLATE)}))) AS fails
+    OR ({n} <= 30 AND (regexp_matches(low, '{edge}({notices}){edge}')
+      OR ({prompts} * 6 >= {n} AND NOT regexp_matches(l, {_text(quality.SENTENCE_END)}))))) AS fails
   FROM split
 ), perdoc AS (
   SELECT rid, count(*) FILTER (worded) - count(DISTINCT l) FILTER (worded) AS n_dup_lines,

@@ -15,11 +15,18 @@ SYMBOLS = "#*$%&|<>"
 # A line without a mark from this list at its end and with few words is a heading or a menu entry.
 SENTENCE_END = r"""[.!?:;,…。！？؟।"'”’»)\]]\s*$"""
 MENU_MARK = "[|»›•·→]"
-BOILERPLATE = (
-    r"(?i)all rights reserved|cookie|javascript|privacy policy|terms of (use|service)|"
-    r"click here|read more|subscribe|sign (in|up)|log ?in|share (this|on)|powered by|"
-    r"licensed under|is licensed|released under"
-)
+# Phrases begin and end at the edges of words.
+_EDGES = (r"(?i)(?:^|[^\p{L}\p{N}])(?:", r")(?:$|[^\p{L}\p{N}])")
+# What only notices say.
+NOTICE = (
+    r"all rights reserved|privacy policy|terms of (?:use|service)|"
+    r"(?:licensed|released) under (?:cc|[^.]{0,60}licen[cs]e)|"
+    r"(?:uses?|accept|accept all) cookies|cookie (?:policy|settings|consent)|"
+    r"(?:enable|requires?) javascript|javascript is (?:disabled|required)"
+).join(_EDGES)
+# What buttons and links say, and sentences too: these count in lines of little else.
+PROMPT = r"click here|read more|sign (?:in|up)|log ?in|share (?:this|on)|subscribe|powered by".join(_EDGES)
+WORDS_A_PROMPT = 6
 SHORT_LINE = 5
 BOILERPLATE_WORDS = 30
 MIN_WORDS = 50
@@ -44,7 +51,8 @@ def line_fails(line: Column) -> Column:
 
     Punctuation: fewer than ``SHORT_LINE`` words and no end of a sentence, or as many symbols
     or doubled exclamation marks as half the words. Navigation: three menu marks or more, one
-    to every four words. Boilerplate: a stock phrase in a line of at most ``BOILERPLATE_WORDS``.
+    to every four words. Boilerplate, in lines of at most ``BOILERPLATE_WORDS``: a phrase of notices,
+    or one of prompts to every ``WORDS_A_PROMPT`` words in a line that is no sentence.
     """
 
     def rules(n: Column) -> Column:
@@ -53,7 +61,12 @@ def line_fails(line: Column) -> Column:
             ((n < SHORT_LINE) & ~line.rlike(SENTENCE_END))
             | ((loud >= 3) & (loud * 2 >= n))
             | ((menu >= 3) & (menu * 4 >= n))
-            | ((n <= BOILERPLATE_WORDS) & line.rlike(BOILERPLATE))
+            | ((n <= BOILERPLATE_WORDS) & line.rlike(NOTICE))
+            | (
+                (n <= BOILERPLATE_WORDS)
+                & (_marks(line, PROMPT) * WORDS_A_PROMPT >= n)
+                & ~line.rlike(SENTENCE_END)
+            )
         )
 
     return let(F.size(_words(line)), rules)

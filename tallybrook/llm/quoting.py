@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from tallybrook.llm.common import let, stored, unused
 from tallybrook.llm.components import components
 
-# Shorter passages ("Thanks.") say little about where they come from.
-MIN_CHARS = 12
+# A single line of a quoted passage is looked up too, in case the passage was put together anew.
+# Shorter ones ("Thanks.") say little about where they come from; whole passages may be as short.
+MIN_LINE_CHARS = 12
 # A line that introduces a quote, which is not the writer's text.
 INTRODUCES = r"(?i)^\s*(on|am|le|el)\b.*\b(wrote|schrieb.*|a écrit|escribió)\s*:\s*$"
 _MARK = r"^((?:[ \t]*>)+)[ \t]?"
@@ -75,7 +76,8 @@ def parsed(text: Column) -> Column:
             x["body"].rlike(INTRODUCES) & (F.coalesce(F.get(lines, i + 1)["level"], F.lit(0)) > 0)
         ))
         passages = let(lines, _passages)
-        quoted = F.filter(F.array_distinct(F.concat(passages, lines)), lambda x: x["level"] > 0)
+        long_lines = F.filter(lines, lambda x: F.length(normalised(x["body"])) >= MIN_LINE_CHARS)
+        quoted = F.filter(F.array_distinct(F.concat(passages, long_lines)), lambda x: x["level"] > 0)
         own_text = F.array_join(F.transform(own, lambda x: x["body"]), "\n")
         said = F.concat(
             F.array(own_text),
@@ -84,7 +86,7 @@ def parsed(text: Column) -> Column:
         )
         return F.struct(
             F.regexp_replace(own_text, r"^\s+|\s+$", "").alias("own"),
-            _long_enough(F.array_distinct(F.transform(said, normalised))).alias("said"),
+            F.array_remove(F.array_distinct(F.transform(said, normalised)), "").alias("said"),
             F.filter(
                 F.array_distinct(
                     F.transform(
@@ -92,7 +94,7 @@ def parsed(text: Column) -> Column:
                         lambda x: F.struct(x["level"].alias("level"), normalised(x["body"]).alias("body")),
                     )
                 ),
-                lambda x: F.length(x["body"]) >= MIN_CHARS,
+                lambda x: x["body"] != "",
             ).alias("quoted"),
             F.size(F.filter(passages, lambda x: (x["level"] > 0) & (F.trim(x["body"]) != "")))
             .cast("long")
@@ -102,10 +104,6 @@ def parsed(text: Column) -> Column:
     return let(lines_of(text), by_lines)
 
 
-def _long_enough(texts: Column) -> Column:
-    return F.filter(texts, lambda t: F.length(t) >= MIN_CHARS)
-
-
 def linked(
     messages: DataFrame, conv: str = "conv_id", turn: str = "turn", text: str = "text"
 ) -> DataFrame:

@@ -79,7 +79,7 @@ _PHONE = re.compile(
     r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\d)"
 )
 _EMAIL = re.compile(
-    r"(?<![\w.%+-])[\w%+-]{1,64}(?:\.[\w%+-]{1,64}){0,8}@(?:[A-Za-z0-9-]{1,63}\.){1,6}[A-Za-z]{2,24}(?![\w-])"
+    r"(?<![\w.%+-])[\w%+-]+(?:\.[\w%+-]+)*@(?:[\w-]+\.)+(?:xn--[A-Za-z0-9-]+|[^\W\d_]{2,})(?![\w-])"
 )
 _IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?!\w)")
 _CAPITAL = r"[A-ZÀ-ÖØ-ÞА-ЯЁΑ-Ω]\w+"

@@ -84,3 +84,20 @@ def test_stays_in_the_jvm(spark):
     plan = quality.kept_documents(documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
     assert plan.count("Generate ") == 1
+
+
+def test_clean_lines_that_hold_a_phrase(spark):
+    good = [
+        "The catalog in the hall is old.", "We design in the open.", "The cookie was sweet and I ate it all.",
+        "Ereaes oftheshare onstor.", "We share this house.", "JavaScript is a language that many people know.",
+        "They subscribe to that view and always did so.", "He was licensed under an old law.", "A blog in six parts",
+        "The mill was powered by water and stood near the river for a hundred years or more",
+    ]
+    bad = [
+        "This site uses cookies.", "Please enable JavaScript to go on.", "Read more", "Sign in or sign up to go on",
+        "Released under the MIT License.", "Licensed under CC BY-NC 4.0.", "read our Privacy Policy for all that.",
+    ]
+    rows = spark.createDataFrame([(x,) for x in good + bad], "line string")
+    found = {r[0]: r[1] for r in rows.select("line", quality.line_fails(rows["line"])).collect()}
+    assert [x for x in good if found[x]] == []
+    assert [x for x in bad if not found[x]] == []

@@ -44,9 +44,17 @@ def test_later_messages_are_not_answered(spark):
     assert all(r["parent_turn"] is None for r in rows)
 
 
-def test_short_passages_link_nothing(spark):
-    rows = run(spark, [(1, 0, "Thanks."), (1, 1, "> Thanks.\nYou are welcome.")])
-    assert all(r["n_linked"] == 0 for r in rows)
+def test_short_passages_link_too(spark):
+    said = ["Is it ready?", "Thanks.", "好的"]
+    rows = run(spark, [(1, t, x) for t, x in enumerate(said)] + [(1, 5 + t, f"> {x}\nYes.") for t, x in enumerate(said)])
+    assert {r["turn"]: r["parent_turn"] for r in rows if r["turn"] >= 5} == {5: 0, 6: 1, 7: 2}
+
+
+def test_single_lines_of_passages_link_if_long_enough(spark):
+    quote = "> Words of somebody else here.\n> Thanks.\nWell."
+    rows = run(spark, [(1, 0, "Thanks."), (1, 1, "Words of somebody else here."), (1, 2, quote)])
+    last = next(r for r in rows if r["turn"] == 2)
+    assert last["parent_turn"] == 1 and last["n_linked"] == 1
 
 
 def test_awkward_rows(spark):

@@ -130,3 +130,9 @@ def test_no_listed_name_stays(key):
             new = [s._name_part(n, key, draw) for n in names]
             assert sorted(new) == sorted(names)
             assert all(a != b for a, b in zip(names, new, strict=True))
+
+
+def test_long_and_foreign_addresses():
+    for mail in ("a.b.c.d.e.f.g.h.i.j.k@mail.com", "foo@bücher.de", "x@a.b.c.d.e.f.g.h.com", "y@shop.xn--p1ai", "q" * 80 + "@mail.com"):
+        assert found(f"write to {mail} now") == [("email", mail)]
+        assert mail not in s.replaced(f"write to {mail} now", KEY)
