@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Topic name prefix and the tables the router lets through.
 TOPIC_PREFIX = "ODS_T_"
@@ -72,6 +73,7 @@ def _routed(
     dead_letter: str | None,
     more: list[str],
     tombstones: bool,
+    record: str | None,
 ) -> DataFrame:
     """Topic rows of ``rows`` where ``kept``, and of unreadable ones if they have a topic.
 
@@ -80,11 +82,18 @@ def _routed(
     gone = F.lower("type") == "delete" if tombstones else F.lit(False)
     lost = F.col("raw").isNotNull()
     wanted = kept if dead_letter is None else kept | lost
+    if record is None:
+        text = F.when(gone, F.lit(None)).otherwise(F.to_json("row"))
+        out = [F.coalesce("raw", text).alias("value")]
+    else:
+        # No second text is written and parsed: fields come from the parsed envelope.
+        fields = StructType.fromDDL(record).fields
+        out = [_field(F.col("row"), f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in fields]
     return rows.where(F.coalesce(wanted, F.lit(False))).select(
         *keep,
         F.when(lost, F.lit(dead_letter)).otherwise(_topic(F.col("table"))).alias("topic"),
         _key(F.col("table"), F.col("row"), key_fields).alias("key"),
-        F.coalesce("raw", F.when(gone, F.lit(None)).otherwise(F.to_json("row"))).alias("value"),
+        *out,
         *more,
     )
 
@@ -96,18 +105,22 @@ def route_canal(
     key_fields: dict[str, str] | None = None,
     dead_letter: str | None = None,
     tombstones: bool = False,
+    record: str | None = None,
 ) -> DataFrame:
     """Array envelopes to ``topic, key, value``, one row per element of ``data``.
 
     Every statement type passes; with ``tombstones`` rows of deletes pass as a key without a
-    value, else as any other row. Envelopes without rows give none. Those that are no JSON
+    value, else as any other row. With ``record`` its fields take the place of ``value``, as
+    ``records.parse_json`` would read them from it. Envelopes without rows give none. Those that are no JSON
     object or name no table go to the topic ``dead_letter`` as they are, or nowhere.
     """
+    if record is not None and dead_letter is not None:
+        raise ValueError("unreadable envelopes have no fields: give record or dead_letter")
     keep = keep or []
     rows = _unfolded(df, value, keep, lambda e: _field(e, "$.data", "array<variant>"))
     # The array may hold JSON nulls, which are no rows.
     present = F.col("row").isNotNull() & ~F.is_variant_null("row")
-    return _routed(rows, keep, present, key_fields, dead_letter, [], tombstones)
+    return _routed(rows, keep, present, key_fields, dead_letter, [], tombstones, record)
 
 
 def route_maxwell(
@@ -137,4 +150,4 @@ def route_maxwell(
         & (kind.isNotNull() if tombstones else kind != "delete")
         & (table.isin(*routed) | (table.isin(*insert_only) & (kind == "insert")))
     )
-    return _routed(rows, keep, kept, key_fields, dead_letter, ["type"], tombstones)
+    return _routed(rows, keep, kept, key_fields, dead_letter, ["type"], tombstones, None)

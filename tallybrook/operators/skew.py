@@ -19,11 +19,14 @@ HOT_ROWS = 1_000_000
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """Keys of ``hot_rows`` rows or more; None if there are none.
 
-    Runs one job that reads ``key`` alone and counts all of its rows, in each map task
+    ``df`` should be a scan or persisted: it is counted first, which a scan does from file
+    footers, and no key of fewer rows in all can be hot. Else this runs one job that reads ``key`` alone and counts all of its rows, in each map task
     first, so that a hot key costs no more than another. The keys found are written to
     the shared folder: they are counted once, and every use sees the same ones.
     """
     spark = df.sparkSession
+    if df.count() < hot_rows:
+        return None
     counts = df.where(F.col(key).isNotNull()).groupBy(key).count()
     path = work_path(spark, "hot")
     counts.where(F.col("count") >= hot_rows).select(key).write.parquet(path)

@@ -89,9 +89,8 @@ def cdc_canal_route(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("l_returnflag") == "A", "DELETE").otherwise("INSERT").alias("type"),
         data.alias("data"),
     )
-    routed = route_canal(line.select(F.to_json(envelope).alias("value")))
     fields = f"sku_id BIGINT, sku_num BIGINT, order_price {MONEY}"
-    rows = parse_json(routed, fields, keep=["topic", "key"])
+    rows = route_canal(line.select(F.to_json(envelope).alias("value")), record=fields)
     return rows.withColumn("order_price", F.col("order_price").cast("double"))
 
 

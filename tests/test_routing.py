@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallybrook import schemas
@@ -112,3 +113,37 @@ def test_envelopes_that_cannot_be_routed(spark):
         rows = route(_values(spark, *bad), dead_letter=DEAD_LETTER_TOPIC).collect()
         assert sorted(r.value for r in rows) == sorted(bad)
         assert {(r.topic, r.key) for r in rows} == {(DEAD_LETTER_TOPIC, None)}
+
+
+def test_deletes_become_tombstones(spark):
+    row = {"id": 1, "spu_name": "x"}
+    canal = _values(
+        spark,
+        {"table": "spu_info", "type": "DELETE", "data": [row, None]},
+        {"table": "spu_info", "type": "INSERT", "data": [row]},
+    )
+    found = {(r.key, r.value is None) for r in route_canal(canal, tombstones=True).collect()}
+    assert found == {("1", True), ("1", False)}
+    assert all(r.value for r in route_canal(canal).collect())
+    maxwell = _values(
+        spark,
+        {"table": "spu_info", "type": "delete", "data": row},
+        {"table": "order_info", "type": "delete", "data": row},
+        {"table": "spu_info", "data": row},
+    )
+    assert [(r.key, r.value) for r in route_maxwell(maxwell, tombstones=True).collect()] == [("1", None)]
+    assert route_maxwell(maxwell).count() == 0
+
+
+def test_fields_in_place_of_text(spark):
+    rows = [
+        {"id": 1, "n": 5, "m": 1.25, "s": "a"}, {"id": 2, "n": "6", "m": "2.50", "s": 7}, {"id": 3},
+        {"id": 4, "n": "x", "m": None, "s": None}, {"id": 5, "n": 12345678901, "m": 3, "s": "é"},
+    ]
+    df = _values(spark, {"table": "order_detail", "type": "INSERT", "data": rows}, "no json")
+    fields = "n BIGINT, m DECIMAL(18,2), s STRING"
+    typed = sorted(route_canal(df, record=fields).collect(), key=lambda r: r.key)
+    text = parse_json(route_canal(df), fields, keep=["topic", "key"])
+    assert typed == sorted(text.collect(), key=lambda r: r.key)
+    with pytest.raises(ValueError):
+        route_canal(df, record=fields, dead_letter="D")
