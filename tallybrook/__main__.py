@@ -6,13 +6,13 @@ import argparse
 
 from tallybrook.session import builder
 from tallybrook.sources.topics import TopicStore
-from tallybrook.streaming.jobs import JOBS
+from tallybrook.streaming.jobs import JOBS, compact_tables
 from tallybrook.streaming.warehouse import Warehouse
 
 
 def main() -> None:
     p = argparse.ArgumentParser(prog="tallybrook", description="Start streaming jobs.")
-    p.add_argument("jobs", nargs="+", choices=sorted(JOBS))
+    p.add_argument("jobs", nargs="+", choices=[*sorted(JOBS), "compact"])
     p.add_argument("--tables", required=True, help="folder of dimension and result tables")
     p.add_argument("--checkpoints", required=True, help="folder of query checkpoints")
     p.add_argument("--topic-folder", help="folder of file topics")
@@ -38,7 +38,12 @@ def main() -> None:
         max_per_trigger=a.max_per_trigger,
     )
     spark = builder("tallybrook").getOrCreate()
-    started = [JOBS[name](spark, w) for name in a.jobs]
+    if "compact" in a.jobs:
+        for table, parts in compact_tables(spark, w).items():
+            print(f"{table}: {len(parts)} parts rewritten")
+    started = [JOBS[name](spark, w) for name in a.jobs if name != "compact"]
+    if not started:
+        return
     if a.once:
         for query in started:
             query.awaitTermination()

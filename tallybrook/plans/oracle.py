@@ -246,6 +246,11 @@ WHERE list_has_any(
 ORDER BY n_chars, doc_id LIMIT 10
 """,
 }
+BATCH_ORACLE["topic_values"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS key, o_orderkey AS id, o_orderstatus,
+       CAST(round(o_totalprice * 100) AS DOUBLE) / 100 AS total, o_orderdate
+FROM orders
+"""
 BATCH_ORACLE["match_search_index"] = BATCH_ORACLE["match_search"]
 
 STREAM_ORACLE: dict[str, str] = {

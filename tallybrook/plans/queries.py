@@ -147,6 +147,18 @@ def topic_fanout(spark: SparkSession, folder: str) -> DataFrame:
     return read_topic_log(spark, store).select("topic", "key")
 
 
+def topic_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders sent to a topic as text, and read from it as records."""
+    orders = Tables(spark, folder).read("orders").select(
+        F.col("o_orderkey").alias("id"), "o_orderstatus", money(F.col("o_totalprice")).alias("total"), "o_orderdate"
+    )
+    store = TopicStore(location=work_path(spark, "topics"))
+    send(topic_rows(orders, "ODS_T_ORDER_INFO", F.col("id")), store, "topic_values", 0)
+    fields = f"id BIGINT, o_orderstatus STRING, total {MONEY}, o_orderdate TIMESTAMP_NTZ"
+    rows = parse_json(read_topic_log(spark, store, "ODS_T_ORDER_INFO"), fields, keep=["key"])
+    return rows.withColumn("total", F.col("total").cast("double"))
+
+
 # Activity ------------------------------------------------------------------
 
 
@@ -465,6 +477,7 @@ BATCH_QUERIES: dict[str, Query] = {
     "cdc_canal_route": cdc_canal_route,
     "cdc_maxwell_route": cdc_maxwell_route,
     "topic_fanout": topic_fanout,
+    "topic_values": topic_values,
     "dau_first_visit": dau_first_visit,
     "dau_upsert_by_day": dau_upsert_by_day,
     "user_age_gender": user_age_gender,

@@ -1,11 +1,12 @@
 """Shares against a replay of the rule, line by line."""
 
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from tallybrook.operators.allocation import allocate_cents
+from tallybrook.operators.allocation import allocate_batch, allocate_cents
 from tallybrook.operators.running import (
     chunked_running_totals,
     cut_into_ranges,
@@ -156,3 +157,54 @@ def test_running_totals_with_group_sums(spark):
         df, *args, F.floor(F.col("i") / 50), overall={"total": F.col("v")}
     )
     assert sorted(plain.collect()) == sorted(split.select(plain.columns).collect())
+
+
+def shared_one_by_one(lines, original, final, state):
+    """Shares of lines in the order given; ``state`` is what earlier ones left: lines, cents, given."""
+    out = []
+    for amount in lines:
+        n, reached, given = state
+        if reached + amount == original and (amount or n == 0):
+            share = final - given
+        elif reached + amount == original:
+            share = 0
+        else:
+            share = (2 * final * amount + original) // (2 * original) if original else None
+        state = (n + 1, reached + amount, given + (share or 0))
+        out.append(share)
+    return out, state
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 20])
+def test_lines_of_several_batches_in_any_order(spark, hot_rows):
+    rng = random.Random(7)
+    orders = {}
+    for o in range(12):
+        lines = [(o * 1000 + i, rng.choice([0, 1, 333, 1999, 100_000])) for i in range(rng.choice([1, 3, 90]))]
+        orders[o] = (lines, sum(a for _, a in lines), rng.randint(0, 10**7))
+    sums = spark.createDataFrame([], "order_id LONG, lines LONG, cents LONG, given LONG")
+    want, got, states = {}, {}, {o: (0, 0, 0) for o in orders}
+    for k in range(3):
+        rows = []
+        for o, (lines, original, final) in orders.items():
+            part = lines[k::3]
+            shares, states[o] = shared_one_by_one([a for _, a in part], original, final, states[o])
+            want |= {i: s for (i, _), s in zip(part, shares, strict=True)}
+            rows += [(o, i, Decimal(a) / 100, 1, Decimal(original) / 100, Decimal(final) / 100) for i, a in part]
+        rng.shuffle(rows)
+        wide = spark.createDataFrame(
+            rows,
+            "order_id LONG, order_detail_id LONG, sku_price DECIMAL(18,2), sku_num LONG, "
+            "original_total_amount DECIMAL(18,2), final_total_amount DECIMAL(18,2)",
+        ).repartition(5)
+        shared, left = allocate_batch(wide, sums, hot_rows=hot_rows)
+        got |= {
+            r.order_detail_id: None if r.final_detail_amount is None else int(r.final_detail_amount * 100)
+            for r in shared.collect()
+        }
+        kept = {r.order_id: tuple(r) for r in sums.collect()} | {
+            r.order_id: (r.order_id, r.lines, r.cents, r.given) for r in left.collect()
+        }
+        sums = spark.createDataFrame(list(kept.values()), sums.schema)
+    assert got == want
+    assert {o: tuple(r)[1:] for o, r in kept.items()} == {o: s for o, s in states.items() if s[0]}
