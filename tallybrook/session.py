@@ -70,5 +70,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder, never used before."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder, never used before, deleted when the driver's JVM ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    # Only a folder that is there can be marked for deletion.
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return f"{path}/data"
