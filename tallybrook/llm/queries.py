@@ -20,8 +20,9 @@ from tallybrook.llm import (
     surrogates,
     token_count,
 )
-from tallybrook.llm.common import read, scratch
+from tallybrook.llm.common import read
 from tallybrook.llm.oracle import ORACLE
+from tallybrook.session import work_path
 
 
 def _vocabulary(name: str) -> str:
@@ -107,7 +108,7 @@ def op11_dialogue(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages archived, and the records read back."""
     pages = read(spark, sf_dir, "pages")
-    path = scratch(spark, "archive")
+    path = work_path(spark, "archive")
     archive.write_archive(pages, path)
     kind = pages.schema["page_id"].dataType
     return archive.read_index(spark, path).select(
