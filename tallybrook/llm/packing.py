@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -135,15 +136,18 @@ def tokenized(
     text: str = "text",
     sequence: int = SEQUENCE,
     end_id: int = END_ID,
+    carried: list[str] | None = None,
 ) -> DataFrame:
     """The pieces of every document: ``id_column, piece, start, length, ids``.
 
     ``ids`` are little-endian unsigned 32-bit token ids; every document ends with ``end_id``,
     and a null text is an empty one. A document of more than ``sequence`` ids is cut into
     pieces of that many, the first one taking the remainder. ``tokenizer`` is the path of a
-    tokenizers file that every executor has. Repeated rows give repeated pieces.
+    tokenizers file that every executor has. Repeated rows give repeated pieces, no rows none.
+    Columns ``carried`` stand beside each piece as they were; others are ignored.
     """
-    kind = docs.schema[id_column].dataType.simpleString()
+    carried = carried or []
+    kept = {c: docs.schema[c].dataType.simpleString() for c in [id_column, *carried]}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = per_worker(Encoder, tokenizer).ids, np.array([end_id], "<u4").tobytes()
@@ -161,17 +165,18 @@ def tokenized(
                     ids.append(whole[4 * a : 4 * b])
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(id_column).take(pa.array(at, pa.int64())),
+                    *(batch.column(c).take(pa.array(at, pa.int64())) for c in kept),
                     pa.array(piece, pa.int32()),
                     pa.array(start, pa.int64()),
                     pa.array([len(x) // 4 for x in ids], pa.int64()),
                     pa.array(ids, pa.binary()),
                 ],
-                [id_column, "piece", "start", "length", "ids"],
+                [*kept, "piece", "start", "length", "ids"],
             )
 
-    schema = f"`{id_column}` {kind}, piece int, start long, length long, ids binary"
-    return docs.select(id_column, text).mapInArrow(run, schema)
+    columns = ", ".join(f"`{c}` {kind}" for c, kind in kept.items())
+    schema = f"{columns}, piece int, start long, length long, ids binary"
+    return docs.select(*(f"`{c}`" for c in kept), F.col(f"`{text}`").alias(text)).mapInArrow(run, schema)
 
 
 def place(lengths: np.ndarray, sequence: int) -> tuple[np.ndarray, np.ndarray]:
@@ -241,6 +246,36 @@ def pack(
     return packed.unionByName(alone)
 
 
+def pack_in_order(
+    pieces: DataFrame, order: list[str], sequence: int = SEQUENCE, pieces_per_task: int = PIECES_PER_TASK
+) -> DataFrame:
+    """``pieces`` without ``order``, with ``sequence_id`` and ``offset``, packed stretch by stretch.
+
+    Pieces are sorted by ``order`` into ranges of about ``pieces_per_task`` and each is packed by
+    itself, longest pieces first; the sequences of a range have smaller ids than those of later
+    ones. ``order`` should tell all rows apart, so that ranges can be cut anywhere. Pieces are
+    stored first, since ranges must stay as they are when a task runs again. No rows give no rows.
+    """
+    rows = stored(pieces, "pieces")
+    ranges = max(1, round(rows.count() / pieces_per_task))
+    names, at = [c for c in pieces.columns if c not in order], unused(pieces, "range")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = list(batches)
+        if not sum(b.num_rows for b in parts):
+            return
+        part = pa.Table.from_batches(parts)
+        part = part.take(pc.sort_indices(part, [("length", "descending"), *((c, "ascending") for c in order)]))
+        bins, offsets = place(part["length"].to_numpy(), sequence)
+        first = part[at][0].as_py() << 32
+        out = part.select(names).append_column("sequence_id", pa.array(first + bins, pa.int64()))
+        yield from out.append_column("offset", pa.array(offsets, pa.int64())).to_batches()
+
+    placed = pieces.select(*[f"`{c}`" for c in names]).schema.add("sequence_id", "long").add("offset", "long")
+    ranged = rows.repartitionByRange(ranges, *[F.col(f"`{c}`") for c in order])
+    return ranged.withColumn(at, F.spark_partition_id().cast("long")).mapInArrow(run, placed)
+
+
 def sequences(placed: DataFrame) -> DataFrame:
     """``sequence_id, ids``: the token ids of every sequence, from placed pieces with ``ids``."""
     parts = F.array_sort(F.collect_list(F.struct("offset", "ids")))

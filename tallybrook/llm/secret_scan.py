@@ -50,13 +50,55 @@ def signed_header(token: str) -> bool:
     return isinstance(found, dict) and "alg" in found
 
 
-def whole_der(block: str) -> bool:
-    """Whether a PEM block's bytes are as many as its outer DER length says."""
-    body = "".join(block.split("-----")[2].split())
+_BREAK = r"(?:\s|\\[nr])"
+_PEM = (
+    rf"-----BEGIN (?:[A-Z]+ ){{0,3}}PRIVATE KEY-----{_BREAK}*"
+    rf"(?P<head>(?:[A-Za-z][A-Za-z-]{{0,40}}+: [^\n\\]{{0,200}}+{_BREAK}++)*+)"
+    r"(?P<body>(?:[A-Za-z0-9+/=\s]++|\\[nr])++)-----END (?:[A-Z]+ ){0,3}PRIVATE KEY-----"
+)
+
+
+def whole_key(m: re.Match) -> bool:
+    """Whether a PEM block's bytes are as many as the lengths among them say.
+
+    Line ends may be written out as a backslash and a letter. An OpenSSH key has its own
+    lengths; a key encrypted under header lines has whole blocks of its cipher, others are DER.
+    """
     try:
-        raw = base64.b64decode(body, validate=True)
+        raw = base64.b64decode(re.sub(_BREAK, "", m["body"]), validate=True)
     except (ValueError, binascii.Error):
         return False
+    if raw.startswith(_OPENSSH):
+        return whole_openssh(raw)
+    if "ENCRYPTED" in m["head"]:
+        vector = re.search(r"DEK-Info: [A-Z0-9-]+,([0-9A-Fa-f]+)", m["head"])
+        return bool(raw) and vector is not None and len(vector[1]) in (16, 32) and len(raw) % (len(vector[1]) // 2) == 0
+    return whole_der(raw)
+
+
+_OPENSSH = b"openssh-key-v1\0"
+
+
+def whole_openssh(raw: bytes) -> bool:
+    """Whether cipher, key derivation, its options, the public keys and the private part fill it."""
+    at = len(_OPENSSH)
+
+    def skipped(at: int) -> int:
+        return at + 4 + int.from_bytes(raw[at : at + 4], "big")
+
+    for _ in range(3):
+        at = skipped(at)
+    n = int.from_bytes(raw[at : at + 4], "big")
+    at += 4
+    for _ in range(n + 1):
+        if at + 4 > len(raw):
+            return False
+        at = skipped(at)
+    return n > 0 and at == len(raw)
+
+
+def whole_der(raw: bytes) -> bool:
+    """Whether the bytes are as many as their outer DER length says."""
     if len(raw) < 2 or raw[0] != 0x30:
         return False
     more = raw[1] & 0x7F if raw[1] & 0x80 else 0
@@ -112,10 +154,8 @@ def kinds() -> list[Kind]:
         Kind(
             "pem",
             ("-----begin ",),
-            re.compile(
-                r"-----BEGIN ([A-Z]+ )?PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END ([A-Z]+ )?PRIVATE KEY-----"
-            ),
-            lambda m: whole_der(m[0]),
+            re.compile(_PEM),
+            whole_key,
         ),
     ]
 
@@ -167,7 +207,7 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Data
     """``id_column`` and ``spans`` (array of ``kind, start, end``), one row per input row.
 
     Texts are scanned whole; null and empty ones have no spans. Null ids and repeated rows stay,
-    extra columns are ignored.
+    extra columns are ignored. No rows give no rows.
     """
     kind = docs.schema[id_column].dataType.simpleString()
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])

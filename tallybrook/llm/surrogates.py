@@ -5,14 +5,18 @@ digits, vowels vowels of the same script, checksums are made anew. Being a permu
 one entity the same surrogate in every text and two entities different ones, without a table.
 What it may still do is hit a value that some text really holds. These cases are found over the
 distinct entities of the corpus and drawn again until the surrogates are apart from each other
-and from the originals; only entities drawn again have to be joined to their texts.
+and from the originals; only entities drawn again have to be joined to their texts. Names are
+drawn part by part, so that a family name has one surrogate with and without a given name.
 """
 
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -22,19 +26,35 @@ from pyspark.sql import functions as F
 from tallybrook.llm.common import slices, stored, texts_of, unused
 
 KEY = "surrogate key"
-# Draws that avoid original values; where a format has too few values, the first draw stays.
-DRAWS = 4
+# A format with fewer values than this many for each of its originals is full: there the first
+# draw stays. In any other every draw is apart from all others with even chances at least.
+ROOM = 4
 _ROUNDS = 8
 
 # Letters are replaced within their group; other characters stay.
 LETTERS = (
     "aeiou",
     "bcdfghjklmnpqrstvwxyz",
-    "áéíóúàèìòùäöüâêîôû",
+    "áéíóúàèìòùäöüâêîôûåæøœãõąęěůűő",
+    "çñşšžčćđğłńśźżřťďň",
     "аеиоуыэюя",
     "бвгджзклмнпрстфхцчшщ",
+    "іїєўґђљњћџ",
     "αεηιουω",
     "βγδζθκλμνξπρστφχψ",
+    "άέήίόύώ",
+)
+# Letters of scripts without cases are replaced within their range of code points.
+RANGES = (
+    ("Hebrew", 0x05D0, 0x05EA),
+    ("Arabic", 0x0627, 0x063A),
+    ("Arabic", 0x0641, 0x064A),
+    ("Devanagari", 0x0915, 0x0939),
+    ("Thai", 0x0E01, 0x0E2E),
+    ("Hiragana", 0x3042, 0x3093),
+    ("Katakana", 0x30A2, 0x30F3),
+    ("Han", 0x4E00, 0x9FA5),
+    ("Hangul", 0xAC00, 0xD7A3),
 )
 TITLES = {
     "m": ("Mr", "Herr", "Señor", "Monsieur", "Signor"),
@@ -71,18 +91,27 @@ def iban_rest(iban: str) -> int:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
 
 
-_CARD = re.compile(r"(?<!\d)(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4})(?!\d)")
+_CARD = re.compile(
+    r"(?<!\d)(?:\d{13,19}|\d{4}([ -])(?:\d{4}\1\d{4}\1\d{4}(?:\1\d{3})?|\d{6}\1\d{4,5}))(?!\d)"
+)
 _IP = re.compile(r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)")
+_IP6 = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:]|\.\d)")
 _SSN = re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")
+# With a country code 8 to 15 digits in groups; else what a country writes: (3) 3-4, 3-3-4,
+# an area code with its zero and 5 to 8 digits, or the eleven digits of a mobile number.
 _PHONE = re.compile(
-    r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3,4}[ .-]?\d{3,4}"
-    r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\d)"
+    r"(?<![\w+])(?:\+\d{1,3}(?:[ ./-]?\(\d{1,4}\))?(?:[ .-]?\d+){1,7}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}([ .-])\d{3}\1\d{4}"
+    r"|\(?[0٠۰]\d{2,4}\)?[ /-]\d{3,4}[ -]?\d{2,4}|1[3-9]\d{9})(?![\w-]|\.\d)"
 )
+_PHONE_DIGITS = range(8, 16)
 _EMAIL = re.compile(
     r"(?<![\w.%+-])[\w%+-]+(?:\.[\w%+-]+)*@(?:[\w-]+\.)+(?:xn--[A-Za-z0-9-]+|[^\W\d_]{2,})(?![\w-])"
 )
-_IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?!\w)")
-_CAPITAL = r"[A-ZÀ-ÖØ-ÞА-ЯЁΑ-Ω]\w+"
+_IBAN = re.compile(
+    r"(?<!\w)[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?!\w)"
+)
+_BIG = "A-ZÀ-ÖØ-ÞĄĆČĎĐĘĚĞŁŃŇŐŒŘŚŞŠŤŮŰŹŻŽЀ-ЯҐΆΈΉΊΌΎΏΑ-Ω"
+_CAPITAL = rf"(?:[{_BIG}]['’])?[{_BIG}]\w+(?:['’-][{_BIG}]\w+)*"
 _NAME = re.compile(
     rf"(?<!\w)(?:(?P<title>{'|'.join(t for ts in TITLES.values() for t in ts)})\.? (?P<full>{_CAPITAL}(?: {_CAPITAL})?)"
     rf"|(?P<given>(?:{'|'.join(n for ns in GIVEN.values() for n in ns)}) {_CAPITAL}))(?!\w)"
@@ -96,24 +125,47 @@ def _gender(name: str, title: str | None) -> str:
     return next((g for g, ts in TITLES.items() if title in ts), "n")
 
 
+def _plain(c: str) -> str:
+    return str(unicodedata.decimal(c)) if c.isdecimal() else c
+
+
+def _digits(text: str) -> str:
+    """The decimal digits of any script, as ASCII ones."""
+    return "".join(_plain(c) for c in text if c.isdecimal())
+
+
 def _numbers(text: str) -> Iterator[Entity]:
     for m in _IBAN.finditer(text):
-        if iban_rest(m[0]) == 1:
-            yield Entity("iban", *m.span(), m[0])
+        shown = m[0]
+        while iban_rest(shown.replace(" ", "")) != 1 and " " in shown:
+            shown = shown.rsplit(" ", 1)[0]  # the last group may be a word that follows
+        value = shown.replace(" ", "")
+        if len(value) >= 15 and iban_rest(value) == 1:
+            yield Entity("iban", m.start(), m.start() + len(shown), value)
     for m in _CARD.finditer(text):
-        digits = re.sub(r"\D", "", m[0])
+        digits = _digits(m[0])
         if luhn(digits) % 10 == 0 and digits.strip("0"):
             yield Entity("card", *m.span(), digits)
     for m in _IP.finditer(text):
         if all(int(p) < 256 for p in m[0].split(".")):
             yield Entity("ip", *m.span(), ".".join(str(int(p)) for p in m[0].split(".")))
+    for m in _IP6.finditer(text) if text.count(":") > 1 else ():
+        groups = [g for g in m[0].split(":") if g]
+        try:
+            value = ipaddress.IPv6Address(m[0]).exploded
+        except ValueError:
+            continue
+        if len(groups) > 2:  # two are as often names in a program
+            yield Entity("ip6", *m.span(), value)
     for m in _SSN.finditer(text):
-        yield Entity("ssn", *m.span(), re.sub(r"\D", "", m[0]))
+        yield Entity("ssn", *m.span(), _digits(m[0]))
     for m in _PHONE.finditer(text):
-        country = re.match(r"\+\d{1,3}(?=\D|$)", m[0])
-        digits = re.sub(r"\D", "", m[0])
-        keep = len(country[0]) - 1 if country else 0
-        yield Entity("phone", *m.span(), f"{digits[:keep]}+{digits[keep:]}")
+        digits = _digits(m[0])
+        if len(digits) in _PHONE_DIGITS:
+            # What says what kind of number it is stays: country code, zero, range of mobiles.
+            country = re.match(r"\+\d{1,3}(?:[ ./-]?\(0\))?(?=\D|$)|\(?0|1[3-9](?=\d{9}$)", "".join(map(_plain, m[0])))
+            keep = len(_digits(country[0])) if country else 0
+            yield Entity("phone", *m.span(), f"{digits[:keep]}+{digits[keep:]}")
 
 
 def entities(text: str) -> list[Entity]:
@@ -121,7 +173,7 @@ def entities(text: str) -> list[Entity]:
     found: list[Entity] = []
     if "@" in text:
         found += [Entity("email", *m.span(), "".join(map(_lower, m[0]))) for m in _EMAIL.finditer(text)]
-    if re.search(r"\d{2}", text) or _IP.search(text):
+    if re.search(r"\d{2}|::", text) or _IP.search(text):
         found += _numbers(text)
     for m in _NAME.finditer(text):
         group = "full" if m["full"] else "given"
@@ -130,7 +182,7 @@ def entities(text: str) -> list[Entity]:
     whole = [e for e in found if e.kind.startswith("name")]
     for part, kind in {p: e.kind for e in whole for p in e.value.split(" ")}.items():
         # A part of a name that stands alone is the same person.
-        for m in re.finditer(rf"(?<!\w){part}(?!\w)", text):
+        for m in re.finditer(rf"(?<!\w){re.escape(part)}(?!\w)", text):
             found.append(Entity(kind, *m.span(), part))
     for e in found:  # kinds come in order of trust
         if not any(e.start < b and a < e.end for a, b in taken):
@@ -165,20 +217,26 @@ def _upper(c: str) -> str:
     return c.upper() if len(c.upper()) == 1 else c
 
 
+@lru_cache(maxsize=1 << 16)
 def _alphabet(c: str) -> str:
     if c.isascii() and c.isdigit():
         return "0123456789"
+    if span := next((r for r in RANGES if r[1] <= ord(c) <= r[2]), None):
+        return "".join(map(chr, range(span[1], span[2] + 1)))
     return next((group for group in LETTERS if _lower(c) in group), _lower(c))
 
 
+def _shape(groups: list[str]) -> str:
+    return ".".join(str(LETTERS.index(g)) if g in LETTERS else g[0] for g in groups)
+
+
 def reshaped(text: str, key: str, tweak: str) -> str:
     """``text`` with all letters and digits permuted together, each within its own group."""
     groups, value, size = [_alphabet(c) for c in text], 0, 1
     for c, group in zip(text, groups, strict=True):
         value, size = value * len(group) + group.index(_lower(c)), size * len(group)
     # The format is part of the tweak, so that each has a permutation of its own.
-    shape = ".".join(str(LETTERS.index(g)) if g in LETTERS else g[0] for g in groups)
-    value, out = permuted(value, size, key, f"{tweak}|{shape}"), []
+    value, out = permuted(value, size, key, f"{tweak}|{_shape(groups)}"), []
     for c, group in zip(reversed(text), reversed(groups), strict=True):
         value, i = divmod(value, len(group))
         new = group[i] if len(group) > 1 else c
@@ -213,11 +271,23 @@ def surrogate(kind: str, value: str, key: str, draw: int = 0) -> str:
         while _ip_class(m) != same:
             m = permuted(m, 1 << 32, key, tweak)
         return ".".join(str(m >> s & 255) for s in (24, 16, 8, 0))
+    if kind == "ip6":
+        # Groups that are zero stay so, and the first one, which says what kind of address it is.
+        first, *rest = (int(g, 16) for g in value.split(":"))
+        zero, n, used = [g == 0 for g in rest], 0, [g for g in rest if g]
+        for g in used:
+            n = n * 0xFFFF + g - 1
+        n = permuted(n, 0xFFFF ** len(used), key, f"{tweak}|{first}|{zero}")
+        new = []
+        for z in reversed(zero):
+            n, g = (n, -1) if z else divmod(n, 0xFFFF)
+            new.append(g + 1)
+        return ":".join(f"{g:04x}" for g in [first, *reversed(new)])
     if kind == "iban":
         body = reshaped(value[4:].lower(), key, f"{tweak}|{value[:2]}").upper()
         return f"{value[:2]}{98 - iban_rest(value[:2] + '00' + body):02d}{body}"
     if kind == "phone":
-        country, digits = value.split("+")
+        country, digits = value.split("+")  # a prefix that stays, and the rest
         return f"{country}+{reshaped(digits, key, f'{tweak}|{country}')}"
     if kind.startswith("name"):
         # Parts are replaced one by one, so that a family name alone stays the same person's.
@@ -243,16 +313,31 @@ def rendered(entity: Entity, original: str, value: str) -> str:
     """A surrogate's value in the format in which the original stands in the text."""
     if entity.kind in ("card", "ssn", "phone"):
         digits = iter(c for c in value if c.isdigit())
-        return "".join(next(digits) if c.isdigit() else c for c in original)
+        # Digits of a script are followed by its others, from zero on.
+        return "".join(
+            chr(ord(c) - unicodedata.decimal(c) + int(next(digits))) if c.isdecimal() else c for c in original
+        )
+    if entity.kind == "iban":
+        rest = iter(value)
+        return "".join(c if c == " " else next(rest) for c in original)
+    if entity.kind == "ip6":
+        groups = [g if len(original) == 39 else f"{int(g, 16):x}" for g in value.split(":")]
+        new = ipaddress.IPv6Address(value).compressed if "::" in original else ":".join(groups)
+        return new.upper() if original != original.lower() else new
     if entity.kind == "email":
         return "".join(_upper(n) if o.isupper() else n for n, o in zip(value, original, strict=True))
     return value
 
 
+def drawn_parts(e: Entity) -> list[tuple[str, str]]:
+    """What is drawn for an entity: the parts of a name, one kind for all names, or its value."""
+    return [("name", p) for p in e.value.split(" ")] if e.kind.startswith("name") else [(e.kind, e.value)]
+
+
 def replaced(text: str, key: str, draws: dict[tuple[str, str], int] | None = None) -> str:
     out, at = [], 0
     for e in entities(text):
-        value = surrogate(e.kind, e.value, key, (draws or {}).get((e.kind, e.value), 0))
+        value = " ".join(surrogate(k, v, key, (draws or {}).get((k, v), 0)) for k, v in drawn_parts(e))
         out += [text[at : e.start], rendered(e, text[e.start : e.end], value)]
         at = e.end
     return "".join([*out, text[at:]])
@@ -264,9 +349,10 @@ def _found(docs: DataFrame, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             rows = {
-                (e.kind, e.value, at)
+                (kind, value, at)
                 for t, at in zip(texts_of(batch, text), batch.column("_at").to_pylist(), strict=True)
                 for e in entities(t)
+                for kind, value in drawn_parts(e)
             }
             columns = zip(*sorted(rows), strict=True) if rows else ((), (), ())
             kinds, values, ats = map(list, columns)
@@ -291,33 +377,81 @@ def _drawn(table: DataFrame, key: str) -> DataFrame:
     return table.mapInArrow(run, "kind string, value string, draw int, settled boolean, new string")
 
 
+def format_of(kind: str, value: str) -> tuple[str, float]:
+    """The format within which a value is replaced, and how many values it has."""
+    fixed, free = "", value
+    if kind == "email":
+        local, domain = value.split("@")
+        labels = domain.split(".")
+        cut = -2 if labels[-2:-1] == ["example"] else -1
+        fixed, free = ".".join(labels[cut:]), f"{local}@{'.'.join(labels[:cut])}"
+    elif kind == "card":
+        fixed, free = value[0], value[1:-1]
+    elif kind == "ip":
+        a, b, *_ = value.split(".")
+        fixed, free = _ip_class(int(a) << 24 | int(b) << 16), "0" * 8
+    elif kind == "ip6":
+        first, *rest = value.split(":")
+        zero = "".join("z" if g == "0000" else "x" for g in rest)
+        return f"{first}|{zero}", float(0xFFFF ** zero.count("x"))
+    elif kind == "iban":
+        fixed, free = value[:2], value[4:].lower()
+    elif kind == "phone":
+        fixed, free = value.split("+")
+    groups, size = [_alphabet(c) for c in free], 1.0
+    for group in groups:
+        size = min(size * len(group), 1e300)
+    return f"{fixed}|{_shape(groups)}", size
+
+
+def _in_full_formats(originals: DataFrame) -> DataFrame:
+    """``kind, value`` of the entities whose format has no ``ROOM`` for surrogates apart from all."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(batch.column("kind").to_pylist(), batch.column("value").to_pylist(), strict=True)
+            found = [format_of(k, v) for k, v in pairs]
+            columns = [pa.array([f for f, _ in found], pa.string()), pa.array([n for _, n in found], pa.float64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "format", "size"])
+
+    formats = originals.mapInArrow(run, "kind string, value string, format string, size double")
+    full = formats.groupBy("kind", "format").agg(F.count("*").alias("n"), F.min("size").alias("size"))
+    return formats.join(full.where(F.col("n") * ROOM > F.col("size")).select("kind", "format"), ["kind", "format"]).select(
+        "kind", "value"
+    )
+
+
 def drawn_again(found: DataFrame, key: str) -> DataFrame | None:
     """``kind, value, draw`` of the entities whose first surrogate won't do; None if there is none.
 
-    A surrogate won't do if it is another entity's too, or an original of the corpus. After
-    ``DRAWS`` draws the first one stays, which no other entity's first one equals.
+    A surrogate won't do if it is another entity's too, or an original of the corpus; entities are
+    drawn until theirs does. Listed given names, and entities of formats that are full, keep their
+    first surrogate, which no other entity's first one equals: these may read as originals do.
     """
     originals = stored(found.select("kind", "value").distinct(), "entities")
-    table = originals.withColumns({"draw": F.lit(0), "settled": F.lit(False)})
+    listed = [n for names in GIVEN.values() for n in names]
+    settled = F.col("kind").startswith("name") & F.col("value").isin(listed)
+    table = originals.withColumns({"draw": F.lit(0), "settled": settled})
     taken = originals.select("kind", F.col("value").alias("new"), F.lit(True).alias("original"))
     shared = Window.partitionBy("kind", "new").orderBy(F.desc("settled"), "draw", "value")
+    full = None
     while True:
         judged = stored(
             _drawn(table, key)
             .withColumn("turn", F.row_number().over(shared))
             .join(taken, ["kind", "new"], "left")
-            .withColumn("bad", (F.col("turn") > 1) | (~F.col("settled") & F.col("original").isNotNull())),
+            .withColumn("bad", ~F.col("settled") & ((F.col("turn") > 1) | F.col("original").isNotNull())),
             "draws",
         )
         if judged.where("bad").isEmpty():
             break
-        last = F.col("bad") & (F.col("draw") >= DRAWS)
-        table = judged.select(
-            "kind",
-            "value",
-            F.when(last, 0).when(F.col("bad"), F.col("draw") + 1).otherwise(F.col("draw")).alias("draw"),
-            (F.coalesce("settled", F.lit(False)) | last).alias("settled"),
-        )
+        if full is None:
+            full = stored(_in_full_formats(originals).withColumn("full", F.lit(True)), "full")
+            judged = judged.join(full, ["kind", "value"], "left").withColumn(
+                "settled", F.col("settled") | F.col("full").isNotNull()
+            )
+        again = F.when(F.col("settled"), 0).when(F.col("bad"), F.col("draw") + 1).otherwise(F.col("draw"))
+        table = judged.select("kind", "value", again.alias("draw"), "settled")
     again = judged.where("draw > 0").select("kind", "value", "draw")
     return None if again.isEmpty() else again
 
@@ -327,7 +461,7 @@ def with_surrogates(docs: DataFrame, key: str = KEY, text: str = "text", n_chars
 
     Null texts stay null, texts without personal data stay as they are. ``n_chars``, where there,
     is the new length of a text that changed. Rows with equal texts get equal ones; extra columns
-    may have any name.
+    may have any name. No rows give no rows.
     """
     found = stored(_found(docs, text), "found")
     again = drawn_again(found, key)

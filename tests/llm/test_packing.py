@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -134,3 +135,29 @@ def test_query_digest(spark):
     pieces = packing.tokenized(documents(spark), PATH).where("doc_id = 3 and piece = 0").first()
     assert row["ids_crc32"] == zlib.crc32(bytes(pieces["ids"]))
     assert packing.pack(packing.tokenized(documents(spark), PATH)).where(F.col("offset") < 0).count() == 0
+
+
+def test_order_is_kept_by_ranges(spark, library):
+    docs = documents(spark).repartition(3)
+    ranked = docs.withColumn("rank", F.row_number().over(Window.orderBy(F.xxhash64("text"), "doc_id")))
+    pieces = packing.tokenized(ranked, PATH, carried=["rank"]).cache()
+    rank = {(r["doc_id"], r["piece"]): r["rank"] for r in pieces.collect()}
+    out = packing.pack_in_order(pieces, ["rank", "piece"], pieces_per_task=40)
+    assert out.columns == ["doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"]
+    rows = out.collect()
+    check_pieces(docs, [{**r.asDict(), "ids_crc32": zlib.crc32(bytes(r["ids"]))} for r in rows], library)
+    check_layout(rows)
+    ranges = {}
+    for r in rows:
+        ranges.setdefault(r["sequence_id"] >> 32, []).append((rank[r["doc_id"], r["piece"]], r["piece"]))
+    cuts = [(min(v), max(v)) for _, v in sorted(ranges.items())]
+    assert len(cuts) > 3 and all(a[1] < b[0] for a, b in zip(cuts, cuts[1:], strict=False))
+
+
+def test_order_of_awkward_rows(spark):
+    for make in (awkward, empty):
+        docs = make(spark, ["range", "_range", "file"])
+        pieces = packing.tokenized(docs, PATH, carried=["range", "file"])
+        rows = packing.pack_in_order(pieces, ["file", "doc_id"], pieces_per_task=4).collect()
+        check_layout(rows)
+        assert len(rows) == pieces.count()

@@ -8,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tallybrook.llm import mixing, quality, simhash, surrogates
+from tallybrook.llm import mixing, packing, quality, simhash, surrogates
 from tests.conftest import DATA, ROOT
 from tests.llm.cases import COLUMNS, awkward, documents, empty
 from tests.llm.test_packing import check_layout
@@ -78,6 +78,30 @@ def test_all_tokens_are_packed(outputs):
     check_layout(rows)
 
 
+def test_sequences_follow_the_mix(spark, outputs, monkeypatch):
+    monkeypatch.setattr(packing.pack_in_order, "__defaults__", (packing.SEQUENCE, 60))
+    ranked, order = mixing.with_rank(outputs[3])
+    first = [(r["doc_id"], r["source"]) for r in ranked.orderBy(*order).select("doc_id", "source").collect()]
+    places = {}
+    for at, (i, _) in enumerate(first):
+        places.setdefault(i, []).append(at)
+    groups = {}
+    for r in corpus_pipeline.pack(spark, outputs[3], DATA).collect():
+        if len(places[r["doc_id"]]) == 1:
+            groups.setdefault(r["sequence_id"] >> 32, []).append(places[r["doc_id"]][0])
+    assert len(groups) > 2
+    spans = [(min(v), max(v)) for _, v in sorted(groups.items())]
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
+    # The order is the one planned: positions of first uses grow.
+    planned = {r["doc_id"]: r["position"] for r in mixing.mixed(outputs[2]).collect()}
+    seen, positions = set(), []
+    for i, _ in first:
+        if i not in seen:
+            seen.add(i)
+            positions.append(planned[i])
+    assert positions == sorted(positions)
+
+
 def test_run_is_the_stages(spark, outputs):
     key = ["doc_id", "piece", "ids_crc32"]
     want = sorted(map(tuple, outputs[-1].select(*key).collect()))

@@ -108,3 +108,47 @@ def test_awkward_rows(spark):
 def test_long_runs_of_a_keyword_stay_fast(scanner):
     assert kinds_of(scanner, "eyJ" * 300_000) == []
     assert kinds_of(scanner, "token" * 100_000) == []
+
+
+def part(raw):
+    return len(raw).to_bytes(4, "big") + raw
+
+
+def pem(name, raw, head="", end="\n"):
+    body = base64.b64encode(raw).decode()
+    lines = [f"-----BEGIN {name}PRIVATE KEY-----", *([*head.split("\n"), ""] if head else [])]
+    lines += [body[i : i + 70] for i in range(0, len(body), 70)]
+    return end.join([*lines, f"-----END {name}PRIVATE KEY-----"])
+
+
+OPENSSH = (
+    b"openssh-key-v1\0" + part(b"none") + part(b"none") + part(b"") + (1).to_bytes(4, "big")
+    + part(b"public" * 9) + part(b"private" * 30)
+)
+ENCRYPTED = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF0123456789ABCDEF"
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\\n", "\\r\\n"])
+@pytest.mark.parametrize(
+    "name, raw, head",
+    [("OPENSSH ", OPENSSH, ""), ("RSA ", bytes(range(64)), ENCRYPTED), ("", b"\x30\x82\x01\x00" + bytes(256), ""),
+     ("EC ", b"\x30\x20" + bytes(32), "")],
+)
+def test_private_keys(scanner, name, raw, head, end):
+    block = pem(name, raw, head, end)
+    text = f'key = "{block}" after'
+    assert ("pem", 7, 7 + len(block)) in scanner.spans(text)
+
+
+@pytest.mark.parametrize(
+    "name, raw, head",
+    [("OPENSSH ", OPENSSH[:-1], ""), ("OPENSSH ", OPENSSH + b"x", ""), ("OPENSSH ", OPENSSH[:20], ""),
+     ("RSA ", bytes(63), ENCRYPTED), ("RSA ", bytes(64), "Proc-Type: 4,ENCRYPTED"), ("", b"\x30\x82\x01\x00" + bytes(255), "")],
+)
+def test_broken_private_keys(scanner, name, raw, head):
+    assert not [k for k in scanner.spans(pem(name, raw, head)) if k[0] == "pem"]
+
+
+@pytest.mark.parametrize("line", ["-----BEGIN PRIVATE KEY-----", "-----BEGIN PRIVATE KEY-----a: ", "-----BEGIN RSA PRIVATE KEY-----\nA: b\n"])
+def test_many_openings_are_quick(scanner, line):
+    assert not [k for k in scanner.spans(line * 20_000) if k[0] == "pem"]

@@ -136,3 +136,92 @@ def test_long_and_foreign_addresses():
     for mail in ("a.b.c.d.e.f.g.h.i.j.k@mail.com", "foo@bücher.de", "x@a.b.c.d.e.f.g.h.com", "y@shop.xn--p1ai", "q" * 80 + "@mail.com"):
         assert found(f"write to {mail} now") == [("email", mail)]
         assert mail not in s.replaced(f"write to {mail} now", KEY)
+
+
+# What is written into the texts below, by kind; nothing here is taken from the module.
+PLANTED = {
+    "phone": [
+        "+33 1 23 45 67 89", "+91 98765 43210", "555 123 4567", "555-123-4567", "(555) 123-4567", "0171 1234567",
+        "13800138000", "+49 (0)30 1234567", "+1 (017) 555-7713", "+1.212.555.0198", "٠١٧١ ١٢٣٤٥٦٧",
+    ],
+    "iban": ["GB82 WEST 1234 5698 7654 32", "GB82WEST12345698765432", "DE89 3704 0044 0532 0130 00"],
+    "card": ["3782 822463 10005", "4539 1488 0343 6467", "4539-1488-0343-6467", "378282246310005"],
+    "ip6": ["2001:db8:85a3::8a2e:370:7334", "2001:0DB8:0000:0000:0008:0800:200C:417A", "fe80::1ff:fe23:4567:890a"],
+    "ip": ["97.51.17.173"],
+    "email": ["foo@bücher.de", "名前@会社.example.com", "ALİ.kaya@mail.com"],
+}
+
+
+@pytest.mark.parametrize("kind, value", [(k, v) for k, vs in PLANTED.items() for v in vs])
+def test_planted_forms(kind, value):
+    text = f"Before it AND {value} NOW then."
+    assert found(text) == [(kind, value)]
+    new = s.replaced(text, KEY)
+    start, end = "Before it AND ", " NOW then."
+    assert new.startswith(start) and new.endswith(end) and value not in new
+    shown = new[len(start) : -len(end)]
+    if kind != "ip":
+        assert [re.sub(r"\w", "x", c) for c in shown] == [re.sub(r"\w", "x", c) for c in value] or kind == "ip6"
+    assert found(new) == [(kind, shown)]
+
+
+def test_ways_to_write_one_value_stay_one():
+    pairs = [("GB82 WEST 1234 5698 7654 32", "GB82WEST12345698765432"), ("3782 822463 10005", "378282246310005"),
+             ("2001:db8::8:800:200c:417a", "2001:0db8:0000:0000:0008:0800:200c:417a")]
+    for a, b in pairs:
+        one, other = s.replaced(f"{a} | {b}", KEY).split(" | ")
+        if ":" in a:
+            import ipaddress
+
+            assert ipaddress.ip_address(one) == ipaddress.ip_address(other) != ipaddress.ip_address(a)
+        else:
+            assert one.replace(" ", "") == other != b
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["At 12:30:45 or 1:2:3 std::vector a::b ratio 4:3.", "In 2019 10 20 and 100 200 300 of 1 234 567 890 items.",
+     "Version 1.2.3.4.5, pages 123-4567, 2024-05-17, ISBN 978-3-16-148410-0.", "ID AB12 WORD THIS IS NOT ONE",
+     "Order 4539148803436468 and 20240517123045."],
+)
+def test_other_numbers_stay(text):
+    assert s.replaced(text, KEY) == text
+
+
+def test_names_with_marks():
+    for name in ("Mr O'Brien", "Ms Smith-Jones", "Dr Núñez", "Mr Łukasz Żak", "Herr Çelik"):
+        title, rest = name.split(" ", 1)
+        new = s.replaced(f"Then {name} left.", KEY)
+        assert new.startswith(f"Then {title} ") and rest not in new
+        assert re.sub(r"\w", "x", new) == re.sub(r"\w", "x", f"Then {name} left.")
+
+
+def test_a_family_name_drawn_again_is_one(spark):
+    # "Smith" is drawn again since its first surrogate is someone's name; with it go all its uses.
+    taken = s.surrogate("name", "Smith", KEY)
+    texts = ["Mr John Smith wrote.", "Dr Smith wrote.", f"Ms {taken} wrote.", "Mrs Anna Smith wrote. Smith did."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r["text"] for r in s.with_surrogates(docs, KEY).collect()}
+    family = re.fullmatch(r"Dr (\w+) wrote\.", rows[1])[1]
+    assert family not in ("Smith", taken) and rows[0].split()[2] == family
+    assert rows[3].split()[2] == family == rows[3].split()[4]
+    assert taken not in " ".join(rows.values()) and rows[2].split()[1] != family
+
+
+def test_a_full_format_ends(spark):
+    # Every name of the form consonant, vowel: none is free, so the first draws stay, all different.
+    names = [c.upper() + v for c in s.LETTERS[1] for v in s.LETTERS[0]]
+    everyone = [("name", n, 1) for n in names] + [("name", "John", 1), ("ssn", "123456789", 1)]
+    table = spark.createDataFrame(everyone, "kind string, value string, at long")
+    again = s.drawn_again(table, KEY)
+    assert again is None or not set(names) & {r["value"] for r in again.collect()}
+    assert sorted(s.surrogate("name", n, KEY) for n in names) == sorted(names)
+
+
+def test_formats_of_surrogates_are_those_of_originals():
+    values = [("email", "a.b@mail.example.com"), ("card", "4539148803436467"), ("ip", "97.51.17.173"), ("ssn", "123456789"),
+              ("ip6", "2001:0db8:0000:0000:0008:0800:200c:417a"), ("iban", "GB82WEST12345698765432"),
+              ("phone", "33+123456789"), ("name", "Smith")]
+    for kind, value in values:
+        for draw in range(3):
+            assert s.format_of(kind, s.surrogate(kind, value, KEY, draw)) == s.format_of(kind, value)
