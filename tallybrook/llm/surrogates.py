@@ -100,7 +100,7 @@ _SSN = re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")
 # With a country code 8 to 15 digits in groups; else what a country writes: (3) 3-4, 3-3-4,
 # an area code with its zero and 5 to 8 digits, or the eleven digits of a mobile number.
 _PHONE = re.compile(
-    r"(?<![\w+])(?:\+\d{1,3}(?:[ ./-]?\(\d{1,4}\))?(?:[ .-]?\d+){1,7}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}([ .-])\d{3}\1\d{4}"
+    r"(?<![\w+])(?:\+\d{1,3}(?:[ ./-]?\(\d{1,4}\))?(?:[ .-]?\d{1,15}){1,7}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}([ .-])\d{3}\1\d{4}"
     r"|\(?[0٠۰]\d{2,4}\)?[ /-]\d{3,4}[ -]?\d{2,4}|1[3-9]\d{9})(?![\w-]|\.\d)"
 )
 _PHONE_DIGITS = range(8, 16)
@@ -159,13 +159,29 @@ def _numbers(text: str) -> Iterator[Entity]:
             yield Entity("ip6", *m.span(), value)
     for m in _SSN.finditer(text):
         yield Entity("ssn", *m.span(), _digits(m[0]))
+
+
+def _phones(text: str, found: list[Entity]) -> Iterator[Entity]:
+    """Telephone numbers; groups at the end that belong to what follows are left to it."""
     for m in _PHONE.finditer(text):
-        digits = _digits(m[0])
-        if len(digits) in _PHONE_DIGITS:
+        shown, fits = m[0], []
+        while True:
+            end = m.start() + len(shown)
+            if len(_digits(shown)) in _PHONE_DIGITS and not any(e.start < end and m.start() < e.end for e in found):
+                fits.append(shown)
+            shorter = re.sub(r"[ .-]\d+$", "", shown)
+            if shorter == shown or shown[0] != "+":
+                break
+            shown = shorter
+        if fits:
+            # After +1 and +7 come ten digits; elsewhere the longest number is taken.
+            ten = [f for f in fits if re.match(r"\+[17](?!\d\b|\d\d\b)", f) and len(_digits(f)) == 11]
+            shown = (ten or fits)[0]
             # What says what kind of number it is stays: country code, zero, range of mobiles.
-            country = re.match(r"\+\d{1,3}(?:[ ./-]?\(0\))?(?=\D|$)|\(?0|1[3-9](?=\d{9}$)", "".join(map(_plain, m[0])))
-            keep = len(_digits(country[0])) if country else 0
-            yield Entity("phone", *m.span(), f"{digits[:keep]}+{digits[keep:]}")
+            prefix = r"\+\d{1,3}(?:[ ./-]?\(0\))?(?=\D|$)|\(?0|1[3-9](?=\d{9}$)"
+            kept = re.match(prefix, "".join(map(_plain, shown)))
+            digits, keep = _digits(shown), len(_digits(kept[0])) if kept else 0
+            yield Entity("phone", m.start(), m.start() + len(shown), f"{digits[:keep]}+{digits[keep:]}")
 
 
 def entities(text: str) -> list[Entity]:
@@ -175,6 +191,7 @@ def entities(text: str) -> list[Entity]:
         found += [Entity("email", *m.span(), "".join(map(_lower, m[0]))) for m in _EMAIL.finditer(text)]
     if re.search(r"\d{2}|::", text) or _IP.search(text):
         found += _numbers(text)
+        found += _phones(text, found)
     for m in _NAME.finditer(text):
         group = "full" if m["full"] else "given"
         found.append(Entity(f"name-{_gender(m[group], m['title'])}", *m.span(group), m[group]))

@@ -225,3 +225,9 @@ def test_formats_of_surrogates_are_those_of_originals():
     for kind, value in values:
         for draw in range(3):
             assert s.format_of(kind, s.surrogate(kind, value, KEY, draw)) == s.format_of(kind, value)
+
+
+def test_numbers_beside_each_other():
+    assert found("+1 (826) 555-4081 190.137.2.7 x") == [("phone", "+1 (826) 555-4081"), ("ip", "190.137.2.7")]
+    assert found("+33 1 23 45 67 89 4539 1488 0343 6467") == [("phone", "+33 1 23 45 67 89"), ("card", "4539 1488 0343 6467")]
+    assert found("+1 212 555 0198 77 people") == [("phone", "+1 212 555 0198")]
