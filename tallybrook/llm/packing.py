@@ -249,7 +249,7 @@ def pack(
 def pack_in_order(
     pieces: DataFrame, order: list[str], sequence: int = SEQUENCE, pieces_per_task: int = PIECES_PER_TASK
 ) -> DataFrame:
-    """``pieces`` without ``order``, with ``sequence_id`` and ``offset``, packed stretch by stretch.
+    """``pieces`` with ``sequence_id`` and ``offset``, packed stretch by stretch of ``order``.
 
     Pieces are sorted by ``order`` into ranges of about ``pieces_per_task`` and each is packed by
     itself, longest pieces first; the sequences of a range have smaller ids than those of later
@@ -258,7 +258,7 @@ def pack_in_order(
     """
     rows = stored(pieces, "pieces")
     ranges = max(1, round(rows.count() / pieces_per_task))
-    names, at = [c for c in pieces.columns if c not in order], unused(pieces, "range")
+    names, at = list(pieces.columns), unused(pieces, "range")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = list(batches)
