@@ -36,11 +36,13 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document goes among the training sequences."""
+    """Where each piece of each document goes among the training sequences, in the order of the mix."""
     import public_tokenizers
 
-    pieces = packing.tokenized(docs, public_tokenizers.path(TOKENIZER))
-    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+    ranked, order = mixing.with_rank(docs)
+    pieces = packing.tokenized(ranked, public_tokenizers.path(TOKENIZER), carried=order)
+    pieces = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack_in_order(pieces, [*order, "piece"]).drop(*order)
 
 
 STAGES = [
