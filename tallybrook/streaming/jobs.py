@@ -26,6 +26,7 @@ from tallybrook.operators.records import parse_json, topic_rows
 from tallybrook.operators.users import label_users
 from tallybrook.operators.wide import merge_wide
 from tallybrook.operators.windows import Windows
+from tallybrook.session import few_states, settled
 from tallybrook.sources.tables import (
     AT,
     DELETED,
@@ -289,34 +290,32 @@ def dws_wide(
     number = w.numbers(spark, "dws_wide")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        session, n = batch.sparkSession, number(batch_id)
-        commit = w.commit(session, "dws_wide", n)
+        n = number(batch_id)
+        commit = w.commit(spark, "dws_wide", n)
         if commit.done:
             commit.publish()
             return
-        batch.persist()
-        try:
-            if batch.isEmpty():
+        with settled(spark, batch, "wide") as arrived:
+            if arrived.isEmpty():
                 return
-            times_of = batch.groupBy("order_id").agg(F.max(F.unix_millis("order_at")).alias("at"))
+            times_of = arrived.groupBy("order_id").agg(F.max(F.unix_millis("order_at")).alias("at"))
             known = read_for_keys(
-                w.table("order_sums"), schemas.ORDER_SUMS, "order_id", batch, "order_id", n
+                w.table("order_sums"), schemas.ORDER_SUMS, "order_id", arrived, "order_id", n
             )
             now = times_of.withColumnsRenamed({"order_id": "_order", "at": "_at"})
             fresh = known.join(now, F.col("order_id") == F.col("_order")).where(
                 F.col("_at") <= F.col("at") + ttl_ms
             )
-            shared, sums = allocate_batch(batch.drop("order_at"), fresh.drop("_order", "_at"))
+            shared, sums = allocate_batch(arrived.drop("order_at"), fresh.drop("_order", "_at"))
             send(topic_rows(shared, WIDE_TOPIC), w.topics, "dws_wide", n, commit)
             upsert(
                 sums.join(times_of, "order_id"), w.table("order_sums"), n, keys=["order_id"],
                 commit=commit.path,
             )
             commit.finish()
-        finally:
-            batch.unpersist()
 
-    return w.start(wide.writeStream.foreachBatch(write), "dws_wide")
+    with few_states(spark):
+        return w.start(wide.writeStream.foreachBatch(write), "dws_wide")
 
 
 def dws_unmatched(
@@ -353,7 +352,8 @@ def dws_unmatched(
         out = topic_rows(rows, UNMATCHED_TOPIC, F.col("order_id"))
         send(out, w.topics, "dws_unmatched", number(batch_id))
 
-    return w.start(both.writeStream.foreachBatch(write), "dws_unmatched")
+    with few_states(spark):
+        return w.start(both.writeStream.foreachBatch(write), "dws_unmatched")
 
 
 def compact_tables(

@@ -357,3 +357,35 @@ def test_windows_are_not_added_twice(spark, tmp_path, monkeypatch, step):
     world.run(jobs.ads_windows, windows=settings, at="ms")
     found = read_results(world.spark, world.w.table("window_amount")).collect()
     assert sorted((r.ending, float(r.amount)) for r in found) == [(10, 1.0), (20, 1.0)]
+
+
+def test_a_batch_out_of_state_is_computed_once(spark, tmp_path, monkeypatch):
+    """All uses of a batch read files, so that the join and its state don't run for each."""
+    world = World(spark, tmp_path)
+    files, share = [], jobs.allocate_batch
+
+    def seen(wide, sums):
+        files.append(wide.inputFiles())
+        return share(wide, sums)
+
+    monkeypatch.setattr(jobs, "allocate_batch", seen)
+    world.send(jobs.ORDER_TOPIC, {"id": 1, "user_id": 5, "original_total_amount": 10, "final_total_amount": 9})
+    world.send(jobs.DETAIL_TOPIC, {"id": 2, "order_id": 1, "sku_id": 1, "order_price": 10, "sku_num": 1})
+    world.run("dws_wide")
+    assert files and all(files)
+    assert not list(tmp_path.rglob("*/wide-*"))
+    assert [r.order_detail_id for r in world.log(jobs.WIDE_TOPIC, schemas.ORDER_WIDE).collect()] == [2]
+
+
+@pytest.mark.parametrize(("own", "most"), [(None, 12), ("2", 2)])
+def test_partitions_of_state_follow_the_cores(spark, tmp_path, own, most):
+    world = World(spark, tmp_path)
+    world.spark.conf.set("spark.sql.shuffle.partitions", "60")
+    if own:
+        world.spark.conf.set("spark.tallybrook.state.partitions", own)
+    world.run("dws_unmatched")
+    world.send(jobs.ORDER_TOPIC, {"id": 1})
+    world.run("dws_unmatched")
+    states = [p for p in (tmp_path / "checkpoints/dws_unmatched/state/0").iterdir() if p.name.isdigit()]
+    assert len(states) == most
+    assert world.spark.conf.get("spark.sql.shuffle.partitions") == "60"
