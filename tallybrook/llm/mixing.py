@@ -180,22 +180,69 @@ def planned(rows: DataFrame, whole: DataFrame | None = None) -> DataFrame:
     return placed.withColumn("_passes", passes).withColumn("_taken", taken)
 
 
+def in_order(uses: DataFrame, words: int) -> DataFrame:
+    """``uses`` range-sorted by ``_at``, their position, with the number of the range as ``_range``.
+
+    Positions count words, so ranges of equal width hold equally many; none need be sampled.
+    ``words`` are those of all sources.
+    """
+    n = int(uses.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    width = max(1.0, words * SHARE[0] / SHARE[1] / n)
+    part = F.least(F.floor(F.col("_at") / F.lit(width)), F.lit(n - 1)).cast("int")
+    dealt = uses.withColumn("_range", part).repartitionById(n, F.col("_range"))
+    return dealt.sortWithinPartitions("_at", "_key")
+
+
+def scheduled(uses: DataFrame, words: int) -> DataFrame:
+    """``uses`` (``_at, _key, _source, _pass, _row, _take``) with ``_start``: the words before each.
+
+    They are range-sorted and stored in that order; words are summed inside a range and over ranges.
+    """
+    mix = stored(in_order(uses, words), "mix")
+    sums = {r["_range"]: r["words"] for r in mix.groupBy("_range").agg(F.sum("_take").alias("words")).collect()}
+    before, total = [], 0
+    for part in sorted(sums):  # at most one per range
+        before.append((part, total))
+        total += sums[part]
+    first = F.create_map(*[F.lit(x).cast("long") for pair in before for x in pair] or [F.lit(0)] * 2)
+    own = Window.partitionBy("_range").orderBy("_at", "_key", "_source", "_pass", "_row")
+    inside = F.coalesce(F.sum("_take").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return mix.withColumn("_start", first[F.col("_range").cast("long")] + inside)
+
+
 def mixed(docs: DataFrame, id_column: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """``id_column, size, source_size, target, taken, position``, one row per row of ``docs``.
+    """``id_column, size, source_size, target, taken, position, uses``, one row per row of ``docs``.
 
-    ``position`` is that of the first use, null for rows the mix doesn't take. A null text has no
-    words, null sources are one source; repeated rows count each time, extra columns are ignored.
-    No rows give no rows.
+    All uses of all rows are range-sorted by position into the mix. ``uses`` is an array of
+    ``position, start, words``, where ``start`` is the number of words before it in the mix as
+    sorted; ``taken`` are their words. ``position`` is that of the first use, null for rows the mix
+    doesn't take. A null text has no words, null sources are one source; repeated rows count each
+    time, extra columns are ignored. No rows give no rows.
     """
     narrow = sized(docs.select(id_column, text, source), id_column, text, source)
-    rows = stored(narrow.select(F.col(id_column).alias("_id"), "_size", "_key", "_source"), "sizes")
-    return planned(rows).select(
+    kept = narrow.select(F.col(id_column).alias("_id"), "_size", "_key", "_source")
+    rows = stored(kept.withColumn("_row", F.monotonically_increasing_id()), "sizes")
+    words = rows.agg(F.sum("_size")).first()[0] or 0
+    # Which of two equal rows comes first is settled once.
+    plan = stored(planned(rows).select(*rows.columns, "_words", "_target", "_passes"), "plan")
+    each = plan.select("_row", "_key", "_source", F.posexplode("_passes").alias("_pass", "_use"))
+    uses = each.select(
+        "_row", "_key", "_source", "_pass", F.col("_use.position").alias("_at"), F.col("_use.words").alias("_take")
+    )
+    found = F.collect_list(F.struct("_pass", F.col("_at").alias("position"), F.col("_start").alias("start"),
+                                    F.col("_take").alias("words")))
+    places = scheduled(uses, words).groupBy(F.col("_row").alias("_of")).agg(
+        F.sum("_take").alias("_taken"), F.min("_at").alias("_first"), F.sort_array(found).alias("_uses")
+    )
+    plain = F.transform("_uses", lambda u: F.struct(u["position"], u["start"], u["words"]))
+    return plan.join(places, F.col("_row") == F.col("_of"), "left").select(
         F.col("_id").alias(id_column),
         F.col("_size").alias("size"),
         F.col("_words").alias("source_size"),
         F.col("_target").alias("target"),
-        F.col("_taken").alias("taken"),
-        F.get("_passes", F.lit(0))["position"].alias("position"),
+        F.coalesce("_taken", F.lit(0)).alias("taken"),
+        F.col("_first").alias("position"),
+        F.coalesce(plain, F.array().cast("array<struct<position: bigint, start: bigint, words: bigint>>")).alias("uses"),
     )
 
 
@@ -229,16 +276,9 @@ def training_order(
     if n_chars in given:
         kind = docs.schema[n_chars].dataType
         out[n_chars] = F.when(cut, F.length("_text").cast(kind)).otherwise(F.col(inner[n_chars]))
-    # Positions count words, so ranges of equal width hold equally many; none need be sampled.
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     words = rows.agg(F.sum("_size")).first()[0] or 0
-    width = max(1.0, words * SHARE[0] / SHARE[1] / n)
-    part = F.least(F.floor(F.col("_use.position") / F.lit(width)), F.lit(n - 1)).cast("int")
-    return (
-        used.withColumn("_at", F.col("_use.position"))
-        .repartitionById(n, part)
-        .sortWithinPartitions("_at", "_key")
-        .select(*[out.get(c, F.col(inner[c])).alias(c) for c in given])
+    return in_order(used.withColumn("_at", F.col("_use.position")), words).select(
+        *[out.get(c, F.col(inner[c])).alias(c) for c in given]
     )
 
 

@@ -97,6 +97,23 @@ def test_schedule_inverts(spark):
             assert given(t) == pytest.approx(s, abs=1e-6)
 
 
+def test_all_uses_are_sorted_into_the_mix(spark):
+    """Each use has its place: in the order of positions the uses follow each other without a gap."""
+    docs = documents(spark)
+    found = mixing.mixed(docs).collect()
+    assert any(len(r["uses"]) == 2 for r in found) and any(not r["uses"] for r in found)
+    for r in found:
+        assert sum(u["words"] for u in r["uses"]) == r["taken"]
+        assert (r["uses"][0]["position"] if r["uses"] else None) == r["position"]
+    uses = sorted((u["start"], u["words"], u["position"]) for r in found for u in r["uses"])
+    at = 0
+    for start, words, _ in uses:
+        assert start == at
+        at += words
+    assert [u[2] for u in uses if u[1]] == sorted(u[2] for u in uses if u[1])
+    assert [r["text"] for r in mixing.training_order(docs).collect()]
+
+
 def test_training_order(spark):
     docs = documents(spark)
     plan = {r["doc_id"]: r for r in mixing.mixed(docs).collect()}
