@@ -389,3 +389,25 @@ def test_partitions_of_state_follow_the_cores(spark, tmp_path, own, most):
     states = [p for p in (tmp_path / "checkpoints/dws_unmatched/state/0").iterdir() if p.name.isdigit()]
     assert len(states) == most
     assert world.spark.conf.get("spark.sql.shuffle.partitions") == "60"
+
+
+def test_rows_that_never_meet_are_told_after_a_restart(spark, tmp_path):
+    """Also by a state that isn't counted: that took one more lookup for each row written."""
+    world = World(spark, tmp_path)
+    noon = datetime(2020, 5, 12, 12)
+
+    def run(orders, lines, when):
+        for topic, records in ((jobs.ORDER_TOPIC, orders), (jobs.DETAIL_TOPIC, lines)):
+            rows = [(topic, str(r["id"]), json.dumps(r), when) for r in records]
+            df = world.spark.createDataFrame(rows, "topic STRING, key STRING, value STRING, timestamp TIMESTAMP")
+            send(df, world.w.topics, "test", world.sent)
+            world.sent += 1
+        query = jobs.dws_unmatched(world.spark, world.w, lag="1 hour")
+        assert query.awaitTermination(WAIT)
+        return [s for p in query.recentProgress for s in p["stateOperators"]]
+
+    states = run([{"id": 1}, {"id": 2}], [{"id": 11, "order_id": 1}, {"id": 13, "order_id": 3}], noon)
+    assert any(s["numRowsUpdated"] for s in states) and not any(s["numRowsTotal"] for s in states)
+    run([{"id": 9}], [{"id": 19, "order_id": 9}], noon + timedelta(days=1))
+    found = world.log(jobs.UNMATCHED_TOPIC, "order_id BIGINT, order_detail_id BIGINT, reason STRING").collect()
+    assert sorted((r.order_id, r.order_detail_id, r.reason) for r in found) == [(2, None, "no lines"), (3, 13, "no order")]
