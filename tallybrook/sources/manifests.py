@@ -13,6 +13,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Messages are JSON text that says the same names again and again.
+COMPRESSION = "zstd"
+
 # Manifests read before, by path: they are looked at again once their time or size changes.
 _READ: dict[str, tuple[tuple[int, int], dict]] = {}
 _MOST_REMEMBERED = 100_000
@@ -112,7 +115,7 @@ class Commit:
         The value of ``partition_by[0]`` names the folder below ``target``.
         """
         draft = f"{target}/_staged/{uuid.uuid4().hex}"
-        rows.write.partitionBy(*partition_by).parquet(draft)
+        rows.write.option("compression", COMPRESSION).partitionBy(*partition_by).parquet(draft)
         for status in listed(self.spark, f"{draft}/{partition_by[0]}=*"):
             folder = status.getPath().getName()
             self.staged[status.getPath().toString()] = f"{target}/{folder}/{name}"

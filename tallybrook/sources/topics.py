@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from tallybrook.sources.manifests import Commit
+from tallybrook.sources.manifests import COMPRESSION, Commit
 
 _LOG_SCHEMA = "key STRING, value STRING, timestamp TIMESTAMP, offset BIGINT"
 
@@ -144,6 +144,7 @@ def send(
     )
     (
         stamped.write.mode("overwrite")
+        .option("compression", COMPRESSION)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("topic", "writer", "batch_id")
         .parquet(store.location)

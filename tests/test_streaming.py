@@ -411,3 +411,12 @@ def test_rows_that_never_meet_are_told_after_a_restart(spark, tmp_path):
     run([{"id": 9}], [{"id": 19, "order_id": 9}], noon + timedelta(days=1))
     found = world.log(jobs.UNMATCHED_TOPIC, "order_id BIGINT, order_detail_id BIGINT, reason STRING").collect()
     assert sorted((r.order_id, r.order_detail_id, r.reason) for r in found) == [(2, None, "no lines"), (3, 13, "no order")]
+
+
+def test_file_topics_are_packed_well(spark, tmp_path):
+    world = World(spark, tmp_path)
+    world.send(jobs.ORDER_TOPIC, {"id": 1, "user_id": 5, "original_total_amount": 10, "final_total_amount": 9})
+    world.send(jobs.DETAIL_TOPIC, {"id": 2, "order_id": 1, "sku_id": 1, "order_price": 10, "sku_num": 1})
+    world.run("dws_wide")
+    for topic in (jobs.ORDER_TOPIC, jobs.WIDE_TOPIC):
+        assert list((tmp_path / f"topics/topic={topic}").rglob("*.zstd.parquet"))
