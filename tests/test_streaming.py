@@ -360,7 +360,7 @@ def test_windows_are_not_added_twice(spark, tmp_path, monkeypatch, step):
 
 
 def test_a_batch_out_of_state_is_computed_once(spark, tmp_path, monkeypatch):
-    """All uses of a batch read files, so that the join and its state don't run for each."""
+    """All uses of a batch read files, so that the step with state doesn't run for each."""
     world = World(spark, tmp_path)
     files, share = [], jobs.allocate_batch
 
