@@ -89,14 +89,36 @@ def allocate_batch(
 
     hot = hot_keys(wide, "order_id", hot_rows)
     shared = by_heat(rows, "order_id", hot, lambda r: allocate_cents(r, [order], carried=True), split)
-    left = shared.groupBy("order_id").agg(
-        (F.max("carried_lines") + F.count("*")).alias("lines"),
-        (F.max("carried_cents") + F.sum("amount_cents")).alias("cents"),
-        (F.max("carried_given") + F.sum(F.coalesce("final_detail_cents", F.lit(0)))).alias("given"),
-    )
     kept = [F.col(c) for c in wide.columns if c != "final_detail_amount"]
     amount = from_cents(F.col("final_detail_cents")).alias("final_detail_amount")
-    return shared.select(*kept, amount), left
+    done = shared.select(*kept, amount)
+    return done, sums_after(done, sums)
+
+
+def sums_after(
+    shared: DataFrame, sums: DataFrame, also: dict[str, Column] | None = None
+) -> DataFrame:
+    """What the orders of rows with ``final_detail_amount`` amount to, added to ``sums`` from before.
+
+    Who uses the rows more than once should store them and take the sums from there. ``also`` has
+    more aggregates of an order's rows, for which ``sums`` has nothing.
+    """
+    here = {
+        "lines": F.count("*"),
+        "cents": F.sum(wide_cents()[0]),
+        "given": F.sum(F.coalesce(cents(F.col("final_detail_amount")), F.lit(0).cast("bigint"))),
+    }
+    also = also or {}
+    own = shared.groupBy("order_id").agg(
+        *[v.alias(f"_{c}") for c, v in here.items()], *[v.alias(c) for c, v in also.items()]
+    )
+    before = sums.select(F.col("order_id").alias("_order"), *here)
+    joined = own.join(before, F.col("order_id") == F.col("_order"), "left")
+    return joined.select(
+        "order_id",
+        *[(F.col(f"_{c}") + F.coalesce(c, F.lit(0).cast("bigint"))).alias(c) for c in here],
+        *also,
+    )
 
 
 def wide_cents() -> tuple[Column, Column, Column]:

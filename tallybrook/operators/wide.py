@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallybrook.operators.keyed import latest_by_key
+
 # Fields of the wide record, by the side they come from: new name -> source name.
 FROM_ORDER = {
     "order_id": "id",
@@ -64,3 +66,25 @@ def merge_wide(
     if condition is not None:
         on = on & condition
     return left.join(right, on, how).drop("_order_id")
+
+
+def new_pairs(orders: DataFrame, details: DataFrame, reach: str) -> DataFrame:
+    """Orders merged with lines that arrived within ``reach`` of them, each pair once.
+
+    Both sides have ``arrived`` and ``known``: whether a row stood there before. Pairs that known
+    rows make among themselves were given out then and are left out, with their repeats. The time
+    of the order stays as ``order_at``.
+    """
+    near = F.expr(
+        f"detail_at BETWEEN order_at - INTERVAL {reach} AND order_at + INTERVAL {reach}"
+    )
+    wide = merge_wide(
+        orders,
+        details,
+        order_extra={"order_at": F.col("arrived"), "_order_known": F.col("known")},
+        detail_extra={"detail_at": F.col("arrived"), "_detail_known": F.col("known")},
+        condition=near,
+    ).withColumn("_known", F.col("_order_known") & F.col("_detail_known"))
+    pair = ["order_id", "order_detail_id"]
+    once = latest_by_key(wide, pair, ["_known", "detail_at", "order_at"])
+    return once.where("NOT _known").drop("_known", "_order_known", "_detail_known", "detail_at")

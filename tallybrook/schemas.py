@@ -55,7 +55,8 @@ ORDER_WIDE = (
     "category3_name STRING"
 )
 
-# What the marts read of a wide row.
+# What queries and marts read of a wide row.
+LINE_SHARE = f"order_id BIGINT, order_detail_id BIGINT, final_detail_amount {MONEY}"
 SPU_AMOUNT = (
     f"spu_id BIGINT, spu_name STRING, create_time TIMESTAMP_NTZ, final_detail_amount {MONEY}"
 )
@@ -77,6 +78,11 @@ SEEN = "key STRING, last BIGINT"
 USER_STATE = "user_id BIGINT, if_consumed STRING"
 # What the lines of an order so far amount to, and when the last of them came.
 ORDER_SUMS = "order_id BIGINT, lines BIGINT, cents BIGINT, given BIGINT, at BIGINT"
+# Orders and lines that the other side may still come for.
+WIDE_SIDES = (
+    f"order_id BIGINT, side STRING, id BIGINT, arrived TIMESTAMP, "
+    f"orders STRUCT<{ORDER_INFO_ENRICHED}>, lines STRUCT<{ORDER_DETAIL_ENRICHED}>"
+)
 
 BASE_PROVINCE = "id BIGINT, name STRING, region_id STRING, area_code STRING"
 BASE_CATEGORY3 = "id BIGINT, name STRING, category2_id STRING"

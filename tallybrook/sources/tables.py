@@ -173,13 +173,23 @@ def _read(spark: SparkSession, path: str, schema: str, folders: list[Folder]) ->
     for f in folders:
         own = [f.name] if f.whole else [f"{f.name}/{p}" for p in f.parts]
         paths += [f"{path}/{p}" for p in own if f.parts]
+    fields = StructType.fromDDL(full).fields
     if not paths:
-        return spark.createDataFrame([], full)
-    wanted = spark.createDataFrame([], full).columns
+        # Known to be empty before it runs, so that joins with it are left out of plans.
+        none = [F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
+        return spark.range(1).select(*none).where(F.lit(False))
+    wanted = [f.name for f in fields]
     reader = spark.read.schema(full).option("basePath", f"{path}/data")
     return reader.parquet(*paths).select(*wanted)
 
 
+def read_batch(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame:
+    """The rows that a batch wrote last, also before its commit is finished."""
+    (status,) = manifests.listed(spark, f"{_log(path)}/batch-{batch_id:020d}.json")
+    found = manifests.read(spark, status)
+    return _read(spark, path, schema, [Folder(found["name"], found["batch"], found["parts"])]).drop(BATCH)
+
+
 def _before(found: State, before_batch: int | None) -> list[Folder]:
     if before_batch is None:
         return found.folders
@@ -249,7 +259,20 @@ def read_for_keys(
     before_batch: int | None = None,
     order_by: list[str] | None = None,
 ) -> DataFrame:
-    """The latest version of each ``key`` that a batch of facts names in ``fact_key``.
+    """The latest version of each ``key`` that a batch of facts names in ``fact_key``."""
+    wanted = versions_for_keys(path, f"{schema}, {_MARKS}", key, facts, fact_key, before_batch)
+    return _alive(_latest(wanted, [key], order_by))
+
+
+def versions_for_keys(
+    path: str,
+    schema: str,
+    key: str,
+    facts: DataFrame,
+    fact_key: str,
+    before_batch: int | None = None,
+) -> DataFrame:
+    """All versions of each ``key`` that a batch of facts names in ``fact_key``.
 
     A table bucketed by ``key`` alone is read in the buckets of the batch's keys, and there in
     the folders whose range of keys meets the batch's. That takes one job over the batch, which
@@ -258,17 +281,15 @@ def read_for_keys(
     spark = facts.sparkSession
     folders = _before(found := state(spark, path), before_batch)
     made = manifests.newest(spark, f"{_log(path)}/table.json")
-    if made is not None and made["keys"] == [key]:
-        same = {f.name: f.dataType for f in spark.createDataFrame([], schema).schema}[key]
+    if folders and made is not None and made["keys"] == [key]:
+        same = StructType.fromDDL(schema)[key].dataType
         values = facts.select(F.col(fact_key).cast(same).alias("_key")).where("_key IS NOT NULL")
         touched = values.groupBy(bucket_of(["_key"], found.buckets).alias("b")).agg(
             F.min("_key").alias("low"), F.max("_key").alias("high")
         )
         ranges = {f"{BUCKET}={r['b']}": (r["low"], r["high"]) for r in touched.collect()}
         folders = _touched(folders, ranges)
-    versions = _read(spark, path, f"{schema}, {_MARKS}", folders)
-    wanted = rows_for_keys(versions, key, facts, fact_key)
-    return _alive(_latest(wanted, [key], order_by))
+    return rows_for_keys(_read(spark, path, schema, folders), key, facts, fact_key)
 
 
 def compact_parts(
@@ -279,12 +300,14 @@ def compact_parts(
     order_by: list[str] | None = None,
     most: int = 8,
     keep: Column | None = None,
+    within: list[str] | None = None,
 ) -> list[str]:
     """Rewrite every part that lies in more than ``most`` folders as its latest rows; their names.
 
     Jobs may go on reading and writing. Folders are left where they are for those who read them;
     ``remove_unused`` deletes them later. ``keep`` drops latest rows that no longer matter, such
-    as state whose life is over. Only one compaction of a table succeeds at a time. Batches taken
+    as state whose life is over. Where rows of a key stand beside each other, ``within`` tells them
+    apart. Only one compaction of a table succeeds at a time. Batches taken
     in can no longer be replaced, which their writer, having gone on, won't want.
     """
     found = state(spark, path)
@@ -299,7 +322,7 @@ def compact_parts(
               if (own := {p: f.parts[p] for p in chosen if p in f.parts})]
     through = max(f.batch for f in found.folders)
     by = [level.split("=")[0] for level in chosen[0].split("/")]
-    latest = _latest(_read(spark, path, f"{schema}, {_MARKS}", pieces), keys, order_by)
+    latest = _latest(_read(spark, path, f"{schema}, {_MARKS}", pieces), [*keys, *(within or [])], order_by)
     # Older versions of a deleted key are gone too; only by time may one still come late.
     latest = latest.where(~F.coalesce(F.col(DELETED), F.lit(False)) | F.col(AT).isNotNull())
     latest = latest if keep is None else latest.where(keep)

@@ -16,7 +16,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from tallybrook import schemas
 from tallybrook.functions import times
 from tallybrook.operators.activity import VISIT_KEY, visits
-from tallybrook.operators.allocation import allocate_batch
+from tallybrook.operators.allocation import allocate_batch, sums_after
 from tallybrook.operators.cdc import DEAD_LETTER_TOPIC, route_canal, route_maxwell
 from tallybrook.operators.known import first_touches
 from tallybrook.operators.lookup import add_province, add_sku, add_user, enrich_sku
@@ -24,17 +24,21 @@ from tallybrook.operators.marts import SPU_MART, TRADEMARK_MART, Mart, spu_amoun
 from tallybrook.operators.orders import add_date_parts, consumed_users, flag_first_orders
 from tallybrook.operators.records import parse_json, topic_rows
 from tallybrook.operators.users import label_users
-from tallybrook.operators.wide import merge_wide
+from tallybrook.operators.wide import merge_wide, new_pairs
 from tallybrook.operators.windows import Windows
 from tallybrook.session import few_states, settled
+from tallybrook.sources.manifests import Commit
 from tallybrook.sources.tables import (
     AT,
+    BATCH,
     DELETED,
     compact_parts,
+    read_batch,
     read_for_keys,
     read_latest,
     read_versions,
     upsert,
+    versions_for_keys,
 )
 from tallybrook.sources.topics import send, send_stream
 from tallybrook.streaming.warehouse import Warehouse, newest
@@ -55,6 +59,8 @@ WINDOWS = Windows(width=15_000, slide=5_000, lag=60_000)
 VISIT_TTL_MS = 7 * 86_400_000
 # How long after an order's last line its sums are known to later ones.
 SPLIT_TTL_MS = 600_000
+# How far behind the newest rows orders and lines may still meet or be repeated: twice the lag.
+WIDE_TTL_MS = 12 * 3_600_000
 
 # What orders messages of a key; kept when they are passed on.
 ARRIVAL = ["timestamp", "offset"]
@@ -243,27 +249,27 @@ def dw_detail(
     return w.start(details.writeStream.foreachBatch(write), "dw_detail")
 
 
-def wide_stream(
-    orders: DataFrame, details: DataFrame, reach: str = JOIN_REACH, lag: str = LAG
-) -> DataFrame:
-    """Orders joined with lines arriving within ``reach`` of them, each pair once.
+def wide_sides(spark: SparkSession, w: Warehouse) -> DataFrame:
+    """Orders and lines as one stream of rows that name their order (``schemas.WIDE_SIDES``)."""
 
-    A row is dropped only if it is more than ``lag`` behind the newest of its side; repeats
-    of a pair are known for as long. Choose it above the longest backlog of one partition.
-    """
-    left = orders.withWatermark("timestamp", lag)
-    right = details.withWatermark("timestamp", lag)
-    near = F.expr(
-        f"detail_at BETWEEN order_at - INTERVAL {reach} AND order_at + INTERVAL {reach}"
-    )
-    wide = merge_wide(
-        left,
-        right,
-        order_extra={"order_at": F.col("timestamp")},
-        detail_extra={"detail_at": F.col("timestamp")},
-        condition=near,
-    ).drop("detail_at")
-    return wide.dropDuplicatesWithinWatermark(["order_id", "order_detail_id"])
+    def side(name: str, topic: str, schema: str, order_id: str) -> DataFrame:
+        rows = w.records(spark, topic, schema, ["timestamp"])
+        record = F.struct(*[c for c in rows.columns if c != "timestamp"])
+        return rows.where(F.col(order_id).isNotNull()).select(
+            F.col(order_id).alias("order_id"),
+            F.lit(name).alias("side"),
+            "id",
+            F.col("timestamp").alias("arrived"),
+            record.alias(name),
+        )
+
+    orders = side("orders", ORDER_TOPIC, schemas.ORDER_INFO_ENRICHED, "id")
+    lines = side("lines", DETAIL_TOPIC, schemas.ORDER_DETAIL_ENRICHED, "order_id")
+    return orders.unionByName(lines, allowMissingColumns=True)
+
+
+def _of_side(rows: DataFrame, name: str) -> DataFrame:
+    return rows.where(F.col("side") == name).select(f"{name}.*", "arrived", "known")
 
 
 def dws_wide(
@@ -275,19 +281,17 @@ def dws_wide(
 ) -> StreamingQuery:
     """Join order and line topics, drop repeats, share out amounts, send on.
 
-    ``reach`` is how far apart the sides of a pair may arrive, ``lag`` how late a row may be.
+    Orders meet lines that arrive within ``reach`` of them, each pair once. A row is dropped only
+    if it is more than ``lag`` behind the newest of both sides; choose it above the longest backlog
+    of one partition. Rows lie in the table ``wide_sides``, of which a batch reads the buckets of
+    its orders: what a batch joins is written and read in columns, not row by row in a state store.
+
     Lines of an order may come in several batches: what the earlier ones reached and were given
     is read from a table, in the buckets of the batch's orders, unless the last of them is more
-    than ``ttl_ms`` older. Messages and sums appear together.
+    than ``ttl_ms`` older. Messages, rows and sums appear together.
     """
-    keep = ["timestamp"]
-    wide = wide_stream(
-        w.records(spark, ORDER_TOPIC, schemas.ORDER_INFO_ENRICHED, keep),
-        w.records(spark, DETAIL_TOPIC, schemas.ORDER_DETAIL_ENRICHED, keep),
-        reach,
-        lag,
-    )
     number = w.numbers(spark, "dws_wide")
+    table, progress = w.table("wide_sides"), w.table("wide_progress")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         n = number(batch_id)
@@ -295,27 +299,44 @@ def dws_wide(
         if commit.done:
             commit.publish()
             return
-        with settled(spark, batch, "wide") as arrived:
-            if arrived.isEmpty():
-                return
-            times_of = arrived.groupBy("order_id").agg(F.max(F.unix_millis("order_at")).alias("at"))
-            known = read_for_keys(
-                w.table("order_sums"), schemas.ORDER_SUMS, "order_id", arrived, "order_id", n
-            )
-            now = times_of.withColumnsRenamed({"order_id": "_order", "at": "_at"})
-            fresh = known.join(now, F.col("order_id") == F.col("_order")).where(
-                F.col("_at") <= F.col("at") + ttl_ms
-            )
-            shared, sums = allocate_batch(arrived.drop("order_at"), fresh.drop("_order", "_at"))
-            send(topic_rows(shared, WIDE_TOPIC), w.topics, "dws_wide", n, commit)
-            upsert(
-                sums.join(times_of, "order_id"), w.table("order_sums"), n, keys=["order_id"],
-                commit=commit.path,
-            )
-            commit.finish()
+        before = read_latest(spark, progress, schemas.PROGRESS, ["name"], before_batch=n)
+        newest_of = [r.newest for r in before.collect()]  # one row per side
+        if len(newest_of) == 2:  # else one side has not come yet, and nothing is late
+            newest_both = F.timestamp_millis(F.lit(min(newest_of)))
+            batch = batch.where(F.col("arrived") > newest_both - F.expr(f"INTERVAL {lag}"))
+        upsert(batch, table, n, keys=["order_id"], commit=commit.path)
+        come = read_batch(spark, table, schemas.WIDE_SIDES, n)
+        at = come.select(F.col("side").alias("name"), F.unix_millis("arrived").alias("newest"))
+        now = before.unionByName(at).where("newest IS NOT NULL").groupBy("name").agg(F.max("newest").alias("newest"))
+        upsert(now, progress, n, commit=commit.path)
+        earlier = versions_for_keys(table, schemas.WIDE_SIDES, "order_id", come, "order_id", n)
+        rows = come.withColumn("known", F.lit(False)).unionByName(
+            earlier.drop(BATCH).withColumn("known", F.lit(True))
+        )
+        pairs = new_pairs(_of_side(rows, "orders"), _of_side(rows, "lines"), reach)
+        with settled(spark, pairs, "wide") as arrived:
+            if not arrived.isEmpty():
+                _share_out(arrived, n, commit)
+        commit.finish()
+
+    def _share_out(arrived: DataFrame, n: int, commit: Commit) -> None:
+        at = F.max(F.unix_millis("order_at"))
+        known = read_for_keys(
+            w.table("order_sums"), schemas.ORDER_SUMS, "order_id", arrived, "order_id", n
+        )
+        now = arrived.groupBy(F.col("order_id").alias("_order")).agg(at.alias("_at"))
+        fresh = known.join(now, F.col("order_id") == F.col("_order")).where(
+            F.col("_at") <= F.col("at") + ttl_ms
+        )
+        with settled(spark, fresh.drop("_order", "_at", "at"), "sums") as before:
+            shares, _ = allocate_batch(arrived, before)
+            with settled(spark, shares, "shares") as shared:
+                rows = topic_rows(shared.drop("order_at"), WIDE_TOPIC)
+                send(rows, w.topics, "dws_wide", n, commit)
+                after = sums_after(shared, before, {"at": at})
+                upsert(after, w.table("order_sums"), n, keys=["order_id"], commit=commit.path)
 
-    with few_states(spark):
-        return w.start(wide.writeStream.foreachBatch(write), "dws_wide")
+    return w.start(wide_sides(spark, w).writeStream.foreachBatch(write), "dws_wide")
 
 
 def dws_unmatched(
@@ -363,12 +384,15 @@ def compact_tables(
     split_ttl_ms: int = SPLIT_TTL_MS,
     visit_ttl_ms: int = VISIT_TTL_MS,
     windows: Windows = WINDOWS,
+    wide_ttl_ms: int = WIDE_TTL_MS,
 ) -> dict[str, list[str]]:
     """Rewrite the parts of the jobs' tables that lie in more than ``most`` folders.
 
     May run beside the jobs. Sums of orders whose last line is ``split_ttl_ms`` behind the
     newest one are dropped, and so are devices last seen ``visit_ttl_ms`` before the newest
-    visit, and closed windows. Returns the parts rewritten of each table.
+    visit, and closed windows. Orders and lines ``wide_ttl_ms`` behind the newest of both sides are
+    dropped: choose it above the lag of ``dws_wide`` with its reach, and above twice that lag.
+    Returns the parts rewritten of each table.
     """
     done = {}
     lives = {"order_sums": ("at", split_ttl_ms), "dau_seen": ("last", visit_ttl_ms)}
@@ -382,6 +406,17 @@ def compact_tables(
             most=most,
             keep=F.col("ending") > come.newest - windows.lag,
         )
+    sides = read_latest(spark, w.table("wide_progress"), schemas.PROGRESS, ["name"]).collect()
+    if len(sides) == 2:
+        done["wide_sides"] = compact_parts(
+            spark,
+            w.table("wide_sides"),
+            schemas.WIDE_SIDES,
+            ["order_id"],
+            most=most,
+            keep=F.unix_millis("arrived") >= min(r.newest for r in sides) - wide_ttl_ms,
+            within=["side", "id", "arrived"],
+        )
     for name, schema, key in (
         ("user_info", schemas.USER_INFO_ENRICHED, "id"),
         ("sku_info", schemas.SKU_INFO_ENRICHED, "id"),
@@ -391,6 +426,7 @@ def compact_tables(
         ("spu_total", SPU_MART.schema, "key"),
         ("trademark_total", TRADEMARK_MART.schema, "key"),
         ("ads_windows_progress", schemas.PROGRESS, "name"),
+        ("wide_progress", schemas.PROGRESS, "name"),
     ):
         keep = None
         if name in lives:
