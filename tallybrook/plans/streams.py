@@ -18,7 +18,7 @@ from tallybrook.operators.records import parse_json, topic_rows
 from tallybrook.operators.windows import Windows
 from tallybrook.plans import queries as batch
 from tallybrook.plans.tables import MOST_LINES, Tables
-from tallybrook.session import streaming_session, work_path
+from tallybrook.session import settled, streaming_session, work_path
 from tallybrook.sources.results import read_results
 from tallybrook.sources.tables import read_latest, read_versions
 from tallybrook.sources.topics import TopicStore, read_topic_log, send
@@ -102,6 +102,13 @@ def order_fact_stream(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _line_facts(wide: DataFrame) -> DataFrame:
+    """What topics take of wide rows; it is read several times, so the caller stores it."""
+    return wide.select(
+        "order_detail_id", "order_id", "sku_id", "sku_price", "sku_num", "original_total_amount"
+    )
+
+
 def order_wide_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Order and line topics joined, freed of repeats and shared out; per order."""
     s, w = _warehouse(spark, "wide")
@@ -109,21 +116,22 @@ def order_wide_stream(spark: SparkSession, folder: str) -> DataFrame:
     wide = batch.wide_rows(t, t.orders(), None).withColumn(
         "original_total_amount", from_cents(F.col("original_cents"))
     )
-    # Lines go out twice, as after a repeated delivery.
-    lines = wide.select(
-        F.col("order_detail_id").alias("id"),
-        "order_id",
-        "sku_id",
-        F.col("sku_price").alias("order_price"),
-        "sku_num",
-        F.explode(F.array(F.lit(0), F.lit(1))).alias("delivery"),
-    ).drop("delivery")
-    totals = wide.select(F.col("order_id").alias("id"), "original_total_amount").distinct()
-    _fill(w, t.orders().join(totals, "id"), jobs.ORDER_TOPIC, "id")
-    _fill(w, lines, jobs.DETAIL_TOPIC, "order_id")
+    with settled(s, _line_facts(wide), "lines") as wide:
+        # Lines go out twice, as after a repeated delivery.
+        lines = wide.select(
+            F.col("order_detail_id").alias("id"),
+            "order_id",
+            "sku_id",
+            F.col("sku_price").alias("order_price"),
+            "sku_num",
+            F.explode(F.array(F.lit(0), F.lit(1))).alias("delivery"),
+        ).drop("delivery")
+        totals = wide.select(F.col("order_id").alias("id"), "original_total_amount").distinct()
+        _fill(w, t.orders().join(totals, "id"), jobs.ORDER_TOPIC, "id")
+        _fill(w, lines, jobs.DETAIL_TOPIC, "order_id")
     # Both topics were written at once: let everything sent within a day meet.
     jobs.dws_wide(s, w, reach="1 day", lag="2 days").awaitTermination()
-    rows = parse_json(read_topic_log(spark, w.topics, jobs.WIDE_TOPIC), schemas.ORDER_WIDE)
+    rows = parse_json(read_topic_log(spark, w.topics, jobs.WIDE_TOPIC), schemas.LINE_SHARE)
     return rows.groupBy("order_id").agg(
         F.count("order_detail_id").alias("n_lines"),
         F.sum("final_detail_amount").cast("double").alias("paid"),
@@ -137,22 +145,23 @@ def order_amount_stream(spark: SparkSession, folder: str) -> DataFrame:
     wide = batch.wide_rows(t, t.orders(), None).withColumn(
         "original_total_amount", from_cents(F.col("original_cents"))
     )
-    lines = wide.select(
-        F.col("order_detail_id").alias("id"),
-        "order_id",
-        "sku_id",
-        F.col("sku_price").alias("order_price"),
-        "sku_num",
-    )
-    totals = wide.groupBy(F.col("order_id").alias("id")).agg(
-        F.max("original_total_amount").alias("original_total_amount")
-    )
-    _fill(w, t.orders().join(totals, "id"), jobs.ORDER_TOPIC, "id")
-    for k in range(3):
-        part = lines.where(F.col("id") % MOST_LINES % 3 == k).repartition("sku_id")
-        send(topic_rows(part, jobs.DETAIL_TOPIC, F.col("order_id")), w.topics, "fill", k)
-        jobs.dws_wide(s, w, reach="1 day", lag="2 days").awaitTermination()
-    rows = parse_json(read_topic_log(spark, w.topics, jobs.WIDE_TOPIC), schemas.ORDER_WIDE)
+    with settled(s, _line_facts(wide), "lines") as wide:
+        lines = wide.select(
+            F.col("order_detail_id").alias("id"),
+            "order_id",
+            "sku_id",
+            F.col("sku_price").alias("order_price"),
+            "sku_num",
+        )
+        totals = wide.groupBy(F.col("order_id").alias("id")).agg(
+            F.max("original_total_amount").alias("original_total_amount")
+        )
+        _fill(w, t.orders().join(totals, "id"), jobs.ORDER_TOPIC, "id")
+        for k in range(3):
+            part = lines.where(F.col("id") % MOST_LINES % 3 == k).repartition("sku_id")
+            send(topic_rows(part, jobs.DETAIL_TOPIC, F.col("order_id")), w.topics, "fill", k)
+            jobs.dws_wide(s, w, reach="1 day", lag="2 days").awaitTermination()
+    rows = parse_json(read_topic_log(spark, w.topics, jobs.WIDE_TOPIC), schemas.LINE_SHARE)
     amount = F.col("final_detail_amount").cast("double").alias("final_detail_amount")
     return rows.select("order_id", "order_detail_id", amount)
 

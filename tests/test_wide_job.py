@@ -9,6 +9,7 @@ import pytest
 from tallybrook import schemas
 from tallybrook.operators.allocation import allocate_batch, sums_after
 from tallybrook.operators.wide import new_pairs
+from tallybrook.plans import streams
 from tallybrook.sources.manifests import Commit
 from tallybrook.sources.tables import read_versions
 from tallybrook.sources.topics import read_topic, send
@@ -174,3 +175,30 @@ def test_sums_of_shared_rows(spark):
     again = sums_after(shared, before)
     want = [(1, 3, 2000, 6666), (2, 1, 1000, 0)]
     assert sorted(tuple(r) for r in left.collect()) == sorted(tuple(r) for r in again.collect()) == want
+
+
+@pytest.mark.parametrize("name", ["order_wide_stream", "order_amount_stream"])
+def test_lines_of_a_query_are_numbered_once(spark, tmp_path, monkeypatch, name):
+    """Totals and each delivery of lines priced and numbered all lines anew."""
+    tables = {
+        "part": "SELECT 1L AS p_partkey, 'a' AS p_name, 10.0D AS p_retailprice",
+        "orders": "SELECT 7L AS o_orderkey, 5L AS o_custkey, 'O' AS o_orderstatus, 100.0D AS o_totalprice, "
+        "TIMESTAMP_NTZ '2020-05-12 10:00:00' AS o_orderdate",
+        "lineitem": "SELECT 7L AS l_orderkey, CAST(id AS INT) AS l_linenumber, 1L AS l_partkey, 1L AS l_suppkey, "
+        "1.0D AS l_quantity, 10.0D AS l_extendedprice FROM range(1, 4)",
+    }
+    for table, sql in tables.items():
+        spark.sql(sql).write.parquet(f"{tmp_path}/{table}.parquet")
+    read, plain = [], streams.send
+
+    def seen(rows, *more):
+        read.append(rows.inputFiles())
+        plain(rows, *more)
+
+    monkeypatch.setattr(streams, "send", seen)
+    got = sorted(tuple(r) for r in streams.STREAM_QUERIES[name](spark, str(tmp_path)).collect())
+    assert len(read) >= 2 and not any("lineitem.parquet" in f for files in read for f in files)
+    ids = [7 * streams.MOST_LINES + i for i in (1, 2, 3)]
+    # Lines whose number is divisible by 3 come first.
+    shifted = [(7, ids[0], 33.33), (7, ids[1], 33.34), (7, ids[2], 33.33)]
+    assert got == ([(7, 3, 100.0)] if name == "order_wide_stream" else shifted)
